@@ -1,0 +1 @@
+"""Batch only: the jobs of this library read no streams, so no streaming operators exist."""
