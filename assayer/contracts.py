@@ -99,35 +99,85 @@ ERROR_TEXT_LIMIT = 2000
 
 # ---- End of fixed values. ----
 
-TRIP_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in TRIP_COLUMNS])
-ZONE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ZONE_COLUMNS])
-ZONE_DIM_SCHEMA = T.StructType.fromDDL(
-    f"location_id int, borough string, zone string, service_zone string, {SOURCE_PATH} string"
-)
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "strings": T.ArrayType(T.StringType()),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "money": T.DecimalType(12, 2),
+    "money_sum": T.DecimalType(22, 2),
+}
 
-_SQL_TYPE = {"int": "int", "double": "double", "string": "string", "timestamp": "timestamp", "money": MONEY_TYPE}
-SILVER_SCHEMA = T.StructType.fromDDL(
-    ", ".join(f"{name} {_SQL_TYPE[kind]}" for name, kind in SILVER_CASTS.values())
-    + f", {SOURCE_PATH} string, _batch_id string, _ingested_at timestamp"
-    + ", pickup_date date, pickup_hour int, pickup_year int, pickup_month int"
-    + ", trip_duration_minutes double, fare_per_mile double"
-    + ", _invalid_reasons array<string>, is_valid boolean"
-)
 
-_SUMS = "gross_revenue_amount decimal(22,2), fare_revenue_amount decimal(22,2), total_tip_amount decimal(22,2)"
-_AVERAGES = "avg_trip_distance double, avg_trip_duration_minutes double"
-_TAIL = (
-    "card_payment_share double, cash_payment_share double, source_batch_count bigint,"
-    " latest_source_ingested_at timestamp"
+def _schema(**columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
+TRIP_SCHEMA = _schema(**dict.fromkeys(TRIP_COLUMNS, "string"))
+ZONE_SCHEMA = _schema(**dict.fromkeys(ZONE_COLUMNS, "string"))
+ZONE_DIM_SCHEMA = _schema(location_id="int", borough="string", zone="string", service_zone="string", _source_file_path="string")
+SILVER_SCHEMA = _schema(
+    **dict(SILVER_CASTS.values()),
+    _source_file_path="string",
+    _batch_id="string",
+    _ingested_at="timestamp",
+    pickup_date="date",
+    pickup_hour="int",
+    pickup_year="int",
+    pickup_month="int",
+    trip_duration_minutes="double",
+    fare_per_mile="double",
+    _invalid_reasons="strings",
+    is_valid="boolean",
 )
-DAILY_SCHEMA = T.StructType.fromDDL(
-    "pickup_date date, pickup_year int, pickup_month int, pickup_location_id int, pickup_borough string,"
-    f" pickup_zone string, pickup_service_zone string, trip_count bigint, {_SUMS}, {_AVERAGES},"
-    f" avg_fare_per_mile double, {_TAIL}"
+_SUMS = dict.fromkeys(("gross_revenue_amount", "fare_revenue_amount", "total_tip_amount"), "money_sum")
+_AVERAGES = dict.fromkeys(("avg_trip_distance", "avg_trip_duration_minutes"), "double")
+_SHARES_AND_LINEAGE = {
+    "card_payment_share": "double",
+    "cash_payment_share": "double",
+    "source_batch_count": "bigint",
+    "latest_source_ingested_at": "timestamp",
+}
+DAILY_SCHEMA = _schema(
+    pickup_date="date",
+    pickup_year="int",
+    pickup_month="int",
+    pickup_location_id="int",
+    pickup_borough="string",
+    pickup_zone="string",
+    pickup_service_zone="string",
+    trip_count="bigint",
+    **_SUMS,
+    **_AVERAGES,
+    avg_fare_per_mile="double",
+    **_SHARES_AND_LINEAGE,
 )
-HOURLY_SCHEMA = T.StructType.fromDDL(
-    "pickup_date date, pickup_year int, pickup_month int, pickup_hour int, trip_count bigint,"
-    f" distinct_pickup_zones bigint, {_SUMS}, {_AVERAGES}, {_TAIL}"
+HOURLY_SCHEMA = _schema(
+    pickup_date="date",
+    pickup_year="int",
+    pickup_month="int",
+    pickup_hour="int",
+    trip_count="bigint",
+    distinct_pickup_zones="bigint",
+    **_SUMS,
+    **_AVERAGES,
+    **_SHARES_AND_LINEAGE,
+)
+RUN_LOG_SCHEMA = _schema(
+    run_id="string",
+    status="string",
+    started_at="timestamp",
+    completed_at="timestamp",
+    date_from="date",
+    date_to="date",
+    daily_zone_row_count="bigint",
+    hourly_demand_row_count="bigint",
+    error_message="string",
+    mart_version="bigint",
 )
 
 
@@ -172,11 +222,6 @@ HOURLY_MART = MartTable(
     },
 )
 
-RUN_LOG_SCHEMA = T.StructType.fromDDL(
-    "run_id string, status string, started_at timestamp, completed_at timestamp, date_from date, date_to date,"
-    " daily_zone_row_count bigint, hourly_demand_row_count bigint, error_message string, mart_version bigint"
-)
-
 
 def require_columns(df: DataFrame, required: Iterable[str], dataset: str) -> DataFrame:
     """Return ``df`` unchanged, or raise naming every absent column. Extra columns are allowed."""
