@@ -13,11 +13,16 @@ from assayer.contracts import MONEY_TYPE, TIMESTAMP_PATTERN
 def to_int(text: Column) -> Column:
     """Integer from text, dropping a decimal fraction: ``'1.0'`` gives 1, ``'1e3'`` and ``'x'`` give NULL.
 
-    Plain integers take the first branch; the pattern is only tried on what it rejects.
+    Only text with a point is matched against patterns. The expression is kept short on purpose: the silver
+    projection holds many casts, and a generated method that grows too long is not compiled by the JVM.
     """
-    whole = F.substring_index(text, ".", 1)
-    from_fraction = F.coalesce(whole.try_cast("int"), F.when(whole.rlike(r"^\s*[+-]?$"), F.lit(0)))
-    return F.coalesce(text.try_cast("int"), F.when(text.rlike(r"^\s*[+-]?\d*\.\d*\s*$"), from_fraction))
+    point = text.contains(".")
+    whole = (
+        F.when(point & text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1))
+        .when(point & text.rlike(r"^\s*[+-]?\.\d*\s*$"), F.lit("0"))
+        .otherwise(text)
+    )
+    return whole.try_cast("int")
 
 
 def to_double(text: Column) -> Column:
@@ -30,8 +35,13 @@ def to_money(text: Column) -> Column:
 
 
 def to_instant(text: Column) -> Column:
-    """Timestamp in the one accepted pattern; fractions, bare dates and impossible dates give NULL."""
-    return F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN))
+    """Timestamp in the one accepted pattern; fractions, bare dates and impossible dates give NULL.
+
+    Text of exactly the padded shape goes through the plain cast, which is much cheaper than the pattern parser
+    and reads that shape alike. The parser decides about everything else.
+    """
+    padded = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z")
+    return F.when(padded, text.try_cast("timestamp")).otherwise(F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN)))
 
 
 def to_text(value: Column) -> Column:

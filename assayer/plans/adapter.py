@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from assayer.contracts import SOURCE_PATH, TRIP_COLUMNS, ZONE_COLUMNS
 
 _MONEY = "decimal(12,2)"
-_TIP = f"cast((event_id % 500) / 100.0 as {_MONEY})"
+_FARE = f"cast(value as {_MONEY})"
+_TIP = "concat(event_id % 500 div 100, '.', lpad(event_id % 100, 2, '0'))"
 _ZERO = "'0.00'"
 
 # Raw trip column -> SQL over one event.
@@ -24,19 +25,19 @@ _TRIP_SQL: dict[str, str] = {
         "ts + make_dt_interval(0, 0, cast((event_id * 7 % 61) - 2 as int)) as string), 1, 19))"
     ),
     "passenger_count": "1 + event_id % 4",
-    "trip_distance": f"if(event_id % 227 = 0, null, cast((event_id * 13 % 240) / 10.0 as {_MONEY}))",
+    "trip_distance": "if(event_id % 227 = 0, null, concat(event_id * 13 % 240 div 10, '.', event_id * 13 % 10, '0'))",
     "RatecodeID": "'1'",
     "store_and_fwd_flag": "'N'",
     "PULocationID": "if(event_id % 229 = 0, null, user_id % 30)",
     "DOLocationID": "if(event_id % 233 = 0, 'x', cast(user_id * 7 % 25 as string))",
     "payment_type": "1 + event_id % 4",
-    "fare_amount": f"if(event_id % 239 = 0, '-1.00', cast(cast(value as {_MONEY}) as string))",
+    "fare_amount": f"if(event_id % 239 = 0, '-1.00', cast({_FARE} as string))",
     "extra": _ZERO,
     "mta_tax": _ZERO,
     "tip_amount": _TIP,
     "tolls_amount": _ZERO,
     "improvement_surcharge": _ZERO,
-    "total_amount": f"if(event_id % 241 = 0, '', cast(cast(cast(value as {_MONEY}) + {_TIP} as {_MONEY}) as string))",
+    "total_amount": f"if(event_id % 241 = 0, '', cast({_FARE} + cast({_TIP} as {_MONEY}) as string))",
     "congestion_surcharge": _ZERO,
     "airport_fee": _ZERO,
 }

@@ -15,6 +15,7 @@ from assayer.operators.projections import build_silver, zone_dimension
 from assayer.operators.rules import valid_rows
 from assayer.operators.zones import enrich_trips
 from assayer.plans import adapter
+from assayer.session import tune_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -70,7 +71,7 @@ def query(name: str, sql: str | None = None, *, chain: bool = True) -> Callable:
     def register(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: function(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: function(Tables(tune_session(spark), sf_dir))
         if sql is not None:
             TWINS[name] = (CHAIN if chain else "") + sql
         return function

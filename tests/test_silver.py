@@ -64,6 +64,29 @@ def test_money_and_timestamp_casts(spark, ansi):
     assert parsed == ["2024-01-01 08:15:00", None, None, None, None]
 
 
+def _same_as_parser(spark, texts):
+    parser = lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss"))
+    assert _values(spark, lambda c: to_instant(c).cast("string"), texts) == _values(
+        spark, lambda c: parser(c).cast("string"), texts
+    )
+
+
+def test_timestamp_shortcut_reads_like_the_parser(spark):
+    stamp = "2024-01-01 08:15:00"
+    _same_as_parser(
+        spark,
+        [stamp, f" {stamp}", f"{stamp} ", f"{stamp}\n", stamp.replace(" ", "T"), "2024-1-01 08:15:00", "12024-1-01 08:15:00",
+         "+12024-01-01 08:15:00", "0000-01-01 00:00:00", "9999-12-31 23:59:59", "2024-01-01 24:00:00", "2024-01-01 23:59:60",
+         "2023-02-29 00:00:00", "2024-02-29 00:00:00", "2024-01-01 8:15:0.5", "2024-01-01 08:15:0Z", "2024-13-01 00:00:00"],
+    )
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.from_regex(r"[0-9]{4}-[0-3][0-9]-[0-3][0-9][ T]?[0-2][0-9]:[0-6][0-9]:[0-6][0-9][ Z.0-9]?", fullmatch=True), min_size=20, max_size=60))
+def test_timestamp_shortcut_property(spark, texts):
+    _same_as_parser(spark, texts)
+
+
 def test_lineage(spark, trips_csv):
     raw = scan_trips_csv(spark, trips_csv)
     arrival = datetime(2024, 1, 3, 12, tzinfo=UTC)
