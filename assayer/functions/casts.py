@@ -1,57 +1,61 @@
-"""Text-to-type casts that give NULL on bad input whatever the session's ANSI flag says."""
+"""Text-to-type casts that give NULL on bad input whatever the session's ANSI flag says.
 
-from __future__ import annotations
+Each cast is one SQL expression over a named column, so building a wide projection stays cheap.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from assayer.contracts import MONEY_TYPE, TIMESTAMP_PATTERN
 
+# Only text with a point is matched against patterns. The expressions are kept short on purpose: the silver
+# projection holds many of them, and a generated method that grows too long is not compiled by the JVM.
+_INT = r"""try_cast(CASE
+    WHEN contains({x}, '.') AND {x} RLIKE r'^\s*[+-]?\d+\.\d*\s*$' THEN substring_index({x}, '.', 1)
+    WHEN contains({x}, '.') AND {x} RLIKE r'^\s*[+-]?\.\d*\s*$' THEN '0'
+    ELSE {x} END AS int)"""
+
+# Text of exactly the padded shape goes through the plain cast, which is much cheaper than the pattern parser
+# and reads that shape alike. The parser decides about everything else.
+_TIMESTAMP = (
+    r"CASE WHEN {x} RLIKE r'^\d{{4}}-\d{{2}}-\d{{2}} \d{{2}}:\d{{2}}:\d{{2}}\z' THEN try_cast({x} AS timestamp)"
+    f" ELSE try_to_timestamp({{x}}, '{TIMESTAMP_PATTERN}') END"
+)
+
+CAST_SQL: dict[str, str] = {
+    "int": _INT,
+    "double": "try_cast({x} AS double)",
+    "money": f"try_cast({{x}} AS {MONEY_TYPE})",
+    "timestamp": _TIMESTAMP,
+    "string": "cast({x} AS string)",
+}
 
-def to_int(text: Column) -> Column:
-    """Integer from text, dropping a decimal fraction: ``'1.0'`` gives 1, ``'1e3'`` and ``'x'`` give NULL.
 
-    Only text with a point is matched against patterns. The expression is kept short on purpose: the silver
-    projection holds many casts, and a generated method that grows too long is not compiled by the JVM.
-    """
-    point = text.contains(".")
-    whole = (
-        F.when(point & text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1))
-        .when(point & text.rlike(r"^\s*[+-]?\.\d*\s*$"), F.lit("0"))
-        .otherwise(text)
-    )
-    return whole.try_cast("int")
+def cast_text(column: str, kind: str) -> Column:
+    """The named text column as ``kind``, one of ``CAST_SQL``."""
+    return F.expr(CAST_SQL[kind].format(x=f"`{column}`"))
 
 
-def to_double(text: Column) -> Column:
-    return text.try_cast("double")
+def to_int(column: str) -> Column:
+    """Integer, dropping a decimal fraction: ``'1.0'`` gives 1, ``'1e3'`` and ``'x'`` give NULL."""
+    return cast_text(column, "int")
 
 
-def to_money(text: Column) -> Column:
-    """Decimal with two digits, rounded half up; NULL when it does not fit."""
-    return text.try_cast(MONEY_TYPE)
+def to_double(column: str) -> Column:
+    return cast_text(column, "double")
 
 
-def to_instant(text: Column) -> Column:
-    """Timestamp in the one accepted pattern; fractions, bare dates and impossible dates give NULL.
-
-    Text of exactly the padded shape goes through the plain cast, which is much cheaper than the pattern parser
-    and reads that shape alike. The parser decides about everything else.
-    """
-    padded = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z")
-    return F.when(padded, text.try_cast("timestamp")).otherwise(F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN)))
+def to_money(column: str) -> Column:
+    """Decimal with two digits, rounded half up; NULL when it does not fit."""
+    return cast_text(column, "money")
 
 
-def to_text(value: Column) -> Column:
-    return value.cast("string")
+def to_instant(column: str) -> Column:
+    """Timestamp in the one accepted pattern; fractions, bare dates and impossible dates give NULL."""
+    return cast_text(column, "timestamp")
 
 
-CASTS: dict[str, Callable[[Column], Column]] = {
-    "int": to_int,
-    "double": to_double,
-    "money": to_money,
-    "timestamp": to_instant,
-    "string": to_text,
-}
+def to_text(column: str) -> Column:
+    return cast_text(column, "string")

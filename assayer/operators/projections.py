@@ -16,7 +16,7 @@ from assayer.contracts import (
     MartTable,
     require_columns,
 )
-from assayer.functions import CASTS, minutes_between, per_unit, to_int
+from assayer.functions import cast_text, minutes_between, per_unit, to_int
 from assayer.operators.rules import TRIP_RULES, tag_rows
 
 
@@ -33,7 +33,7 @@ def with_lineage(raw: DataFrame, *, batch_id: str, ingested_at: datetime) -> Dat
 def cast_trips(bronze: DataFrame) -> DataFrame:
     """Typed projection of exactly the contract's columns; text that does not parse becomes NULL."""
     require_columns(bronze, TRIP_COLUMNS + LINEAGE_COLUMNS, "bronze trips")
-    typed = [CASTS[kind](F.col(raw)).alias(name) for raw, (name, kind) in SILVER_CASTS.items()]
+    typed = [cast_text(raw, kind).alias(name) for raw, (name, kind) in SILVER_CASTS.items()]
     return bronze.select(*typed, *LINEAGE_COLUMNS)
 
 
@@ -61,7 +61,7 @@ def zone_dimension(raw_zones: DataFrame) -> DataFrame:
     """Typed zone id with trimmed attributes."""
     require_columns(raw_zones, ZONE_COLUMNS, "raw zones")
     return raw_zones.select(
-        to_int(F.col("LocationID")).alias("location_id"),
+        to_int("LocationID").alias("location_id"),
         *[F.trim(F.col(name)).alias(name.lower()) for name in ZONE_COLUMNS[1:]],
         SOURCE_PATH,
     )

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +16,12 @@ class Rule:
     reason: str
     broken_when: str
 
+    @property
+    def broken_sql(self) -> str:
+        return f"coalesce({self.broken_when}, false)"
+
     def broken(self) -> Column:
-        return F.coalesce(F.expr(self.broken_when), F.lit(False))
+        return F.expr(self.broken_sql)
 
 
 # Reason names and their order.
@@ -40,12 +42,12 @@ def broken_reasons(rules: Sequence[Rule]) -> Column:
 
     Built from array concatenation, which stays inside generated code; filtering an array with a lambda does not.
     """
-    none = F.array().cast("array<string>")
-    return F.concat(*[F.when(rule.broken(), F.array(F.lit(rule.reason))).otherwise(none) for rule in rules])
+    named = [f"CASE WHEN {r.broken_when} THEN array('{r.reason}') ELSE cast(array() AS array<string>) END" for r in rules]
+    return F.expr(f"concat({', '.join(named)})")
 
 
 def no_rule_broken(rules: Sequence[Rule]) -> Column:
-    return reduce(and_, [~rule.broken() for rule in rules])
+    return F.expr(" AND ".join(f"NOT {rule.broken_sql}" for rule in rules))
 
 
 def tag_rows(df: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:

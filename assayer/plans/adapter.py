@@ -49,8 +49,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 raw columns, all strings, in contract order, with the event id kept beside them."""
-    columns = [F.expr(_TRIP_SQL[name]).cast("string").alias(name) for name in TRIP_COLUMNS]
-    return read_table(spark, sf_dir, "events").select(*columns, "event_id")
+    columns = [f"cast({_TRIP_SQL[name]} AS string) AS {name}" for name in TRIP_COLUMNS]
+    return read_table(spark, sf_dir, "events").selectExpr(*columns, "event_id")
 
 
 def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def rename_drifted(df: DataFrame, renames: dict[str, str] = DRIFT_RENAMES) -> Da
 
 def all_to_text(df: DataFrame) -> DataFrame:
     """Every column as string, extras included."""
-    return df.select([to_text(F.col(f"`{name}`")).alias(name) for name in df.columns])
+    return df.select([to_text(name).alias(name) for name in df.columns])
 
 
 def scan_trips_parquet(spark: SparkSession, *paths: str) -> DataFrame:

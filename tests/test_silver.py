@@ -19,7 +19,7 @@ both_ansi = pytest.mark.parametrize("ansi", ["true", "false"], indirect=True)
 
 def _values(spark, column, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
-    return [r[0] for r in df.orderBy("i").select(column(F.col("x"))).collect()]
+    return [r[0] for r in df.orderBy("i").select(column("x")).collect()]
 
 
 @both_ansi
@@ -38,7 +38,7 @@ def test_int_cast_equals_the_lenient_cast(spark):
     mine = _values(spark, to_int, texts)
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        assert mine == _values(spark, lambda c: c.cast("int"), texts)
+        assert mine == _values(spark, lambda c: F.col(c).cast("int"), texts)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
@@ -49,7 +49,7 @@ def test_int_cast_property(spark, texts):
     mine = _values(spark, to_int, texts)
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        assert mine == _values(spark, lambda c: c.cast("int"), texts)
+        assert mine == _values(spark, lambda c: F.col(c).cast("int"), texts)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
