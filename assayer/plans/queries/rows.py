@@ -24,8 +24,6 @@ from assayer.sources import all_to_text
 _ARRIVAL = datetime(2024, 2, 1, 6, 30, tzinfo=UTC)
 _PUBLISHED = datetime(2024, 2, 2, tzinfo=UTC)
 
-_DERIVED_SQL = "SELECT * REPLACE (round(fare_per_mile, 6) AS fare_per_mile) FROM {}"
-
 
 # ---- projections ----
 
@@ -45,9 +43,9 @@ def _(t: Tables) -> DataFrame:
     return cast_trips(t.bronze)
 
 
-@query("silver_derive", _DERIVED_SQL.format("derived"))
+@query("silver_derive", "SELECT * FROM derived")
 def _(t: Tables) -> DataFrame:
-    return comparable(derive_trip_columns(cast_trips(t.bronze)))
+    return derive_trip_columns(cast_trips(t.bronze))
 
 
 @query("zone_dim", "SELECT * FROM zone_dim")
@@ -112,11 +110,11 @@ def _(t: Tables) -> DataFrame:
 def _silver_columns(name: str, *columns: str) -> None:
     """The typed columns of the silver layer, one query per kind of scalar function."""
     listed = ", ".join(columns)
-    sql = f"SELECT {listed}, count(*) AS row_count FROM (SELECT * REPLACE (round(fare_per_mile, 6) AS fare_per_mile) FROM derived) GROUP BY ALL"
+    sql = f"SELECT {listed}, count(*) AS row_count FROM derived GROUP BY {listed}"
 
     @query(name, sql)
     def _(t: Tables) -> DataFrame:
-        derived = comparable(derive_trip_columns(cast_trips(t.bronze)))
+        derived = derive_trip_columns(cast_trips(t.bronze))
         return derived.groupBy(*columns).agg(F.count("*").alias("row_count"))
 
 
@@ -183,14 +181,14 @@ def _(t: Tables) -> DataFrame:
     return cast_trips(t.bronze).groupBy(reasons).agg(F.count("*").alias("row_count"))
 
 
-@query("filter_valid", _DERIVED_SQL.format("silver WHERE is_valid"))
+@query("filter_valid", "SELECT * FROM silver WHERE is_valid")
 def _(t: Tables) -> DataFrame:
-    return comparable(reasons_as_text(valid_rows(t.silver)))
+    return reasons_as_text(valid_rows(t.silver))
 
 
-@query("filter_invalid", _DERIVED_SQL.format("silver WHERE NOT is_valid"))
+@query("filter_invalid", "SELECT * FROM silver WHERE NOT is_valid")
 def _(t: Tables) -> DataFrame:
-    return comparable(reasons_as_text(invalid_rows(t.silver)))
+    return reasons_as_text(invalid_rows(t.silver))
 
 
 @query("split_valid_invalid", "SELECT is_valid, _invalid_reasons, count(*) AS row_count FROM silver GROUP BY ALL")
