@@ -119,7 +119,6 @@ def _schema(**columns: str) -> T.StructType:
 
 TRIP_SCHEMA = _schema(**dict.fromkeys(TRIP_COLUMNS, "string"))
 ZONE_SCHEMA = _schema(**dict.fromkeys(ZONE_COLUMNS, "string"))
-ZONE_DIM_SCHEMA = _schema(location_id="int", borough="string", zone="string", service_zone="string", _source_file_path="string")
 SILVER_SCHEMA = _schema(
     **dict(SILVER_CASTS.values()),
     _source_file_path="string",
