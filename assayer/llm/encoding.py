@@ -1,4 +1,4 @@
-"""Token ids by the tokenizers library, one whole text at a time, repeated words looked up."""
+"""Token ids by the tokenizers library, for whole texts, with repeated words looked up."""
 
 from __future__ import annotations
 
@@ -8,30 +8,42 @@ import struct
 import unicodedata
 from functools import lru_cache
 
-import numpy as np
 import regex
 
 from assayer.llm.bpe import byte_symbols
 
-#: Words a worker remembers. Beyond it, it starts anew: a bound on memory, not on the input.
+#: Words and pieces a worker remembers. Beyond it, it starts anew: a bound on memory, not on the input.
 REMEMBERED = 400_000
-#: Characters of new words that the library gets in one call.
-CALL = 100_000
-#: A character that stands between words in one call. Words holding it are encoded alone.
-BETWEEN = "\x01"
-
-
 #: Words of these characters only are split here; all versions of Unicode in use class them alike. Other words are
 #: left to the library as a whole.
-PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u024f]*")
+PLAIN = regex.compile(r"[\x21-\x7e¡-įı-ɏ]*")
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Remembered(dict):
+    """A dictionary that works out what is missing, and forgets all of it when full."""
+
+    def __init__(self, work_out):
+        super().__init__()
+        self.work_out = work_out
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[key] = self.work_out(key)
+        return found
 
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, without special tokens being added.
 
-    Where a tokenizer drops white space, the ids of a text are those of its parts between blanks, one after another.
-    Then only words not seen before go to the library: plain ones piece by piece to its model, after the lower-casing
-    and splitting that the file asks for, others to the whole tokenizer. Other tokenizers get every text whole.
+    Where a tokenizer composes, lower-cases and drops white space, the ids of a text are those of its parts between
+    blanks, one after another. Then only words not seen before go to the library: plain ones piece by piece to its
+    model, after the lower-casing and splitting that the file asks for, others to the whole tokenizer. Tokenizers of
+    other kinds get every text whole.
     """
 
     def __init__(self, path: str):
@@ -39,74 +51,37 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.library.model
         with open(path, encoding="utf-8") as file:
             self.split = _lower_case_split(json.load(file))
-        self.special = regex.compile("|".join(regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or r"(?!)")
+        added = [regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(added) or r"(?!)")
         self.symbols = byte_symbols()
-        self.between = self._ids(BETWEEN)
-        apart = ("a b", "x\ny", " a  b ", "it's 5 %")
-        self.by_word = len(self.between) == 1 and all(
-            list(self._ids(t)) == [i for w in t.split() for i in self._ids(w)] for t in apart
-        )
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-
-    def _encode_words(self, words: list[str]) -> None:
-        ids = self._ids(f" {BETWEEN} ".join(words))
-        cuts = np.flatnonzero(ids == self.between[0])
-        if len(cuts) != len(words) - 1:
-            self.known.update((w, self._ids(w).tobytes()) for w in words)
-            return
-        raw = ids.tobytes()
-        starts = [0, *((cuts + 1) * 4).tolist()]
-        ends = [*(cuts * 4).tolist(), len(raw)]
-        self.known.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
+        self.words, self.pieces = _Remembered(self._word), _Remembered(self._piece)
+
+    def _whole(self, text: str) -> bytes:
+        return packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def _piece(self, piece: str) -> bytes:
         """The ids of one pre-token, by the library's model."""
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
-            found = struct.pack(f"<{len(got := self.library.model.tokenize(shown))}I", *[t.id for t in got])
-            self.pieces[piece] = found
-        return found
-
-    def _learn(self, words: set[str]) -> None:
-        held, size = [], 0
-        for word in words:
-            if self.split and PLAIN.fullmatch(word) and (word.isalnum() or not self.special.search(word)):
-                lower = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
-                parts = (lower,) if lower.isascii() and lower.isalpha() else self.split.findall(lower)
-                self.known[word] = self._piece(parts[0]) if len(parts) == 1 else b"".join(map(self._piece, parts))
-                continue
-            if BETWEEN in word:
-                self.known[word] = self._ids(word).tobytes()
-                continue
-            held.append(word)
-            size += len(word) + 3
-            if size >= CALL:
-                self._encode_words(held)
-                held, size = [], 0
-        if held:
-            self._encode_words(held)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        if not self.by_word:
-            return [self._ids(t).tobytes() for t in texts]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = {w for ws in split for w in ws}
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = words - {""}
-        self._learn(new)
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in split]
+        shown = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
+        return packed([t.id for t in self.model.tokenize(shown)])
+
+    def _word(self, word: str) -> bytes:
+        if not word:
+            return b""
+        if not PLAIN.fullmatch(word) or not word.isalnum() and self.special.search(word):
+            return self._whole(word)
+        lower = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+        if lower.isascii() and lower.isalpha():
+            return self.pieces[lower]
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(lower)))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as bytes."""
+        if self.split is None:
+            return self._whole(text)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _lower_case_split(spec: dict) -> regex.Pattern | None:

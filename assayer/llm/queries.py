@@ -11,8 +11,11 @@ from assayer.llm import twins
 from assayer.llm.bpe import count_tokens
 from assayer.llm.common import table
 from assayer.llm.mixing import mix
+from assayer.llm.packing import pack
 from assayer.llm.quality_rules import judge_quality
 from assayer.llm.sharding import assign_shards
+from assayer.llm.token_files import read_documents, write_token_shards
+from assayer.plans.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {"op3_quality_rules": twins.QUALITY_RULES}
@@ -41,3 +44,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    write_token_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_documents(spark, path).withColumnRenamed("key", "doc_id")
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
