@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from assayer.llm import twins
 from assayer.llm.bpe import count_tokens
 from assayer.llm.common import table
+from assayer.llm.embedding_dedup import near_duplicate_vectors
 from assayer.llm.mixing import mix
+from assayer.llm.ngram_join import near_duplicates
 from assayer.llm.packing import pack
 from assayer.llm.quality_rules import judge_quality
 from assayer.llm.sharding import assign_shards
@@ -18,7 +20,7 @@ from assayer.llm.token_files import read_documents, write_token_shards
 from assayer.plans.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-TWINS: dict[str, str] = {"op3_quality_rules": twins.QUALITY_RULES}
+TWINS: dict[str, str] = {"op3_quality_rules": twins.QUALITY_RULES, "op10_ngram_join": twins.NGRAM_JOIN}
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -41,6 +43,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=8)
@@ -56,3 +63,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+
+
+@_query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, width=5)

@@ -35,3 +35,25 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_removed_words >= 0.5 * n_words AS kept
 FROM stats
 """
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+texts AS (SELECT min(doc_id) AS tid, count(*) AS copies, words FROM base WHERE len(words) > 0 GROUP BY words),
+grams AS (
+  SELECT DISTINCT tid, hash(words[i:i + 4]) AS gram
+  FROM (SELECT tid, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM texts)),
+sizes AS (SELECT tid, count(*) AS n FROM grams GROUP BY tid),
+shared AS (SELECT a.tid AS a, b.tid AS b, count(*) AS n FROM grams a JOIN grams b ON a.gram = b.gram AND a.tid <> b.tid GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.tid = a JOIN sizes y ON y.tid = b WHERE s.n / (x.n + y.n - s.n) >= 0.8),
+reach AS (SELECT tid, tid AS other FROM texts UNION SELECT r.tid, l.b FROM reach r JOIN links l ON r.other = l.a),
+classes AS (SELECT tid, min(other) AS class_id FROM reach GROUP BY tid),
+degrees AS (SELECT a AS tid, sum(copies) AS docs, count(*) AS n FROM links JOIN texts t ON t.tid = b GROUP BY a)
+SELECT b.doc_id, CASE WHEN t.tid IS NULL THEN b.doc_id ELSE c.class_id END AS class_id,
+       CAST(CASE WHEN t.tid IS NULL THEN 0 ELSE coalesce(d.docs, 0) + t.copies - 1 END AS BIGINT) AS n_links,
+       CAST(coalesce(d.n, 0) AS BIGINT) AS n_text_links,
+       CASE WHEN t.tid IS NULL THEN TRUE ELSE b.doc_id = c.class_id END AS kept
+FROM base b LEFT JOIN texts t ON b.words = t.words AND len(b.words) > 0
+LEFT JOIN classes c USING (tid) LEFT JOIN degrees d USING (tid)
+"""
