@@ -12,28 +12,39 @@ import regex
 
 from assayer.llm.bpe import byte_symbols
 
-#: Words and pieces a worker remembers. Beyond it, it starts anew: a bound on memory, not on the input.
-REMEMBERED = 400_000
+#: Words, and pieces, that a worker remembers in each of two generations: a bound on memory, not on the input.
+REMEMBERED_WORDS, REMEMBERED_PIECES = 450_000, 300_000
 #: Words of these characters only are split here; all versions of Unicode in use class them alike. Other words are
 #: left to the library as a whole.
 PLAIN = regex.compile(r"[\x21-\x7e¡-įı-ɏ]*")
 
+#: Marks that follow words and never join their pieces.
+MARKS = frozenset(".,;:!?")
+
 
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: Of few ids, which most pieces have.
+PACK = tuple(struct.Struct(f"<{n}I").pack for n in range(16))
+
+
 class _Remembered(dict):
-    """A dictionary that works out what is missing, and forgets all of it when full."""
+    """A dictionary that works out what is missing. When full it ages; of the aged, only what is asked for stays."""
 
-    def __init__(self, work_out):
+    def __init__(self, work_out, most: int):
         super().__init__()
-        self.work_out = work_out
+        self.work_out, self.most, self.aged = work_out, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        found = self.aged.get(key)
+        if found is None:
+            found = self.work_out(key)
+        if len(self) >= self.most:
+            self.aged = dict(self)
             self.clear()
-        found = self[key] = self.work_out(key)
+        self[key] = found
         return found
 
 
@@ -57,7 +68,7 @@ class Encoder:
         added = [regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(added) or r"(?!)")
         self.symbols = byte_symbols()
-        self.words, self.pieces = _Remembered(self._word), _Remembered(self._piece)
+        self.words, self.pieces = _Remembered(self._word, REMEMBERED_WORDS), _Remembered(self._piece, REMEMBERED_PIECES)
 
     def _whole(self, text: str) -> bytes:
         return packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
@@ -65,16 +76,21 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         """The ids of one pre-token, by the library's model."""
         shown = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
-        return packed([t.id for t in self.model.tokenize(shown)])
+        tokens = self.model.tokenize(shown)
+        return PACK[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(PACK) else packed([t.id for t in tokens])
 
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
+        if word.isascii():
+            # Letters, or letters and one mark at the end, are one piece and two.
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            if word[-1] in MARKS and word[:-1].isalpha():
+                return self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
         if not PLAIN.fullmatch(word) or not word.isalnum() and self.special.search(word):
             return self._whole(word)
         lower = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
-        if lower.isascii() and lower.isalpha():
-            return self.pieces[lower]
         return b"".join(map(self.pieces.__getitem__, self.split.findall(lower)))
 
     def encode(self, text: str) -> bytes:

@@ -1,7 +1,7 @@
 """Token-id files: one compressed wavelet matrix per shard of documents in key order.
 
-A shard is one Parquet file with one row: its place (``part``, ``seq``), the keys and lengths of its documents, and the
-wavelet matrix of their ids. Spark writes and reads the files, so they can lie in any store Spark reaches. Shards can
+A shard is one row of a Parquet file: its place (``part``, ``seq``), the keys and lengths of its documents, and the bytes
+of a wavelet matrix of their ids, complete in themselves. Spark writes and reads the files, so they can lie in any store Spark reaches. Shards can
 be looked into without decoding them: a token at a position, counts, and occurrences.
 """
 
@@ -20,8 +20,10 @@ from assayer.llm.common import arrow_map, reachable
 from assayer.llm.encoding import encoder
 from assayer.llm.wavelet import WaveletMatrix
 
-#: Ids of a shard after which a new one starts, at the next document.
-SHARD_TOKENS = 1 << 22
+#: Ids of a shard after which a new one starts, at the next document. So many stay in a core's cache while planes are built.
+SHARD_TOKENS = 1 << 20
+#: Shards of one Parquet file at most.
+SHARDS_PER_FILE = 8
 
 
 def write_token_shards(
@@ -76,7 +78,7 @@ def write_token_shards(
             yield shard()
 
     reachable(docs.sparkSession)
-    ordered.mapInArrow(run, schema).write.option("maxRecordsPerFile", 1).option("compression", "uncompressed").parquet(path)
+    ordered.mapInArrow(run, schema).write.option("maxRecordsPerFile", SHARDS_PER_FILE).option("compression", "uncompressed").parquet(path)
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:

@@ -33,13 +33,14 @@ class WaveletMatrix:
         row = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, planes, counts = [], [], []
         for shift in range(width - 1, -1, -1):
-            bits = ((row >> shift) & 1).astype(bool)
+            bits = (row & row.dtype.type(1 << shift)) != 0
             packed = np.packbits(bits)
             planes.append(packed)
             counts.append(_running(packed))
-            front = row[~bits]
+            # Places first, then their ids: a mask as an index is several times slower.
+            front = row.take(np.flatnonzero(~bits))
             zeros.append(len(front))
-            row = np.concatenate((front, row[bits]))
+            row = np.concatenate((front, row.take(np.flatnonzero(bits))))
         return cls(len(ids), zeros, planes, counts)
 
     def to_bytes(self) -> bytes:
@@ -136,8 +137,8 @@ class WaveletMatrix:
         for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
             bits = np.unpackbits(plane, count=self.size).astype(bool)
             up = np.empty_like(row)
-            up[~bits] = row[:zeros]
-            up[bits] = row[zeros:] | kind(1 << level)
+            up[np.flatnonzero(~bits)] = row[:zeros]
+            up[np.flatnonzero(bits)] = row[zeros:] | kind(1 << level)
             row = up
         return row.astype("<u4")
 
