@@ -21,7 +21,7 @@ NEAR_WORDS, NEAR_SHARE = 0.5, 1e-9
 #: Steps after which the multipliers are taken as they are; bisection alone has then used up a double's precision.
 MOST_STEPS = 80
 #: A class of equally long documents of a source is split beyond this many rows.
-CLASS_ROWS = 20_000
+CLASS_ROWS = 1_000
 
 
 def word_count(text: str = "text") -> Column:
