@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assayer.plans.scratch import scratch_dir
 
@@ -49,7 +50,7 @@ def reachable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``each`` over the record batches of every partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

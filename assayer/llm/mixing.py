@@ -154,11 +154,55 @@ def mix(
     Null sources are one source, the last. Repeated rows count as rows of their own. Documents without words are taken
     once and count nothing. Columns other than the three named are ignored. An empty table gives an empty result.
     """
+    return mixed_rows(docs, weights, share, most, key, text, source).drop("_key", "text_hash")
+
+
+def taken_copies(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    most: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with all its columns."""
+    counted = mixed_rows(docs, weights, share, most, key, text, source).groupBy("doc_id", "text_hash", "_key")
+    counted = written(counted.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")), "mix-copies")
+    counted = counted.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_of", "_key": "_source"})
+    same = (
+        F.col(key).eqNullSafe(F.col("_doc"))
+        & (F.xxhash64(F.col(text).cast("string")) == F.col("_of"))
+        & (source_key(source) == F.col("_source"))
+    )
+    rows = docs.join(counted.filter(F.col("_copies") > 0), same)
+    once = rows.filter(F.col("_rows") == 1)
+    if not counted.filter(F.col("_rows") > 1).isEmpty():
+        # Rows repeated with id, text and source share their copies.
+        once = once.unionByName(rows.filter(F.col("_rows") > 1).dropDuplicates(["_doc", "_of", "_source"]))
+    return once.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
+def source_key(source: str) -> Column:
+    """One non-null key in the order of code points, null last."""
     name = F.col(source).cast("string")
-    # One non-null key in the order of code points, null last.
+    return F.when(name.isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), name))
+
+
+def mixed_rows(
+    docs: DataFrame,
+    weights: tuple[float, ...],
+    share: float,
+    most: int,
+    key: str,
+    text: str,
+    source: str,
+) -> DataFrame:
+    """The rows of ``mix`` with ``_key``, the source's key, and ``text_hash``, the hash of the text as it stands."""
     plain = docs.select(
         F.col(key).alias("doc_id"),
-        F.when(name.isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), name)).alias("_key"),
+        source_key(source).alias("_key"),
+        F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
         word_count(text).alias("size"),
         F.xxhash64(F.col(key)).alias("_hash"),
     )
@@ -200,5 +244,7 @@ def mix(
             (F.col("size") * F.col("copies")).alias("taken"),
             "copies",
             F.col("_rate").alias("rate"),
+            "_key",
+            "text_hash",
         )
     )

@@ -114,21 +114,20 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, key, grams, sig`` of each document; without words, key and signature are null."""
+    """``doc_id, text_hash, key, sig`` of each document; without words, key and signature are null."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys, sizes, sigs = [], [], []
+        keys, sigs = [], []
         for cell in batch.column(1):
             words = words_of(cell.as_py())
-            grams = shingles(words, width)
             keys.append(text_key(words) if words else None)
-            sizes.append(len(grams))
-            sigs.append(signature(grams).tobytes() if words else None)
-        columns = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "grams", "sig"])
+            sigs.append(signature(shingles(words, width)).tobytes() if words else None)
+        columns = [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "key", "sig"])
 
-    return arrow_map(docs, each, f"doc_id {kind}, key binary, grams bigint, sig binary")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    return arrow_map(hashed, each, f"doc_id {kind}, text_hash bigint, key binary, sig binary")
 
 
 def _band_keys(texts: DataFrame) -> DataFrame:
@@ -303,9 +302,36 @@ def near_duplicates(
 
     Texts of fewer words than ``width`` have one shingle, all their words. Documents without words (null or empty)
     link with nothing and are their own class. Null ids come last in their class; a class of null ids alone has a null
-    class id. Repeated rows are linked like other copies, and all rows with the least id are ``kept``.
-    Columns other than the two named are ignored. An empty table gives an empty result.
+    class id, and all of it is ``kept``. Repeated rows are linked like other copies, and all rows with the least id
+    are ``kept``. Columns other than the two named are ignored. An empty table gives an empty result.
     """
+    return linked_rows(docs, threshold, width, tolerance, key, text).drop("text_hash")
+
+
+def first_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each class does: the one with the least id.
+
+    Rows that repeat id and text stay once. All columns are kept.
+    """
+    judged = linked_rows(docs, threshold, width, TOLERANCE, key, text).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    judged = written(judged, "join-kept").withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+    same = F.col(key).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_hash"))
+    rows = docs.join(judged, same)
+    once = rows.filter(F.col("_rows") == 1).select(docs.columns)
+    if judged.filter(F.col("_rows") > 1).isEmpty():
+        return once
+    return once.unionByName(rows.filter(F.col("_rows") > 1).dropDuplicates(["_doc", "_hash"]).select(docs.columns))
+
+
+def linked_rows(
+    docs: DataFrame,
+    threshold: float,
+    width: int,
+    tolerance: float,
+    key: str,
+    text: str,
+) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``text_hash``, the hash of the text as it stands."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = written(_signatures(rows, width), "join-signatures")
     # One row per text; its document with the least id stands for it.
@@ -344,13 +370,14 @@ def near_duplicates(
         )
     )
     return (
-        signed.select("doc_id", "key")
+        signed.select("doc_id", "text_hash", "key")
         .join(about, F.col("key") == F.col("_key"), "left")
         .select(
             "doc_id",
             F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"),
             F.coalesce("_text_links", F.lit(0)).cast("bigint").alias("n_text_links"),
+            "text_hash",
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
     )

@@ -11,10 +11,12 @@ from assayer.llm import twins
 from assayer.llm.bpe import count_tokens
 from assayer.llm.common import table
 from assayer.llm.embedding_dedup import near_duplicate_vectors
+from assayer.llm.language import languages
 from assayer.llm.mixing import mix
 from assayer.llm.ngram_join import near_duplicates
 from assayer.llm.packing import pack
 from assayer.llm.quality_rules import judge_quality
+from assayer.llm.secrets import secret_digest
 from assayer.llm.sharding import assign_shards
 from assayer.llm.token_files import read_documents, write_token_shards
 from assayer.plans.scratch import scratch_dir
@@ -43,6 +45,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"), scratch_dir(spark, "secret-ledger"))
+
+
 @_query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
@@ -65,6 +72,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
 
 
+@_query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, width=5)
