@@ -270,7 +270,8 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
 def _gram_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``tid, set`` of the texts in ``wanted`` (``tid, doc_id, key``), from the documents that stand for them."""
     asked = wanted.select(F.col("doc_id").alias("_doc"), "tid", F.col("key").alias("_key"))
-    texts = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("tid", "_key", "text")
+    # Few texts are asked for in a small table, too many to broadcast in a large one: the plan is the same for both.
+    texts = docs.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc"))).select("tid", "_key", "text")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         tids, sets = [], []
@@ -313,14 +314,15 @@ def first_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, key:
 
     Rows that repeat id and text stay once. All columns are kept.
     """
-    judged = linked_rows(docs, threshold, width, TOLERANCE, key, text).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
-    judged = written(judged, "join-kept").withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
-    same = F.col(key).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_hash"))
-    rows = docs.join(judged, same)
-    once = rows.filter(F.col("_rows") == 1).select(docs.columns)
-    if judged.filter(F.col("_rows") > 1).isEmpty():
-        return once
-    return once.unionByName(rows.filter(F.col("_rows") > 1).dropDuplicates(["_doc", "_hash"]).select(docs.columns))
+    judged = linked_rows(docs, threshold, width, TOLERANCE, key, text).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    judged = written(judged, "join-kept")
+    # Rows travel as one struct, so that their column names clash with nothing.
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("of"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
+    stay = rows.join(judged, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
+    once = stay.filter(F.col("times") == 1)
+    if not judged.filter(F.col("times") > 1).isEmpty():
+        once = once.unionByName(stay.filter(F.col("times") > 1).dropDuplicates(["doc_id", "text_hash"]))
+    return once.select("row.*")
 
 
 def linked_rows(
@@ -354,7 +356,7 @@ def linked_rows(
     sets = _gram_sets(rows, clustered, width)
     heavy = _tiles(clustered.select("tid", "cluster", "copies").join(cluster_sizes, "cluster"), "cluster", F.col("_n")).drop("_n")
     single = sets.dropDuplicates(["tid"]) if repeated else sets
-    checked = written(_verified(heavy.join(single, "tid"), threshold), "join-links")
+    checked = written(_verified(heavy.hint("merge").join(single, "tid"), threshold), "join-links")
     links = checked.groupBy("tid").agg(F.sum("texts").alias("_texts"), F.sum("copies").alias("_copies"))
     classes = components(checked.select(F.col("tid").alias("u"), F.col("to").alias("v"))).withColumnRenamed("node", "tid")
     named = counted.join(classes, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
