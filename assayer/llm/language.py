@@ -51,7 +51,9 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
 
     Both come from the probabilities of each word's language, summed over the whole text. A null text or one without a
     letter is ``und`` with score 0, and so is everything without a model. Ties go to the first language by name.
+    Columns of these two names are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -168,19 +168,18 @@ def taken_copies(
 ) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with all its columns."""
     counted = mixed_rows(docs, weights, share, most, key, text, source).groupBy("doc_id", "text_hash", "_key")
-    counted = written(counted.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")), "mix-copies")
-    counted = counted.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_of", "_key": "_source"})
-    same = (
-        F.col(key).eqNullSafe(F.col("_doc"))
-        & (F.xxhash64(F.col(text).cast("string")) == F.col("_of"))
-        & (source_key(source) == F.col("_source"))
+    counted = written(counted.agg(F.sum("copies").alias("taken"), F.count(F.lit(1)).alias("times")), "mix-copies")
+    # Rows travel as one struct, so that their column names clash with nothing.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(key).alias("of"), F.xxhash64(F.col(text).cast("string")).alias("hash"), source_key(source).alias("from")
     )
-    rows = docs.join(counted.filter(F.col("_copies") > 0), same)
-    once = rows.filter(F.col("_rows") == 1)
-    if not counted.filter(F.col("_rows") > 1).isEmpty():
+    same = F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")) & (F.col("from") == F.col("_key"))
+    taken = rows.join(counted.filter(F.col("taken") > 0), same)
+    once = taken.filter(F.col("times") == 1)
+    if not counted.filter(F.col("times") > 1).isEmpty():
         # Rows repeated with id, text and source share their copies.
-        once = once.unionByName(rows.filter(F.col("_rows") > 1).dropDuplicates(["_doc", "_of", "_source"]))
-    return once.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+        once = once.unionByName(taken.filter(F.col("times") > 1).dropDuplicates(["doc_id", "text_hash", "_key"]))
+    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int")))).select("row.*")
 
 
 def source_key(source: str) -> Column:

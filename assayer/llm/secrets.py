@@ -135,10 +135,14 @@ def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES)
 
 
 def with_findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``found``: the findings of each one's blob, null where there are none. Scans what is due first."""
+    """``row, found``: each row of ``docs`` as a struct and the findings of its blob, null where there are none.
+
+    Scans what is due first.
+    """
     scan_unseen(docs, ledger, rules, key, text)
-    found = findings(docs.sparkSession, ledger, rules).withColumnRenamed("blob", "_blob")
-    return docs.withColumn("_of", blob_of(text)).join(found, F.col("_of") == F.col("_blob"), "left").drop("_of", "_blob")
+    found = findings(docs.sparkSession, ledger, rules)
+    rows = docs.select(F.struct("*").alias("row"), blob_of(text).alias("of"))
+    return rows.join(found, F.col("of") == F.col("blob"), "left").select("row", "found")
 
 
 def secret_digest(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,7 +154,7 @@ def secret_digest(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     A null text is the empty blob. Repeated rows and copies share a blob, which is scanned once. Columns other than the
     two named are ignored. An empty table gives an empty result.
     """
-    kept = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_content"))
+    kept = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = F.coalesce("found", F.array().cast(FOUND))
 
     def shown(list_of: Column) -> Column:
@@ -159,30 +163,27 @@ def secret_digest(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     def number(kind: str) -> Column:
         return F.size(F.filter("found", lambda f: f["rule"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    rows = with_findings(kept, ledger, rules, "doc_id", "_content").select("doc_id", found.alias("found"))
+    rows = with_findings(kept, ledger, rules).select("row.doc_id", found.alias("found"))
     base = F.filter("found", lambda f: f["rule"].isin(*BASE))
     return rows.select("doc_id", *[number(k) for k in BASE], F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("found")).alias("spans"))
 
 
-def redact(text: str, found: list[tuple[int, int]], mark: str = "[secret]") -> str:
-    """``text`` with every span, overlapping ones as one, replaced by ``mark``."""
-    parts, at = [], 0
-    for start, end in sorted(found):
-        if start >= at:
-            parts += [text[at:start], mark]
-        at = max(at, end)
-    return "".join([*parts, text[at:]])
+def redacted(
+    docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", mark: str = "[secret]"
+) -> DataFrame:
+    """``docs``, all of them, with every finding in the text, overlapping ones as one, replaced by ``mark``.
 
+    Texts without findings, null ones too, stay as they are.
+    """
+    whole = docs.withColumn(text, F.col(text).cast("string"))
+    content = F.col(f"row.`{text}`")
 
-def redacted(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all of them, with every finding in the text replaced by a mark. Texts without findings stay as they are."""
-
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at, spans = batch.schema.get_field_index(text), batch.column(batch.num_columns - 1).to_pylist()
-        cells = batch.column(at).to_pylist()
-        clean = [redact(t, [(s["start"], s["end"]) for s in found]) if found else t for t, found in zip(cells, spans, strict=True)]
-        columns = [pa.array(clean, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+    def replaced(state: Column, span: Column) -> Column:
+        before = F.concat(state["out"], F.substring(content, state["at"] + 1, span["start"] - state["at"]), F.lit(mark))
+        out = F.when(span["start"] >= state["at"], before).otherwise(state["out"])
+        return F.struct(out.alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
 
-    whole = docs.withColumn(text, F.col(text).cast("string"))
-    return arrow_map(with_findings(whole, ledger, rules, key, text), each, whole.schema)
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    rest = F.aggregate("found", start, replaced, lambda state: F.concat(state["out"], F.substring(content, state["at"] + 1, F.length(content))))
+    rows = with_findings(whole, ledger, rules, key, text)
+    return rows.select(F.col("row").withField(f"`{text}`", F.when(F.col("found").isNull(), content).otherwise(rest)).alias("row")).select("row.*")

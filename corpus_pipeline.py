@@ -23,8 +23,8 @@ LEAST_SHARE = 0.4
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those that no language has a large enough share of."""
-    judged = identify(docs, train(docs))
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(docs.columns)
+    judged = identify(docs.select(F.struct("*").alias("row"), "text"), train(docs))
+    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +34,14 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document and replaces what the secret rules find in it by a mark."""
-    return redacted(docs, scratch_dir(spark, "secret-ledger")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    clean = redacted(docs, scratch_dir(spark, "secret-ledger"))
+    # The number of characters follows the text where it was right before.
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document 0, 1 or 2 times, so that sources come near their share of words."""
-    return taken_copies(docs, weights=(5.0, 2.0, 1.0), share=1.5, most=2).select(docs.columns)
+    return taken_copies(docs, weights=(5.0, 2.0, 1.0), share=1.5, most=2)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
