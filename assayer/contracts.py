@@ -97,8 +97,6 @@ MONTH_PARTITIONS: tuple[str, ...] = ("pickup_year", "pickup_month")
 RUN_STATUSES: tuple[str, ...] = ("running", "succeeded", "failed")
 ERROR_TEXT_LIMIT = 2000
 
-# ---- End of fixed values. ----
-
 _TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "strings": T.ArrayType(T.StringType()),
@@ -221,6 +219,11 @@ HOURLY_MART = MartTable(
     },
 )
 
+# ---- End of fixed values. ----
+
+#: Outermost partition of bronze and silver: the source, or the month of a monthly source, a load replaces as a whole.
+SOURCE_UNIT = "source_unit"
+
 
 def require_columns(df: DataFrame, required: Iterable[str], dataset: str) -> DataFrame:
     """Return ``df`` unchanged, or raise naming every absent column. Extra columns are allowed."""

@@ -48,8 +48,9 @@ def _merged_measures() -> dict[str, Column]:
     measures |= {name: F.sum(name).cast("decimal(22,2)") for name in _SUMMED}
     measures |= {name: F.try_divide(F.sum(f"{name}__sum"), F.sum(f"{name}__n")) for name in _AVERAGED}
     measures |= {name: F.sum(f"{name}__n") / trips for name in _SHARES}
-    measures["distinct_pickup_zones"] = F.count_distinct("pickup_location_id")
-    measures["source_batch_count"] = F.count_distinct("_batch_id")
+    # Sets, bounded by the zones and batches of one key: counting distinct values would copy every row per column.
+    measures["distinct_pickup_zones"] = F.size(F.collect_set("pickup_location_id")).cast("bigint")
+    measures["source_batch_count"] = F.size(F.collect_set("_batch_id")).cast("bigint")
     measures["latest_source_ingested_at"] = F.max("latest_source_ingested_at")
     return measures
 
@@ -59,9 +60,10 @@ def _merge(rollup: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Da
     return rollup.groupBy(*keys).agg(*[measures[c].alias(c) for c in columns if c not in keys])
 
 
-def merge_daily(enriched_rollup: DataFrame) -> DataFrame:
-    """Daily-by-zone table from a rollup that carries the zone attributes."""
-    return _merge(enriched_rollup, DAILY_KEYS, DAILY_SCHEMA.names)
+def merge_daily(enriched_rollup: DataFrame, *, keep_match: bool = False) -> DataFrame:
+    """Daily-by-zone table from a rollup that carries the zone attributes; with ``keep_match`` the match flag as well."""
+    keys = (*DAILY_KEYS, "_zone_lookup_matched") if keep_match else DAILY_KEYS
+    return _merge(enriched_rollup, keys, DAILY_SCHEMA.names)
 
 
 def merge_hourly(rollup: DataFrame) -> DataFrame:
@@ -87,14 +89,11 @@ def daily_zone_from_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 def gold_input_summary(enriched_rollup: DataFrame) -> DataFrame:
     """One row: trips, trips without a zone, first and last pickup date."""
-    return enriched_rollup.agg(
-        F.coalesce(F.sum("trip_count"), F.lit(0)).alias("valid_trip_count"),
-        F.coalesce(F.sum(F.when(F.col("_zone_lookup_matched"), 0).otherwise(F.col("trip_count"))), F.lit(0)).alias(
-            "unmatched_zone_count"
-        ),
-        F.min("pickup_date").alias("date_from"),
-        F.max("pickup_date").alias("date_to"),
-    )
+    unmatched = F.when(F.col("_zone_lookup_matched"), 0).otherwise(F.col("trip_count"))
+    totals = {"valid_trip_count": F.sum("trip_count"), "unmatched_zone_count": F.sum(unmatched)}
+    window = {"date_from": F.min("pickup_date"), "date_to": F.max("pickup_date")}
+    counted = {name: F.coalesce(total, F.lit(0)) for name, total in totals.items()}
+    return enriched_rollup.agg(*[column.alias(name) for name, column in {**counted, **window}.items()])
 
 
 def order_daily(daily: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -30,11 +31,11 @@ def with_lineage(raw: DataFrame, *, batch_id: str, ingested_at: datetime) -> Dat
     return raw.withColumns({"_batch_id": F.lit(batch_id), "_ingested_at": F.lit(ingested_at).cast("timestamp")})
 
 
-def cast_trips(bronze: DataFrame) -> DataFrame:
-    """Typed projection of exactly the contract's columns; text that does not parse becomes NULL."""
+def cast_trips(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed projection of exactly the contract's columns, and those to ``keep``; text that does not parse becomes NULL."""
     require_columns(bronze, TRIP_COLUMNS + LINEAGE_COLUMNS, "bronze trips")
     typed = [cast_text(raw, kind).alias(name) for raw, (name, kind) in SILVER_CASTS.items()]
-    return bronze.select(*typed, *LINEAGE_COLUMNS)
+    return bronze.select(*typed, *LINEAGE_COLUMNS, *keep)
 
 
 def derive_trip_columns(typed: DataFrame) -> DataFrame:
@@ -52,9 +53,9 @@ def derive_trip_columns(typed: DataFrame) -> DataFrame:
     )
 
 
-def build_silver(bronze: DataFrame) -> DataFrame:
+def build_silver(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Bronze text rows to typed, derived and rule-checked rows. One narrow stage, no shuffle."""
-    return tag_rows(derive_trip_columns(cast_trips(bronze)), TRIP_RULES)
+    return tag_rows(derive_trip_columns(cast_trips(bronze, keep)), TRIP_RULES)
 
 
 def zone_dimension(raw_zones: DataFrame) -> DataFrame:

@@ -2,27 +2,42 @@
 
 Layout below the mart root::
 
-    staging/<run>/<table>      rows of one run as they were staged
-    mart/<table>/<run>         one complete version of a table, never changed once written
-    run_log                    append-only events; the newest ``succeeded`` event names the current version
-
-The ``succeeded`` event is a single one-row file, so its appearance is the commit: until then readers see
-the former version of both tables, from then on the new one of both. Publishers of one root must not overlap;
-a publisher that finds that another one committed meanwhile fails and leaves the marts alone.
+    mart/<table>/publish_dir=<run>/pickup_date=<day>    rows one run published, never changed once written
+    versions/<n>                                        an empty file: version n is taken
+    run_log                                             append-only events
+
+The run log is the manifest. Every ``succeeded`` event holds its run's window and version; a date belongs to the newest
+version whose window covers it. A publish therefore writes the rows of its own window and nothing else. Its event is a
+single one-row file, so its appearance is the commit: until then readers see the former version of both tables, from
+then on the new one of both. Of two publishers that started from the same version only one can take the next one.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass
+from datetime import UTC, date, datetime, timedelta
+from functools import reduce
+from operator import or_
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from assayer.contracts import DAILY_MART, ERROR_TEXT_LIMIT, HOURLY_MART, RUN_LOG_SCHEMA, MartTable, require_columns
+from pyspark.sql import types as T
+
+from assayer.contracts import (
+    DAILY_MART,
+    DAILY_SCHEMA,
+    ERROR_TEXT_LIMIT,
+    HOURLY_MART,
+    HOURLY_SCHEMA,
+    RUN_LOG_SCHEMA,
+    MartTable,
+    require_columns,
+)
 from assayer.operators.projections import project_for_mart, stamp_publish
 from assayer.operators.quality import (
+    MartReport,
     assert_constraints,
     assert_non_empty,
     assert_unique_mart_keys,
@@ -32,6 +47,10 @@ from assayer.operators.quality import (
 )
 from assayer.operators.sinks import gathered, overwrite
 from assayer.sources import path_exists, scan_dataset
+from assayer.sources.storage import claim, remove
+
+MARTS = (DAILY_MART, HOURLY_MART)
+_GOLD = {DAILY_MART.name: DAILY_SCHEMA, HOURLY_MART.name: HOURLY_SCHEMA}
 
 Window = tuple[date, date]
 
@@ -45,17 +64,25 @@ class PublishSummary:
     hourly_demand_row_count: int
     mart_version: int
 
+    def metrics(self) -> dict:
+        tables = {"daily_table": DAILY_MART.name, "hourly_table": HOURLY_MART.name, "log_table": "run_log"}
+        return {**asdict(self), **tables}
+
 
 def _run_dir(run_id: str) -> str:
     return f"run-{quote(run_id, safe='').replace('%', '=')}"
 
 
-def staging_path(root: str, table: MartTable, run_id: str) -> str:
-    return f"{root}/staging/{_run_dir(run_id)}/{table.name}"
+def run_path(root: str, table: MartTable, run_id: str) -> str:
+    """Where a run's rows of a mart lie, from staging on."""
+    return f"{root}/mart/{table.name}/publish_dir={_run_dir(run_id)}"
 
 
-def version_path(root: str, table: MartTable, run_id: str) -> str:
-    return f"{root}/mart/{table.name}/{_run_dir(run_id)}"
+def mart_schema(table: MartTable) -> T.StructType:
+    """A mart's columns in order, with the stamps and the directory column."""
+    kinds = {f.name: f.dataType for f in _GOLD[table.name]} | dict.fromkeys(table.money, T.DecimalType(20, 2))
+    stamps = {"publish_run_id": T.StringType(), "published_at": T.TimestampType(), "publish_dir": T.StringType()}
+    return T.StructType([T.StructField(c, kind) for c, kind in {**{c: kinds[c] for c in table.columns}, **stamps}.items()])
 
 
 # ---- run log ----------------------------------------------------------------------------------------------
@@ -124,26 +151,86 @@ def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     return (newest["mart_version"], newest["run_id"]) if newest else None
 
 
-def read_mart(spark: SparkSession, root: str, table: MartTable) -> DataFrame:
-    """The current version of a mart."""
-    version = current_version(spark, root)
-    if version is None:
+@dataclass(frozen=True)
+class Segment:
+    """Dates, both ends included, whose rows come from one run."""
+
+    run_id: str
+    date_from: date
+    date_to: date
+
+
+def overlaid(windows: Sequence[Segment]) -> list[Segment]:
+    """What is left of each window, oldest first, after all later ones: segments that do not overlap, by date."""
+    day, left = timedelta(days=1), []
+    for new in windows:
+        cut = []
+        for old in left:
+            if old.date_from < new.date_from:
+                cut.append(Segment(old.run_id, old.date_from, min(old.date_to, new.date_from - day)))
+            if old.date_to > new.date_to:
+                cut.append(Segment(old.run_id, max(old.date_from, new.date_to + day), old.date_to))
+        left = [*cut, new]
+    return sorted(left, key=lambda s: s.date_from)
+
+
+def published_windows(spark: SparkSession, root: str) -> list[Segment]:
+    """The windows of all successful publishes, oldest first: one small row for each."""
+    done = run_events(spark, root).filter("status = 'succeeded'").orderBy("mart_version")
+    return [Segment(r["run_id"], r["date_from"], r["date_to"]) for r in done.select("run_id", "date_from", "date_to").collect()]
+
+
+def read_mart(spark: SparkSession, root: str, table: MartTable, *, version: int | None = None) -> DataFrame:
+    """The current version of a mart, or an earlier one that is still there."""
+    windows = published_windows(spark, root)
+    if not windows or version is not None and not 1 <= version <= len(windows):
         raise FileNotFoundError(f"nothing has been published to {root}")
-    return scan_dataset(spark, version_path(root, table, version[1]))
+    segments = overlaid(windows[:version])
+    paths = sorted({run_path(root, table, s.run_id) for s in segments})
+    reader = spark.read.schema(mart_schema(table)).option("basePath", f"{root}/mart/{table.name}")
+    # Conditions on the directory columns, so that Spark reads no other files.
+    wanted = [
+        (F.col("publish_dir") == _run_dir(s.run_id)) & F.col("pickup_date").between(F.lit(s.date_from), F.lit(s.date_to)) for s in segments
+    ]
+    rows = reader.parquet(*paths).filter(reduce(or_, wanted))
+    return rows.select(*table.columns, "publish_run_id", "published_at")
+
+
+def vacuum(spark: SparkSession, root: str, *, keep: int = 1) -> list[str]:
+    """Delete the rows of closed runs that none of the newest ``keep`` versions reads; returns the run ids."""
+    if keep < 1:
+        raise ValueError("at least the current version has to be kept")
+    windows = published_windows(spark, root)
+    used = {s.run_id for n in range(max(1, len(windows) - keep + 1), len(windows) + 1) for s in overlaid(windows[:n])}
+    closed = [r["run_id"] for r in latest_runs(run_events(spark, root)).filter("status <> 'running'").select("run_id").collect()]
+    return sorted(run for run in closed if run not in used and any([remove(spark, run_path(root, table, run)) for table in MARTS]))
+
+
+def release_version(spark: SparkSession, root: str, version: int) -> bool:
+    """Free a version that a publisher took and died with. Refused once it is published."""
+    newest = current_version(spark, root)
+    if newest is not None and version <= newest[0]:
+        raise ValueError(f"version {version} is published")
+    return remove(spark, _claim_path(root, version))
+
+
+def _claim_path(root: str, version: int) -> str:
+    return f"{root}/versions/{version}"
 
 
 # ---- staging and replacement ------------------------------------------------------------------------------
 
 
 def stage_mart(gold: DataFrame, table: MartTable, *, root: str, run_id: str, published_at: datetime) -> int:
-    """Write the mart rows of one run to its staging directory from all executors; returns the row count.
+    """Write the mart rows of one run, by date, from all executors; returns the row count. Readers do not see them yet.
 
     Amounts are held to the mart's money type. Those that do not fit are counted while writing and fail the run.
     """
     rows = stamp_publish(project_for_mart(gold, table), run_id=run_id, published_at=published_at)
     seen = overwrite(
-        rows,
-        staging_path(root, table, run_id),
+        gathered(rows, ["pickup_date"]),
+        run_path(root, table, run_id),
+        partition_by=["pickup_date"],
         measures=overflow_counts(table),
         convert={c: F.col(c).try_cast(table.money_type) for c in table.money},
     )
@@ -151,6 +238,12 @@ def stage_mart(gold: DataFrame, table: MartTable, *, root: str, run_id: str, pub
     return seen["rows"]
 
 
+def staged_rows(spark: SparkSession, table: MartTable, *, root: str, run_id: str) -> DataFrame:
+    """The rows a run has staged."""
+    reader = spark.read.schema(mart_schema(table)).option("basePath", f"{root}/mart/{table.name}")
+    return reader.parquet(run_path(root, table, run_id)).select(*table.columns, "publish_run_id", "published_at")
+
+
 def publish_dates(daily: DataFrame, hourly: DataFrame) -> DataFrame:
     """The pickup dates of both tables, repeats kept."""
     return daily.select("pickup_date").unionAll(hourly.select("pickup_date"))
@@ -177,11 +270,12 @@ def replace_window(current: DataFrame, staged: DataFrame, date_from: date, date_
     return kept.unionByName(staged)
 
 
-def _checked_window(staged: Window, wanted: Window | None) -> Window:
+def _checked_window(reports: Sequence[MartReport], wanted: Window | None) -> Window:
     if wanted is None:
-        return staged
-    if not wanted[0] <= staged[0] <= staged[1] <= wanted[1]:
-        raise ValueError(f"staged dates {staged[0]}..{staged[1]} leave the window {wanted[0]}..{wanted[1]}")
+        return assert_window_complete(*reports)
+    dates = [d for report in reports for d in (report.date_from, report.date_to) if d is not None]
+    if dates and not wanted[0] <= min(dates) <= max(dates) <= wanted[1]:
+        raise ValueError(f"staged dates {min(dates)}..{max(dates)} leave the window {wanted[0]}..{wanted[1]}")
     return wanted
 
 
@@ -191,8 +285,8 @@ def publish_marts(
     """Publish both marts, or neither.
 
     Without ``window`` every date from the first to the last staged one is replaced, so a single stray date
-    widens the range. Pass ``window`` to fix the range; staged dates outside of it then fail the publish.
-    On an error the run is logged as failed and the error is raised again.
+    widens the range. Pass ``window`` to fix the range; staged dates outside of it then fail the publish, and a window
+    both tables have no rows for is emptied. On an error the run is logged as failed and the error is raised again.
     """
     gold = {DAILY_MART: daily, HOURLY_MART: hourly}
     for table, df in gold.items():
@@ -201,25 +295,20 @@ def publish_marts(
         raise ValueError(f"run {run_id} is already in the run log")
     started_at = datetime.now(UTC)
     log_started(spark, root, run_id=run_id, started_at=started_at)
+    taken = None
     try:
         base = current_version(spark, root)
         counts = {
             table.name: stage_mart(df, table, root=root, run_id=run_id, published_at=started_at)
             for table, df in gold.items()
         }
-        assert_non_empty(counts)
-        staged = {table: scan_dataset(spark, staging_path(root, table, run_id)) for table in gold}
-        reports = [mart_report(rows, table) for table, rows in staged.items()]
+        if window is None or any(counts.values()):
+            assert_non_empty(counts)
+        reports = [mart_report(staged_rows(spark, table, root=root, run_id=run_id), table) for table in gold]
         assert_unique_mart_keys(*reports)
-        date_from, date_to = _checked_window(assert_window_complete(*reports), window)
         for report in reports:
             assert_constraints(report.table, report.violations)
-        for table, rows in staged.items():
-            version = rows
-            if base is not None:
-                current = scan_dataset(spark, version_path(root, table, base[1]))
-                version = replace_window(current, rows, date_from, date_to)
-            overwrite(gathered(version, ["pickup_date"]), version_path(root, table, run_id))
+        date_from, date_to = _checked_window(reports, window)
         summary = PublishSummary(
             run_id=run_id,
             date_from=date_from,
@@ -228,10 +317,14 @@ def publish_marts(
             hourly_demand_row_count=counts[HOURLY_MART.name],
             mart_version=1 + (base[0] if base else 0),
         )
-        if current_version(spark, root) != base:
-            raise RuntimeError("another run published to these marts meanwhile")
+        path = _claim_path(root, summary.mart_version)
+        if not claim(spark, path):
+            raise RuntimeError(f"another run took version {summary.mart_version} of these marts meanwhile; see release_version")
+        taken = path
         log_succeeded(spark, root, summary=summary, started_at=started_at)
         return summary
     except Exception as error:
+        if taken is not None and run_id not in {w.run_id for w in published_windows(spark, root)}:
+            remove(spark, taken)
         log_failed(spark, root, run_id=run_id, started_at=started_at, error=error)
         raise

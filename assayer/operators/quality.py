@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from assayer.contracts import RUN_STATUSES, MartTable
@@ -25,26 +25,33 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
 
 
-def key_report(df: DataFrame, key: str) -> DataFrame:
-    """One row: total rows, rows with NULL key, repeated keys."""
+def key_report(df: DataFrame, key: str, **measures: Column) -> DataFrame:
+    """One row: total rows, rows with NULL key, repeated keys, and the totals of further sums over ``df``."""
     found = F.col("row_count")
-    return key_counts(df, key).agg(
+    counts = df.groupBy(key).agg(F.count("*").alias("row_count"), *[m.alias(name) for name, m in measures.items()])
+    return counts.agg(
         F.coalesce(F.sum(found), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.when(F.col(key).isNull(), found)), F.lit(0)).alias("null_key_rows"),
         F.count_if(found > 1).alias("duplicate_keys"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures],
     )
 
 
 def assert_unique_non_null_key(df: DataFrame, *, key: str, dataset: str) -> int:
     """Raise on an absent key column, else on NULL keys, else on repeated keys. Returns the row count; one job."""
+    return checked_key(df, key=key, dataset=dataset)["row_count"]
+
+
+def checked_key(df: DataFrame, *, key: str, dataset: str, **measures: Column) -> Row:
+    """The checks of ``assert_unique_non_null_key`` and further sums over ``df``, all in one job."""
     if key not in df.columns:
         raise ValueError(f"{dataset} is missing its key column {key}")
-    report = key_report(df, key).first()
+    report = key_report(df, key, **measures).first()
     if report["null_key_rows"]:
         raise ValueError(f"{dataset} has null values in key {key}")
     if report["duplicate_keys"]:
         raise ValueError(f"{dataset} has duplicate values in key {key}")
-    return report["row_count"]
+    return report
 
 
 def assert_non_empty(counts: dict[str, int]) -> None:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from assayer.contracts import MONTH_PARTITIONS
+from assayer.contracts import MONTH_PARTITIONS, SOURCE_UNIT
 from assayer.operators.rules import invalid_rows, valid_rows
+from assayer.sources.storage import remove
+
+UNIT_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
 def overwrite(
@@ -20,10 +24,11 @@ def overwrite(
     replace: str = "all",
     measures: Mapping[str, Column] | None = None,
     convert: Mapping[str, Column] | None = None,
+    drop: Sequence[str] = (),
 ) -> dict[str, Any]:
     """Write ``df`` to ``path`` and return ``rows`` plus any extra ``measures``.
 
-    Measures look at ``df``; columns named in ``convert`` are replaced after that, before the write.
+    Measures look at ``df``; after that columns in ``convert`` are replaced and those in ``drop`` left out.
 
     ``replace='all'`` replaces the dataset; ``replace='partitions'`` only those partitions ``df`` has rows for.
     The measures are observed in the writing stage itself: each of its tasks counts once, also when lost
@@ -41,7 +46,7 @@ def overwrite(
     seen = Observation()
     columns = {"rows": F.count(F.lit(1)), **(measures or {})}
     observed = df.observe(seen, *[c.alias(name) for name, c in columns.items()])
-    writer = observed.withColumns(dict(convert or {})).write.mode("overwrite")
+    writer = observed.withColumns(dict(convert or {})).drop(*drop).write.mode("overwrite")
     if partition_by:
         mode = "dynamic" if replace == "partitions" else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
@@ -54,35 +59,71 @@ def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def overwrite_by_month(df: DataFrame, path: str, *, replace: str = "all") -> int:
-    """Gold sink: one small set of files per month."""
-    return overwrite(gathered(df, MONTH_PARTITIONS), path, partition_by=MONTH_PARTITIONS, replace=replace)["rows"]
+def overwrite_by_month(
+    df: DataFrame,
+    path: str,
+    *,
+    months: Sequence[tuple[int, int]] | None = None,
+    measures: Mapping[str, Column] | None = None,
+    drop: Sequence[str] = (),
+) -> dict[str, Any]:
+    """Gold sink: one small set of files per month.
+
+    With ``months``, given as (year, month), exactly these are replaced; ``df`` has rows of no others. A month it has no
+    row for is emptied.
+    """
+    replace = "all" if months is None else "partitions"
+    seen = {} if months is None else {f"month_{y}_{m}": F.count_if((F.col("pickup_year") == y) & (F.col("pickup_month") == m)) for y, m in months}
+    written = overwrite(gathered(df, MONTH_PARTITIONS), path, partition_by=MONTH_PARTITIONS, replace=replace, measures={**seen, **(measures or {})}, drop=drop)
+    for year, month in months or ():
+        if not written[f"month_{year}_{month}"]:
+            remove(df.sparkSession, f"{path}/pickup_year={year}/pickup_month={month}")
+    return written
 
 
 def overwrite_gold_pair(
-    daily: DataFrame, hourly: DataFrame, daily_path: str, hourly_path: str, *, replace: str = "all"
+    daily: DataFrame, hourly: DataFrame, daily_path: str, hourly_path: str, *, months: Sequence[tuple[int, int]] | None = None
 ) -> tuple[int, int]:
-    return (
-        overwrite_by_month(daily, daily_path, replace=replace),
-        overwrite_by_month(hourly, hourly_path, replace=replace),
+    return tuple(overwrite_by_month(df, path, months=months)["rows"] for df, path in ((daily, daily_path), (hourly, hourly_path)))
+
+
+def silver_layout(tagged: DataFrame) -> DataFrame:
+    """The directory columns of silver: the side, and for valid rows the month of the pickup.
+
+    Invalid rows are few and any of their columns may be missing, so they have one directory.
+    """
+    valid = F.col("is_valid")
+    month = F.format_string("%04d-%02d", "pickup_year", "pickup_month")
+    return tagged.withColumns(
+        {"row_set": F.when(valid, "valid").otherwise("invalid"), "row_month": F.when(valid, F.concat(F.lit("m"), month)).otherwise("all")}
     )
 
 
-def overwrite_silver(tagged: DataFrame, path: str, *, replace: str = "all") -> dict[str, int]:
-    """Write valid and invalid rows in one pass as ``row_set=valid|invalid`` / year / month directories.
+def overwrite_silver(tagged: DataFrame, path: str, *, unit: str | None = None) -> dict[str, int]:
+    """Write valid and invalid rows in one pass, below a directory for each source unit.
 
-    One scan, one cast, no shuffle and no cache. Read either side back with ``read_silver``.
+    With ``unit`` exactly what that unit wrote before is replaced, its valid and its invalid rows together, also where
+    one side is now empty. Without it the whole dataset is; ``tagged`` may carry ``source_unit``. One scan, one cast,
+    no shuffle and no cache. Read either side back with ``read_silver``.
     """
-    labelled = tagged.withColumn("row_set", F.when(F.col("is_valid"), "valid").otherwise("invalid"))
+    whole = unit is None
+    if whole and SOURCE_UNIT not in tagged.columns:
+        tagged = tagged.withColumn(SOURCE_UNIT, F.lit("all"))
     return overwrite(
-        labelled,
-        path,
-        partition_by=("row_set", *MONTH_PARTITIONS),
-        replace=replace,
+        silver_layout(tagged),
+        path if whole else unit_path(path, unit),
+        partition_by=(*((SOURCE_UNIT,) if whole else ()), "row_set", "row_month"),
         measures={"valid_rows": F.count_if(F.col("is_valid")), "invalid_rows": F.count_if(~F.col("is_valid"))},
     )
 
 
+def unit_path(path: str, unit: str) -> str:
+    """The directory of one source unit of a bronze or silver dataset."""
+    if not UNIT_NAME.fullmatch(unit):
+        raise ValueError(f"a source unit is made of letters, digits, '-', '_' and '.': {unit!r}")
+    return f"{path}/{SOURCE_UNIT}={unit}"
+
+
 def overwrite_silver_pair(tagged: DataFrame, valid_path: str, invalid_path: str) -> tuple[int, int]:
     """Two separate datasets, valid by month and invalid flat. Evaluates ``tagged`` once per dataset."""
     valid = overwrite(valid_rows(tagged), valid_path, partition_by=MONTH_PARTITIONS)["rows"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.contracts import VALID_TRIP_COLUMNS, require_columns
@@ -12,28 +12,23 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 _ATTRIBUTES = ("borough", "zone", "service_zone")
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of a frame's size: the text length of every value plus a fixed share per row and column."""
+def text_bytes(df: DataFrame) -> Column:
+    """Upper estimate of a frame's size, as an aggregate: the text of every value and a fixed share per row and column."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    total = df.agg(F.sum(width + F.lit(16 * (1 + len(df.columns)))).alias("bytes")).first()["bytes"]
-    return int(total or 0)
+    return F.coalesce(F.sum(width + F.lit(16 * (1 + len(df.columns)))), F.lit(0))
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the measured size allows it.
-
-    Otherwise the frame is returned as is: Spark then sort-merge joins, and adaptive execution splits hot keys.
-    """
-    return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
-
-
-def attach_zone(df: DataFrame, zones: DataFrame, *, key: str = "pickup_location_id", limit_bytes: int | None = None) -> DataFrame:
+def attach_zone(df: DataFrame, zones: DataFrame, *, key: str = "pickup_location_id", broadcast: bool | None = None) -> DataFrame:
     """``df`` plus three zone attributes (``Unknown`` where absent) and ``_zone_lookup_matched``.
 
-    The flag comes from the key, so a matched zone with NULL attributes still counts as matched.
+    The flag comes from the key, so a matched zone with NULL attributes still counts as matched. ``broadcast`` is the
+    decision of a caller that knows the size of ``zones``: True broadcasts them, False sort-merge joins, and None leaves
+    it to Spark's own statistics. No job runs here.
     """
-    limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    lookup = broadcast_if_small(zones.select("location_id", *_ATTRIBUTES), limit).alias("zone_side")
+    lookup = zones.select("location_id", *_ATTRIBUTES)
+    if broadcast is not None:
+        lookup = lookup.hint("broadcast" if broadcast else "merge")
+    lookup = lookup.alias("zone_side")
     rows = df.alias("row_side")
     return rows.join(lookup, F.col(f"row_side.{key}") == F.col("zone_side.location_id"), "left").select(
         "row_side.*",

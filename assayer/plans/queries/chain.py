@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.contracts import DAILY_MART, DAILY_SCHEMA, HOURLY_SCHEMA, MONTH_PARTITIONS, SOURCE_PATH, TRIP_COLUMNS, ZONE_COLUMNS
+from assayer.contracts import DAILY_MART, DAILY_SCHEMA, HOURLY_MART, HOURLY_SCHEMA, MONTH_PARTITIONS, SOURCE_PATH, SOURCE_UNIT, TRIP_COLUMNS, ZONE_COLUMNS
 from assayer.operators.publish import read_mart
 from assayer.operators.sinks import overwrite, overwrite_gold_pair, overwrite_silver, overwrite_silver_pair
 from assayer.plans import stages
@@ -26,7 +26,7 @@ _ONE_BATCH = (
 def _trip_spec(t: Tables) -> SourceSpec:
     path = scratch_dir(t.spark, "trips")
     t.raw.select(*TRIP_COLUMNS).write.parquet(path)
-    return SourceSpec(path, "parquet", "tlc", 2024, 1)
+    return SourceSpec(path, "parquet", "tlc", (2024, 1))
 
 
 def _zone_spec(t: Tables) -> SourceSpec:
@@ -41,6 +41,10 @@ def _written(t: Tables, df: DataFrame, purpose: str) -> str:
     return path
 
 
+def _both_sides(t: Tables, path: str) -> DataFrame:
+    return stages.read_silver(t.spark, path).unionByName(stages.read_silver(t.spark, path, valid=False))
+
+
 # ---- sinks ----
 
 
@@ -83,11 +87,11 @@ def _(t: Tables) -> DataFrame:
     return reasons_as_text(both)
 
 
-@query("sink_silver_one_pass", _SILVER + " WHERE NOT is_valid")
+@query("sink_silver_one_pass", _SILVER)
 def _(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "silver")
     overwrite_silver(t.silver, path)
-    return reasons_as_text(stages.read_silver(t.spark, path, valid=False))
+    return reasons_as_text(_both_sides(t, path))
 
 
 @query(
@@ -120,7 +124,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     out = scratch_dir(t.spark, "bronze")
     stages.run_bronze(t.spark, spec=_trip_spec(t), output_path=out, batch_id="run-1", ingested_at=_ARRIVAL)
-    return scan_dataset(t.spark, out).drop(SOURCE_PATH)
+    return scan_dataset(t.spark, out).drop(SOURCE_PATH, SOURCE_UNIT)
 
 
 @query("run_zones", "SELECT * EXCLUDE (_source_file_path) FROM zone_dim")
@@ -139,8 +143,7 @@ def _silver_at(t: Tables) -> str:
 @query("run_silver", _SILVER)
 def _(t: Tables) -> DataFrame:
     path = _silver_at(t)
-    both = stages.read_silver(t.spark, path).unionByName(stages.read_silver(t.spark, path, valid=False))
-    return reasons_as_text(both)
+    return reasons_as_text(_both_sides(t, path))
 
 
 def _gold_at(t: Tables) -> tuple[str, str]:
@@ -165,6 +168,67 @@ def _(t: Tables) -> DataFrame:
     return comparable(scan_dataset(t.spark, _gold_at(t)[1], HOURLY_SCHEMA))
 
 
+# ---- loads by source unit: two units share every day, one is loaded spoilt first and then again ----
+
+
+def _unit_spec(t: Tables, month: int, rows: DataFrame) -> SourceSpec:
+    path = scratch_dir(t.spark, "trips")
+    rows.select(*TRIP_COLUMNS).write.parquet(path)
+    return SourceSpec(path, "parquet", "tlc", (2024, month))
+
+
+def _unit_loads(t: Tables) -> list[SourceSpec]:
+    """Even events as one unit. Odd ones as another: first with pickups a month late and some fares spoilt, then as they are."""
+    even, odd = (t.raw.filter(F.col("event_id") % 2 == half) for half in (0, 1))
+    late = {c: F.regexp_replace(c, "^2024-01", "2024-02") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    spoilt = odd.withColumns({**late, "fare_amount": F.when(F.col("event_id") % 5 == 0, "none").otherwise(F.col("fare_amount"))})
+    return [_unit_spec(t, 1, even), _unit_spec(t, 2, spoilt), _unit_spec(t, 2, odd)]
+
+
+def _loaded_by_unit(t: Tables) -> tuple[str, list[stages.SilverSummary]]:
+    bronze, silver = scratch_dir(t.spark, "bronze"), scratch_dir(t.spark, "silver")
+    runs = []
+    for number, spec in enumerate(_unit_loads(t)):
+        stages.run_bronze(t.spark, spec=spec, output_path=bronze, batch_id=f"run-{number}", ingested_at=_ARRIVAL, replace="unit")
+        runs.append(stages.run_silver(t.spark, bronze_path=bronze, silver_path=silver, unit=spec.unit))
+    return silver, runs
+
+
+_BATCHLESS = "SELECT * EXCLUDE ({}) FROM {}"
+
+
+@query("run_silver_monthly", _BATCHLESS.format("_batch_id, _ingested_at, _source_file_path", "silver"))
+def _(t: Tables) -> DataFrame:
+    """Nothing of a unit's spoilt load stays, valid or invalid, and nothing of the other unit is lost."""
+    path, _ = _loaded_by_unit(t)
+    return reasons_as_text(_both_sides(t, path)).drop("_batch_id", "_ingested_at", SOURCE_PATH)
+
+
+@query("run_gold_monthly", _BATCHLESS.format("source_batch_count, latest_source_ingested_at", "daily"))
+def _(t: Tables) -> DataFrame:
+    """After the spoilt load and after the right one only the months touched are computed; February is emptied."""
+    silver, daily, hourly = (scratch_dir(t.spark, name) for name in ("silver", "daily", "hourly"))
+    bronze, zones = scratch_dir(t.spark, "bronze"), _written(t, t.zones, "zones")
+    for number, spec in enumerate(_unit_loads(t)):
+        stages.run_bronze(t.spark, spec=spec, output_path=bronze, batch_id=f"run-{number}", ingested_at=_ARRIVAL, replace="unit")
+        run = stages.run_silver(t.spark, bronze_path=bronze, silver_path=silver, unit=spec.unit)
+        stages.run_gold(t.spark, silver_path=silver, zones_path=zones, daily_path=daily, hourly_path=hourly, months=run.months)
+    return comparable(stages.read_gold(t.spark, daily, hourly)[0].drop("source_batch_count", "latest_source_ingested_at"))
+
+
+@query(
+    "run_all_two_months",
+    "SELECT * EXCLUDE (pickup_year, pickup_month, source_batch_count, latest_source_ingested_at), 'run-2' AS publish_run_id FROM daily",
+)
+def _(t: Tables) -> DataFrame:
+    """Units through the whole chain to the marts; the last publish covers both months, of which one is now empty."""
+    root, zones = scratch_dir(t.spark, "all"), _zone_spec(t)
+    for number, spec in enumerate(_unit_loads(t)):
+        stages.run_all(t.spark, trips=spec, zones=zones, root=root, run_id=f"run-{number}", ingested_at=_ARRIVAL, replace="unit")
+    mart = read_mart(t.spark, f"{root}/marts", DAILY_MART)
+    return comparable(mart.drop("published_at", "source_batch_count", "latest_source_ingested_at"))
+
+
 def _run_all(t: Tables) -> tuple[str, stages.RunSummary]:
     root = scratch_dir(t.spark, "all")
     run = stages.run_all(
@@ -179,26 +243,56 @@ def _(t: Tables) -> DataFrame:
     return comparable(read_mart(t.spark, f"{root}/marts", DAILY_MART).drop("published_at"))
 
 
-@query(
-    "run_metrics",
-    "SELECT 'zones' AS stage, 'row_count' AS metric, CAST(count(*) AS VARCHAR) AS value FROM zone_dim"
-    " UNION ALL SELECT 'bronze', 'row_count', CAST(count(*) AS VARCHAR) FROM bronze"
-    " UNION ALL SELECT 'bronze', 'batch_id', 'run-1'"
-    " UNION ALL SELECT 'silver', 'total_row_count', CAST(count(*) AS VARCHAR) FROM silver"
-    " UNION ALL SELECT 'silver', 'valid_row_count', CAST(count(*) AS VARCHAR) FROM valid"
-    " UNION ALL SELECT 'silver', 'invalid_row_count', CAST(count(*) AS VARCHAR) FROM silver WHERE NOT is_valid"
-    " UNION ALL SELECT 'gold', 'valid_trip_count', CAST(count(*) AS VARCHAR) FROM valid"
-    " UNION ALL SELECT 'gold', 'unmatched_zone_count', CAST(count(*) AS VARCHAR) FROM enriched WHERE NOT _zone_lookup_matched"
-    " UNION ALL SELECT 'gold', 'daily_zone_row_count', CAST(count(*) AS VARCHAR) FROM daily"
-    " UNION ALL SELECT 'gold', 'hourly_demand_row_count', CAST(count(*) AS VARCHAR) FROM hourly"
-    " UNION ALL SELECT 'gold', 'date_from', CAST(min(pickup_date) AS VARCHAR) FROM valid"
-    " UNION ALL SELECT 'gold', 'date_to', CAST(max(pickup_date) AS VARCHAR) FROM valid"
-    " UNION ALL SELECT 'publish', 'daily_zone_row_count', CAST(count(*) AS VARCHAR) FROM daily"
-    " UNION ALL SELECT 'publish', 'hourly_demand_row_count', CAST(count(*) AS VARCHAR) FROM hourly",
-)
+_COUNTS = {
+    ("zones", "row_count"): "count(*) FROM zone_dim",
+    ("bronze", "row_count"): "count(*) FROM bronze",
+    ("silver", "total_row_count"): "count(*) FROM silver",
+    ("silver", "valid_row_count"): "count(*) FROM valid",
+    ("silver", "invalid_row_count"): "count(*) FROM silver WHERE NOT is_valid",
+    ("silver", "months"): "max(strftime(pickup_date, '%Y-%m')) FROM valid",
+    ("gold", "valid_trip_count"): "count(*) FROM valid",
+    ("gold", "unmatched_zone_count"): "count(*) FROM enriched WHERE NOT _zone_lookup_matched",
+    **{(stage, "daily_zone_row_count"): "count(*) FROM daily" for stage in ("gold", "publish")},
+    **{(stage, "hourly_demand_row_count"): "count(*) FROM hourly" for stage in ("gold", "publish")},
+    **{(stage, "date_from"): "min(pickup_date) FROM valid" for stage in ("gold", "publish")},
+    **{(stage, "date_to"): "max(pickup_date) FROM valid" for stage in ("gold", "publish")},
+    ("silver", "invalid_row_rate"): "printf('%.6f', avg(CASE WHEN is_valid THEN 0e0 ELSE 1e0 END)) FROM silver",
+    ("gold", "zone_match_rate"): "printf('%.6f', avg(CASE WHEN _zone_lookup_matched THEN 1e0 ELSE 0e0 END)) FROM enriched",
+}
+_NAMES = {
+    ("zones", "source"): "lookup",
+    ("zones", "source_unit"): "lookup",
+    ("zones", "file_format"): "csv",
+    ("zones", "source_year"): None,
+    ("zones", "source_month"): None,
+    ("bronze", "source"): "tlc",
+    ("bronze", "source_unit"): "tlc-2024-01",
+    ("bronze", "file_format"): "parquet",
+    ("bronze", "source_year"): "2024",
+    ("bronze", "source_month"): "1",
+    ("bronze", "batch_id"): "run-1",
+    ("gold", "partition_columns"): "pickup_year,pickup_month",
+    ("publish", "run_id"): "run-1",
+    ("publish", "mart_version"): "1",
+    ("publish", "daily_table"): DAILY_MART.name,
+    ("publish", "hourly_table"): HOURLY_MART.name,
+    ("publish", "log_table"): "run_log",
+}
+
+
+def _metrics_sql() -> str:
+    told = {key: f"SELECT {sql}" for key, sql in _COUNTS.items()}
+    told |= {key: "SELECT NULL" if name is None else f"SELECT '{name}'" for key, name in _NAMES.items()}
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{metric}' AS metric, CAST(({sql}) AS VARCHAR) AS value" for (stage, metric), sql in told.items()
+    )
+
+
+@query("run_metrics", _metrics_sql())
 def _(t: Tables) -> DataFrame:
-    """Counts, window and batch of every stage; sizes, rates and paths are left out of the comparison."""
+    """Counts, rates, windows, formats, units and names of every stage; only sizes, times and paths are not compared."""
     _, run = _run_all(t)
-    counted = F.col("metric").rlike("_count$")
-    named = F.col("metric").isin("batch_id") | ((F.col("stage") == "gold") & F.col("metric").isin("date_from", "date_to"))
-    return stages.run_metrics(t.spark, run).filter(counted | named)
+    rounded = F.format_string("%.6f", F.expr("try_cast(value AS double)"))
+    value = F.when(F.col("metric").rlike("_rate$"), rounded).otherwise(F.col("value"))
+    told = ~F.col("metric").rlike("(_path|_bytes|_url|ingested_at)$")
+    return stages.run_metrics(t.spark, run).filter(told).withColumn("value", value)

@@ -17,14 +17,14 @@ from assayer.operators.publish import (
     run_by_id,
     run_events,
     stage_mart,
-    staging_path,
+    staged_rows,
+    publish_date_window,
 )
 from assayer.operators.quality import status_violations
 from assayer.operators.sinks import overwrite_gold_pair
 from assayer.plans.queries.registry import Tables, comparable, query
 from assayer.plans.scratch import scratch_dir
 from assayer.plans.stages import run_publish
-from assayer.sources import scan_dataset
 
 _PUBLISHED = datetime(2024, 2, 2, tzinfo=UTC)
 
@@ -71,7 +71,7 @@ def _three_runs(t: Tables) -> tuple[str, list[PublishSummary]]:
 def _(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "staging")
     stage_mart(t.daily, DAILY_MART, root=root, run_id="run-1", published_at=_PUBLISHED)
-    return comparable(scan_dataset(t.spark, staging_path(root, DAILY_MART, "run-1")).drop("published_at"))
+    return comparable(staged_rows(t.spark, DAILY_MART, root=root, run_id="run-1").drop("published_at"))
 
 
 @query("publish_window_replace", _replaced_sql("hourly", "pickup_date, pickup_hour, trip_count"))
@@ -79,7 +79,8 @@ def _(t: Tables) -> DataFrame:
     columns = ("pickup_date", "pickup_hour", "trip_count")
     current = t.hourly.select(*columns, F.lit("run-1").alias("publish_run_id"))
     staged = t.hourly.filter(_SECOND_BATCH).select(*columns, F.lit("run-2").alias("publish_run_id"))
-    return replace_window(current, staged, date(2024, 1, 5), date(2024, 1, 20))
+    window = publish_date_window(t.daily.filter(_SECOND_BATCH), t.hourly.filter(_SECOND_BATCH)).first()
+    return replace_window(current, staged, *window)
 
 
 @query("publish_transaction", _replaced_sql("daily", "* EXCLUDE (pickup_year, pickup_month)"))
@@ -191,3 +192,27 @@ def _(t: Tables) -> DataFrame:
 @query("run_publish", "SELECT * EXCLUDE (pickup_year, pickup_month), 'run-1' AS publish_run_id FROM hourly")
 def _(t: Tables) -> DataFrame:
     return comparable(read_mart(t.spark, _published_once(t), HOURLY_MART).drop("published_at"))
+
+
+@query(
+    "run_publish_months",
+    "SELECT * EXCLUDE (pickup_year, pickup_month), 'run-2' AS publish_run_id FROM hourly",
+)
+def _(t: Tables) -> DataFrame:
+    """Doubled marts first, then the month again with its true rows: every date comes from the second run."""
+    root = scratch_dir(t.spark, "marts")
+    daily_path, hourly_path = _gold_at(t)
+    doubled = [df.withColumn("trip_count", F.col("trip_count") * 2) for df in (t.daily, t.hourly)]
+    publish_marts(t.spark, *doubled, root=root, run_id="run-1")
+    run_publish(t.spark, daily_path=daily_path, hourly_path=hourly_path, mart_root=root, run_id="run-2", months=[(2024, 1)])
+    return comparable(read_mart(t.spark, root, HOURLY_MART).drop("published_at"))
+
+
+@query("publish_fixed_window", "SELECT pickup_date, trip_count FROM daily WHERE NOT pickup_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'")
+def _(t: Tables) -> DataFrame:
+    """A window given with no rows for it is emptied; nothing else changes."""
+    root = scratch_dir(t.spark, "marts")
+    publish_marts(t.spark, t.daily, t.hourly, root=root, run_id="run-1")
+    window = (date(2024, 1, 10), date(2024, 1, 12))
+    publish_marts(t.spark, t.daily.limit(0), t.hourly.limit(0), root=root, run_id="run-2", window=window)
+    return read_mart(t.spark, root, DAILY_MART).select("pickup_date", "trip_count")

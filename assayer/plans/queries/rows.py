@@ -242,5 +242,5 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     """The way taken when the zone table is too large to broadcast."""
-    enriched = attach_zone(t.valid, t.zones, limit_bytes=0)
+    enriched = attach_zone(t.valid, t.zones, broadcast=False)
     return enriched.groupBy("pickup_borough", "pickup_zone").agg(F.count("*").alias("trip_count"))

@@ -12,13 +12,13 @@ from assayer.plans.scratch import scratch_dir
 from assayer.sources import (
     SourceSpec,
     ensure_available,
+    has_data,
     rename_drifted,
     scan_dataset,
     scan_trips,
     scan_trips_csv,
     scan_trips_parquet,
     scan_zones_csv,
-    source_bytes,
     trip_source,
     zone_source,
 )
@@ -80,22 +80,22 @@ def _(t: Tables) -> DataFrame:
     return _with_path_flag(scan_trips_parquet(t.spark, _trips_parquet(t)))
 
 
-@query(
-    "scan_dispatch",
-    "SELECT 'csv' AS file_format, count(*) AS row_count, count(nullif(total_amount, '')) AS totals FROM raw"
-    " UNION ALL SELECT 'parquet', count(*), count(total_amount) FROM raw",
-)
+@query("scan_dispatch", f"SELECT 'csv' AS file_format, * FROM ({_RAW_FROM_CSV}) UNION ALL SELECT 'parquet', * FROM ({_FROM_PARQUET})")
 def _(t: Tables) -> DataFrame:
     specs = [SourceSpec(_trips_csv(t), "csv", "sample"), SourceSpec(_trips_parquet(t), "parquet", "tlc")]
-    counted = [
-        scan_trips(t.spark, spec).agg(
-            F.lit(spec.file_format).alias("file_format"),
-            F.count("*").alias("row_count"),
-            F.count("total_amount").alias("totals"),
-        )
-        for spec in specs
-    ]
-    return counted[0].unionByName(counted[1])
+    read = [_with_path_flag(scan_trips(t.spark, spec)).withColumn("file_format", F.lit(spec.file_format)) for spec in specs]
+    return read[0].unionByName(read[1])
+
+
+@query("scan_several_parquet", _FROM_PARQUET)
+def _(t: Tables) -> DataFrame:
+    """Two files whose physical types differ, united by name."""
+    paths = [scratch_dir(t.spark, "trips-parquet") for _ in range(2)]
+    halves = [t.raw.filter(F.col("event_id") % 2 == half).select(*TRIP_COLUMNS) for half in (0, 1)]
+    halves[0].withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(paths[0])
+    typed = {"VendorID": F.col("VendorID").cast("int"), "passenger_count": F.col("passenger_count").cast("double")}
+    halves[1].withColumns(typed).withColumnRenamed("airport_fee", "Airport_fee").write.parquet(paths[1])
+    return _with_path_flag(scan_trips_parquet(t.spark, *paths))
 
 
 @query("scan_dataset", "SELECT event_id, value, CAST(year(ts) AS INTEGER) AS pickup_year, CAST(month(ts) AS INTEGER) AS pickup_month FROM events", chain=False)
@@ -130,17 +130,12 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     path = _trips_parquet(t)
-    found = t.raw.agg(
-        F.lit("filled").alias("source"),
-        F.lit(source_bytes(t.spark, path) > 0).alias("available"),
-        F.count("*").alias("row_count"),
-    )
-    absent = found.select(
-        F.lit("absent").alias("source"),
-        F.lit(source_bytes(t.spark, f"{path}-absent") > 0).alias("available"),
-        F.lit(0).cast("bigint").alias("row_count"),
-    )
-    return found.unionByName(absent)
+
+    def told(source: str, available: bool, rows: DataFrame) -> DataFrame:
+        return rows.agg(F.lit(source).alias("source"), F.lit(available).alias("available"), F.count("*").alias("row_count"))
+
+    filled = told("filled", has_data(t.spark, path), scan_trips_parquet(t.spark, path))
+    return filled.unionByName(told("absent", has_data(t.spark, f"{path}-absent"), t.raw.limit(0)))
 
 
 @query("column_drift_rename", "SELECT airport_fee, count(*) AS row_count FROM raw GROUP BY airport_fee")

@@ -2,89 +2,131 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import date, datetime
-from functools import reduce
-from operator import or_
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.contracts import DAILY_SCHEMA, HOURLY_SCHEMA, SILVER_SCHEMA, VALID_TRIP_COLUMNS, require_columns
-from assayer.operators.metrics import (
-    gold_input_summary,
-    merge_daily,
-    merge_hourly,
-    rate,
-    trip_rollup,
+from assayer.contracts import (
+    DAILY_SCHEMA,
+    HOURLY_SCHEMA,
+    MONTH_PARTITIONS,
+    SILVER_SCHEMA,
+    SOURCE_UNIT,
+    VALID_TRIP_COLUMNS,
+    require_columns,
 )
+from assayer.operators.metrics import merge_daily, merge_hourly, rate, trip_rollup
 from assayer.operators.projections import build_silver, with_lineage, zone_dimension
 from assayer.operators.publish import PublishSummary, Window, publish_marts
-from assayer.operators.quality import assert_non_empty, assert_unique_non_null_key
-from assayer.operators.sinks import overwrite, overwrite_gold_pair, overwrite_silver
-from assayer.operators.zones import attach_zone
+from assayer.operators.quality import assert_non_empty, assert_unique_non_null_key, checked_key
+from assayer.operators.sinks import overwrite, overwrite_by_month, overwrite_silver, unit_path
+from assayer.operators.zones import BROADCAST_LIMIT_BYTES, attach_zone, text_bytes
 from assayer.plans.scratch import scratch_dir
-from assayer.sources import SourceSpec, ensure_available, scan_dataset, scan_trips, scan_zones_csv, source_bytes
+from assayer.sources import SourceSpec, ensure_available, listed_bytes, path_exists, scan_dataset, scan_trips, scan_zones_csv
 from assayer.sources.specs import Fetch
+from assayer.sources.storage import remove
+
+Month = tuple[int, int]
 
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "Etc/Zulu", "Universal", "Etc/Universal", "UCT", "Etc/UCT", "+00:00"}
 
 
 @dataclass(frozen=True)
-class BronzeSummary:
-    batch_id: str
-    ingested_at: datetime
-    source: str
-    file_format: str
-    source_year: int | None
-    source_month: int | None
-    source_url: str | None
-    input_path: str
-    source_bytes: int
-    output_path: str
-    row_count: int
+class Written:
+    """A dataset a stage wrote."""
+
+    path: str
+    rows: int
 
 
 @dataclass(frozen=True)
-class ZoneSummary:
-    input_path: str
-    output_path: str
-    source_url: str | None
-    source_bytes: int
-    row_count: int
+class Loaded:
+    """A raw input and the dataset it became."""
+
+    spec: SourceSpec
+    input_bytes: int
+    output: Written
+
+    def metrics(self) -> dict[str, Any]:
+        year, month = self.spec.period or (None, None)
+        return {
+            "source": self.spec.source,
+            "source_unit": self.spec.unit,
+            "source_year": year,
+            "source_month": month,
+            "source_url": self.spec.url,
+            "source_bytes": self.input_bytes,
+            "file_format": self.spec.file_format,
+            "input_path": self.spec.path,
+            "output_path": self.output.path,
+            "row_count": self.output.rows,
+        }
+
+
+@dataclass(frozen=True)
+class BronzeSummary(Loaded):
+    batch_id: str
+    ingested_at: datetime
+
+    def metrics(self) -> dict[str, Any]:
+        return {**super().metrics(), "batch_id": self.batch_id, "ingested_at": self.ingested_at}
 
 
 @dataclass(frozen=True)
 class SilverSummary:
     bronze_path: str
     silver_path: str
-    total_row_count: int
     valid_row_count: int
     invalid_row_count: int
+    #: Months whose valid rows this run wrote or took away.
+    months: tuple[Month, ...]
+
+    @property
+    def total_row_count(self) -> int:
+        return self.valid_row_count + self.invalid_row_count
 
     @property
     def invalid_row_rate(self) -> float:
         return rate(self.invalid_row_count, self.total_row_count)
 
+    def metrics(self) -> dict[str, Any]:
+        counted = {"total_row_count": self.total_row_count, "invalid_row_rate": self.invalid_row_rate}
+        return {**asdict(self), "months": ",".join(f"{y}-{m:02d}" for y, m in self.months), **counted}
+
 
 @dataclass(frozen=True)
 class GoldSummary:
-    silver_path: str
-    zones_path: str
-    daily_path: str
-    hourly_path: str
-    valid_trip_count: int
-    unmatched_zone_count: int
-    daily_zone_row_count: int
-    hourly_demand_row_count: int
-    date_from: date | None
-    date_to: date | None
+    inputs: dict[str, str]
+    daily: Written
+    hourly: Written
+    trips: int
+    unmatched_trips: int
+    window: tuple[date | None, date | None]
 
     @property
     def zone_match_rate(self) -> float:
-        return rate(self.valid_trip_count - self.unmatched_zone_count, self.valid_trip_count)
+        return rate(self.trips - self.unmatched_trips, self.trips)
+
+    def metrics(self) -> dict[str, Any]:
+        return {
+            **{f"{name}_path": path for name, path in self.inputs.items()},
+            "daily_path": self.daily.path,
+            "hourly_path": self.hourly.path,
+            "partition_columns": ",".join(MONTH_PARTITIONS),
+            "daily_zone_row_count": self.daily.rows,
+            "hourly_demand_row_count": self.hourly.rows,
+            "valid_trip_count": self.trips,
+            "unmatched_zone_count": self.unmatched_trips,
+            "zone_match_rate": self.zone_match_rate,
+            "date_from": self.window[0],
+            "date_to": self.window[1],
+        }
 
 
 def require_utc(spark: SparkSession) -> None:
@@ -102,52 +144,86 @@ def run_bronze(
     batch_id: str,
     ingested_at: datetime,
     fetch: Fetch | None = None,
+    replace: str = "all",
 ) -> BronzeSummary:
-    """Raw trips to the all-string bronze dataset with lineage. One pass, no shuffle."""
+    """Raw trips to the all-string bronze dataset with lineage. One pass, no shuffle.
+
+    Rows lie below a directory for each source unit. ``replace='all'`` replaces the dataset, ``replace='unit'`` only
+    what the same unit (a month, or a source without months) wrote before.
+    """
     require_utc(spark)
     ensure_available(spark, spec, fetch=fetch)
-    bronze = with_lineage(scan_trips(spark, spec), batch_id=batch_id, ingested_at=ingested_at)
-    written = overwrite(bronze, output_path)
-    return BronzeSummary(
-        batch_id=batch_id,
-        ingested_at=ingested_at,
-        source=spec.source,
-        file_format=spec.file_format,
-        source_year=spec.year,
-        source_month=spec.month,
-        source_url=spec.url,
-        input_path=spec.path,
-        source_bytes=source_bytes(spark, spec.path),
-        output_path=output_path,
-        row_count=written["rows"],
-    )
+    raw = scan_trips(spark, spec)
+    bronze = with_lineage(raw, batch_id=batch_id, ingested_at=ingested_at)
+    if _by_unit(replace):
+        written = overwrite(bronze, unit_path(output_path, spec.unit))
+    else:
+        unit_path(output_path, spec.unit)
+        written = overwrite(bronze.withColumn(SOURCE_UNIT, F.lit(spec.unit)), output_path, partition_by=[SOURCE_UNIT])
+    return BronzeSummary(spec, listed_bytes(raw), Written(output_path, written["rows"]), batch_id, ingested_at)
 
 
-def run_zones(spark: SparkSession, *, spec: SourceSpec, output_path: str, fetch: Fetch | None = None) -> ZoneSummary:
+def _by_unit(replace: str) -> bool:
+    if replace not in ("all", "unit"):
+        raise ValueError(f"replace has to be 'all' or 'unit', not {replace!r}")
+    return replace == "unit"
+
+
+def run_zones(spark: SparkSession, *, spec: SourceSpec, output_path: str, fetch: Fetch | None = None) -> Loaded:
     """Zone lookup to the zone dimension, checked to be non-empty with a unique, non-null id before it is written."""
     ensure_available(spark, spec, fetch=fetch)
-    zones = zone_dimension(scan_zones_csv(spark, spec.path))
+    raw = scan_zones_csv(spark, spec.path)
+    zones = zone_dimension(raw)
     row_count = assert_unique_non_null_key(zones, key="location_id", dataset="zone dimension")
     assert_non_empty({"zone dimension": row_count})
     overwrite(zones, output_path)
-    return ZoneSummary(spec.path, output_path, spec.url, source_bytes(spark, spec.path), row_count)
+    return Loaded(spec, listed_bytes(raw), Written(output_path, row_count))
 
 
-def run_silver(spark: SparkSession, *, bronze_path: str, silver_path: str, replace: str = "all") -> SilverSummary:
+def run_silver(spark: SparkSession, *, bronze_path: str, silver_path: str, unit: str | None = None) -> SilverSummary:
     """Bronze to typed, rule-checked rows, valid and invalid ones side by side. One scan, no shuffle, no cache.
 
-    ``replace='partitions'`` replaces only the months the bronze dataset has rows for.
+    With ``unit`` only that source unit's bronze is read and only its silver rows, of both sides, are replaced. The
+    summary names every month whose valid rows changed, those that lost their last row included.
     """
     require_utc(spark)
-    written = overwrite_silver(build_silver(scan_dataset(spark, bronze_path)), silver_path, replace=replace)
-    return SilverSummary(bronze_path, silver_path, written["rows"], written["valid_rows"], written["invalid_rows"])
-
-
-def read_silver(spark: SparkSession, silver_path: str, *, valid: bool = True) -> DataFrame:
-    """The valid or the invalid rows of a silver dataset; only their directories are listed for reading."""
-    stored = T.StructType([*SILVER_SCHEMA.fields, T.StructField("row_set", T.StringType())])
-    rows = scan_dataset(spark, silver_path, stored)
-    return rows.filter(F.col("row_set") == ("valid" if valid else "invalid")).select(*SILVER_SCHEMA.names)
+    before = silver_months(spark, silver_path, unit)
+    if unit is None:
+        bronze = scan_dataset(spark, bronze_path)
+        units = F.col(SOURCE_UNIT).cast("string") if SOURCE_UNIT in bronze.columns else F.lit("all")
+        # The unit travels beside the contract's columns.
+        tagged = build_silver(bronze.withColumn(SOURCE_UNIT, units), keep=(SOURCE_UNIT,))
+    else:
+        tagged = build_silver(scan_dataset(spark, unit_path(bronze_path, unit)))
+    written = overwrite_silver(tagged, silver_path, unit=unit)
+    months = sorted(before | silver_months(spark, silver_path, unit))
+    return SilverSummary(bronze_path, silver_path, written["valid_rows"], written["invalid_rows"], tuple(months))
+
+
+def _silver_rows(spark: SparkSession, silver_path: str, below: str) -> DataFrame | None:
+    """Silver below the given directories, a glob. Only these are listed; None where there are none."""
+    where = f"{silver_path}/{below}"
+    if not path_exists(spark, where):
+        return None
+    layout = [T.StructField(name, T.StringType()) for name in (SOURCE_UNIT, "row_set", "row_month")]
+    return spark.read.schema(T.StructType([*SILVER_SCHEMA.fields, *layout])).option("basePath", silver_path).parquet(where)
+
+
+def silver_months(spark: SparkSession, silver_path: str, unit: str | None = None) -> set[Month]:
+    """The months with valid rows, of one source unit or of all; directory names are all that is read."""
+    rows = _silver_rows(spark, silver_path, f"{SOURCE_UNIT}={unit or '*'}/row_set=valid/row_month=*")
+    names = [] if rows is None else [r["row_month"] for r in rows.select("row_month").distinct().collect()]
+    return {(int(name[1:5]), int(name[6:])) for name in names}
+
+
+def read_silver(
+    spark: SparkSession, silver_path: str, *, valid: bool = True, months: Sequence[Month] | None = None
+) -> DataFrame:
+    """The valid or the invalid rows of a silver dataset; no other directories are listed. ``months`` are for valid rows."""
+    side = f"{SOURCE_UNIT}=*/row_set={'valid' if valid else 'invalid'}/row_month="
+    wanted = "*" if months is None else "{" + ",".join(f"m{year:04d}-{month:02d}" for year, month in months) + "}"
+    rows = _silver_rows(spark, silver_path, side + wanted) if months is None or months else None
+    return spark.createDataFrame([], SILVER_SCHEMA) if rows is None else rows.select(*SILVER_SCHEMA.names)
 
 
 def run_gold(
@@ -158,55 +234,48 @@ def run_gold(
     daily_path: str,
     hourly_path: str,
     rollup_path: str | None = None,
-    months: Sequence[tuple[int, int]] | None = None,
+    months: Sequence[Month] | None = None,
 ) -> GoldSummary:
     """Valid trips and zones to both gold tables.
 
     The trips are scanned once, into a rollup table that the summary and both gold tables are read from. The
-    table is a plain dataset in shared storage, so lost executors cost no second scan of the trips.
+    table is a plain dataset in shared storage, so lost executors cost no second scan of the trips. The summary is
+    observed in the writes.
 
-    Without ``months`` both gold tables are replaced. With ``months``, given as (year, month) pairs, only the
-    silver directories of those months are read and only their gold partitions are replaced.
+    Without ``months`` both gold tables are replaced. With ``months``, given as (year, month) pairs, only the silver
+    directories of those months are read, of all source units, and exactly their gold partitions are replaced: a month
+    without trips left has none afterwards. Give it the ``months`` of the silver run.
     """
     require_utc(spark)
-    trips = require_columns(read_silver(spark, silver_path), VALID_TRIP_COLUMNS, "valid trips")
-    if months is not None:
-        trips = trips.filter(_any_month(months))
+    trips = require_columns(read_silver(spark, silver_path, months=months), VALID_TRIP_COLUMNS, "valid trips")
     zones = scan_dataset(spark, zones_path)
-    assert_unique_non_null_key(zones, key="location_id", dataset="zone dimension")
+    sizes = checked_key(zones, key="location_id", dataset="zone dimension", bytes=text_bytes(zones))
+    own_rollup = rollup_path is None
     rollup_path = rollup_path or scratch_dir(spark, "trip-rollup")
     reduced = trip_rollup(trips)
     overwrite(reduced, rollup_path)
     rollup = scan_dataset(spark, rollup_path, reduced.schema)
-    enriched = attach_zone(rollup, zones)
-    summary = gold_input_summary(enriched).first()
-    daily_rows, hourly_rows = overwrite_gold_pair(
-        merge_daily(enriched),
-        merge_hourly(rollup),
-        daily_path,
-        hourly_path,
-        replace="all" if months is None else "partitions",
-    )
+    daily = merge_daily(attach_zone(rollup, zones, broadcast=sizes["bytes"] <= BROADCAST_LIMIT_BYTES), keep_match=True)
+    summed = {
+        "trips": F.coalesce(F.sum("trip_count"), F.lit(0)),
+        "unmatched": F.coalesce(F.sum(F.when(F.col("_zone_lookup_matched"), 0).otherwise(F.col("trip_count"))), F.lit(0)),
+        "first": F.min("pickup_date"),
+        "last": F.max("pickup_date"),
+    }
+    seen = overwrite_by_month(daily, daily_path, months=months, measures=summed, drop=["_zone_lookup_matched"])
+    hourly_rows = overwrite_by_month(merge_hourly(rollup), hourly_path, months=months)["rows"]
+    if own_rollup:
+        remove(spark, rollup_path)
     return GoldSummary(
-        silver_path=silver_path,
-        zones_path=zones_path,
-        daily_path=daily_path,
-        hourly_path=hourly_path,
-        valid_trip_count=summary["valid_trip_count"],
-        unmatched_zone_count=summary["unmatched_zone_count"],
-        daily_zone_row_count=daily_rows,
-        hourly_demand_row_count=hourly_rows,
-        date_from=summary["date_from"],
-        date_to=summary["date_to"],
+        inputs={"silver": silver_path, "zones": zones_path},
+        daily=Written(daily_path, seen["rows"]),
+        hourly=Written(hourly_path, hourly_rows),
+        trips=seen["trips"],
+        unmatched_trips=seen["unmatched"],
+        window=(seen["first"], seen["last"]),
     )
 
 
-def _any_month(months: Sequence[tuple[int, int]]) -> Column:
-    """Filter on the partition columns only, so that Spark prunes directories."""
-    one_of = [(F.col("pickup_year") == year) & (F.col("pickup_month") == month) for year, month in months]
-    return reduce(or_, one_of, F.lit(False))
-
-
 def read_gold(spark: SparkSession, daily_path: str, hourly_path: str) -> tuple[DataFrame, DataFrame]:
     """Both gold tables, in their column order whatever the partition layout."""
     daily = scan_dataset(spark, daily_path, DAILY_SCHEMA).select(*DAILY_SCHEMA.names)
@@ -214,6 +283,12 @@ def read_gold(spark: SparkSession, daily_path: str, hourly_path: str) -> tuple[D
     return daily, hourly
 
 
+def months_window(months: Sequence[Month]) -> Window:
+    """First day of the first to last day of the last month."""
+    first, last = min(months), max(months)
+    return date(*first, 1), date(*last, monthrange(*last)[1])
+
+
 def run_publish(
     spark: SparkSession,
     *,
@@ -222,21 +297,35 @@ def run_publish(
     mart_root: str,
     run_id: str,
     window: Window | None = None,
+    months: Sequence[Month] | None = None,
 ) -> PublishSummary:
-    """Both gold tables to the marts, together or not at all."""
+    """Both gold tables to the marts, together or not at all.
+
+    With ``months`` only the days from the first to the last of them are read, staged and replaced.
+    """
     if not run_id.strip():
         raise ValueError("a run_id is required")
+    if months is not None and (window is not None or not months):
+        raise ValueError("give a window, or at least one month")
     daily, hourly = read_gold(spark, daily_path, hourly_path)
+    if months is not None:
+        window = months_window(months)
+        first, last = min(months), max(months)
+        number = F.col("pickup_year") * 12 + F.col("pickup_month")
+        # On the partition columns, so that other months are not read.
+        within = number.between(first[0] * 12 + first[1], last[0] * 12 + last[1])
+        daily, hourly = daily.filter(within), hourly.filter(within)
     return publish_marts(spark, daily, hourly, root=mart_root, run_id=run_id, window=window)
 
 
 @dataclass(frozen=True)
 class RunSummary:
-    zones: ZoneSummary
+    zones: Loaded
     bronze: BronzeSummary
     silver: SilverSummary
     gold: GoldSummary
-    publish: PublishSummary
+    #: None where no month changed.
+    publish: PublishSummary | None
 
 
 def run_all(
@@ -248,34 +337,43 @@ def run_all(
     run_id: str,
     ingested_at: datetime,
     fetch: Fetch | None = None,
+    replace: str = "all",
 ) -> RunSummary:
-    """The whole chain below ``root``: zones and bronze, silver, gold, marts. ``run_id`` names batch and publish."""
+    """The whole chain below ``root``: zones and bronze, silver, gold, marts. ``run_id`` names batch and publish.
+
+    With ``replace='unit'`` a run loads its source unit beside those of earlier runs: it replaces the unit's bronze and
+    silver rows, recomputes every month the unit had or has valid rows in, and publishes these months.
+    """
     zone_summary = run_zones(spark, spec=zones, output_path=f"{root}/reference/zones", fetch=fetch)
     bronze = run_bronze(
-        spark, spec=trips, output_path=f"{root}/bronze/trips", batch_id=run_id, ingested_at=ingested_at, fetch=fetch
+        spark, spec=trips, output_path=f"{root}/bronze/trips", batch_id=run_id, ingested_at=ingested_at, fetch=fetch, replace=replace
     )
-    silver = run_silver(spark, bronze_path=bronze.output_path, silver_path=f"{root}/silver/trips")
+    by_unit = replace == "unit"
+    silver = run_silver(spark, bronze_path=bronze.output.path, silver_path=f"{root}/silver/trips", unit=trips.unit if by_unit else None)
+    months = silver.months if by_unit else None
     gold = run_gold(
         spark,
         silver_path=silver.silver_path,
-        zones_path=zone_summary.output_path,
+        zones_path=zone_summary.output.path,
         daily_path=f"{root}/gold/daily_zone_metrics",
         hourly_path=f"{root}/gold/hourly_demand_metrics",
         rollup_path=f"{root}/gold/trip_rollup",
+        months=months,
     )
-    publish = run_publish(
-        spark, daily_path=gold.daily_path, hourly_path=gold.hourly_path, mart_root=f"{root}/marts", run_id=run_id
-    )
+    publish = None
+    if months is None or months:
+        publish = run_publish(
+            spark, daily_path=gold.daily.path, hourly_path=gold.hourly.path, mart_root=f"{root}/marts", run_id=run_id, months=months
+        )
     return RunSummary(zone_summary, bronze, silver, gold, publish)
 
 
 def run_metrics(spark: SparkSession, run: RunSummary) -> DataFrame:
-    """(stage, metric, value) rows of a run, values as text: counts, rates, window, paths and ids."""
-    extra = {"silver": {"invalid_row_rate": run.silver.invalid_row_rate}, "gold": {"zone_match_rate": run.gold.zone_match_rate}}
-    stages = asdict(run)
-    rows = [
-        (stage, metric, None if value is None else str(value))
-        for stage, values in stages.items()
-        for metric, value in {**values, **extra.get(stage, {})}.items()
-    ]
+    """(stage, metric, value) rows of a run, values as text: counts, rates, window, paths, names and ids."""
+    stages = {"zones": run.zones, "bronze": run.bronze, "silver": run.silver, "gold": run.gold}
+    values = {name: stage.metrics() for name, stage in stages.items()}
+    if run.publish is not None:
+        inputs = {"daily_path": run.gold.daily.path, "hourly_path": run.gold.hourly.path}
+        values["publish"] = {**inputs, **run.publish.metrics()}
+    rows = [(stage, metric, None if v is None else str(v)) for stage, of in values.items() for metric, v in of.items()]
     return spark.createDataFrame(rows, "stage string, metric string, value string")

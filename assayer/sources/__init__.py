@@ -11,12 +11,14 @@ from assayer.sources.readers import (
     scan_zones_csv,
 )
 from assayer.sources.specs import SourceSpec, ensure_available, trip_source, zone_source
-from assayer.sources.storage import path_exists, source_bytes
+from assayer.sources.storage import has_data, listed_bytes, path_exists
 
 __all__ = [
     "SourceSpec",
     "all_to_text",
     "ensure_available",
+    "has_data",
+    "listed_bytes",
     "path_exists",
     "rename_drifted",
     "scan_csv",
@@ -25,7 +27,6 @@ __all__ = [
     "scan_trips_csv",
     "scan_trips_parquet",
     "scan_zones_csv",
-    "source_bytes",
     "trip_source",
     "zone_source",
 ]

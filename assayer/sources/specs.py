@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from assayer.sources.storage import source_bytes
+from assayer.sources.storage import has_data
 
 # ---- Fixed values: public download locations, file names and the supported year. ----
 TRIP_DATA_URL = "https://d37ci6vzurychx.cloudfront.net/trip-data"
@@ -28,23 +28,35 @@ class SourceSpec:
     path: str
     file_format: str
     source: str
-    year: int | None = None
-    month: int | None = None
+    period: tuple[int, int] | None = None
     url: str | None = None
 
+    @property
+    def unit(self) -> str:
+        """What one load replaces as a whole: a month of a monthly source, else all of the source."""
+        return self.source if self.period is None else "{}-{}-{:02d}".format(self.source, *self.period)
+
+
+def _sample_trips(root: str, period: tuple[int, int]) -> SourceSpec:
+    return SourceSpec(f"{root}/{SAMPLE_TRIPS_FILE}", "csv", "sample")
+
+
+def _monthly_trips(root: str, period: tuple[int, int]) -> SourceSpec:
+    year, month = period
+    if year != SUPPORTED_YEAR or not 1 <= month <= 12:
+        raise ValueError(f"Only {SUPPORTED_YEAR} monthly files are supported, and a month has to be between 1 and 12: {year}, {month}")
+    name = MONTHLY_TRIPS_FILE.format(year=year, month=month)
+    return SourceSpec(f"{root}/{name}", "parquet", "tlc", period, f"{TRIP_DATA_URL}/{name}")
+
+
+TRIP_SOURCES: dict[str, Callable[[str, tuple[int, int]], SourceSpec]] = {"sample": _sample_trips, "tlc": _monthly_trips}
+
 
 def trip_source(root: str, *, source: str = "sample", year: int = SUPPORTED_YEAR, month: int = 1) -> SourceSpec:
     """Spec of the sample CSV (``sample``) or of one monthly parquet file (``tlc``) below ``root``."""
-    if source not in ("sample", "tlc"):
-        raise ValueError(f"unknown trip source {source!r}; use 'sample' or 'tlc'")
-    if source == "sample":
-        return SourceSpec(f"{root}/{SAMPLE_TRIPS_FILE}", "csv", source)
-    if year != SUPPORTED_YEAR:
-        raise ValueError(f"Only {SUPPORTED_YEAR} monthly files are supported, not {year}")
-    if month not in range(1, 13):
-        raise ValueError(f"month has to be between 1 and 12, not {month}")
-    name = MONTHLY_TRIPS_FILE.format(year=year, month=month)
-    return SourceSpec(f"{root}/{name}", "parquet", source, year, month, f"{TRIP_DATA_URL}/{name}")
+    if source not in TRIP_SOURCES:
+        raise ValueError(f"unknown trip source {source!r}; use one of {sorted(TRIP_SOURCES)}")
+    return TRIP_SOURCES[source](root, (year, month))
 
 
 def zone_source(root: str) -> SourceSpec:
@@ -54,11 +66,11 @@ def zone_source(root: str) -> SourceSpec:
 
 def ensure_available(spark: SparkSession, spec: SourceSpec, *, fetch: Fetch | None = None) -> SourceSpec:
     """Return ``spec`` if its path holds data; else let ``fetch(url, path)`` put it there; else raise."""
-    if source_bytes(spark, spec.path) > 0:
+    if has_data(spark, spec.path):
         return spec
     if fetch is None or spec.url is None:
         raise FileNotFoundError(f"{spec.source} input is absent or empty: {spec.path}")
     fetch(spec.url, spec.path)
-    if source_bytes(spark, spec.path) == 0:
+    if not has_data(spark, spec.path):
         raise RuntimeError(f"fetching {spec.url} left no usable data at {spec.path}")
     return spec

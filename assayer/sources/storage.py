@@ -1,22 +1,49 @@
-"""Questions to the file system a path belongs to, answered without a Spark job."""
+"""Questions to the file system a path belongs to, answered without a Spark job.
+
+They go through the session's own Hadoop client, so they need a classic session, not Spark Connect.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def _matches(spark: SparkSession, path: str):
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return system, [status.getPath() for status in system.globStatus(hadoop_path) or []]
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file, a directory or anything matching a glob lies at ``path``."""
-    return bool(_matches(spark, path)[1])
+    system, hadoop_path = _file_system(spark, path)
+    return bool(system.globStatus(hadoop_path))
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a visible, non-empty file lies at or below ``path``. Looks no further than the first."""
+    system, hadoop_path = _file_system(spark, path)
+    for found in system.globStatus(hadoop_path) or []:
+        files = system.listFiles(found.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            if file.getLen() > 0 and not file.getPath().getName().startswith(("_", ".")):
+                return True
+    return False
+
+
+def listed_bytes(df: DataFrame) -> int:
+    """Total size of the files a scan has listed; nothing is listed again."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless one is there. Of several callers one gets True, where the store creates atomically."""
+    system, hadoop_path = _file_system(spark, path)
+    return bool(system.createNewFile(hadoop_path))
 
 
-def source_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files at ``path``; 0 when nothing is there."""
-    system, found = _matches(spark, path)
-    return sum(system.getContentSummary(match).getLength() for match in found)
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or a directory with all it holds; whether it was there."""
+    system, hadoop_path = _file_system(spark, path)
+    return bool(system.delete(hadoop_path, True))

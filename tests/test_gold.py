@@ -23,7 +23,7 @@ from assayer.operators.metrics import (
 )
 from assayer.operators.projections import build_silver, zone_dimension
 from assayer.operators.rules import valid_rows
-from assayer.operators.zones import attach_zone, broadcast_if_small, enrich_trips, measured_bytes, unmatched_trips
+from assayer.operators.zones import attach_zone, enrich_trips, text_bytes, unmatched_trips
 
 ZONE_DDL = "location_id int, borough string, zone string, service_zone string"
 
@@ -66,13 +66,32 @@ def test_enrichment_needs_the_trip_contract(silver, zones):
         enrich_trips(silver.drop("is_valid", "_batch_id"), zones)
 
 
-def test_broadcast_only_below_the_limit(spark, silver, zones):
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert measured_bytes(zones) > 7 * 16
-    assert measured_bytes(zones.limit(0)) == 0
-    assert "strategy=broadcast" in plan(attach_zone(valid_rows(silver), zones))
-    assert "strategy=broadcast" not in plan(attach_zone(valid_rows(silver), zones, limit_bytes=1))
-    assert broadcast_if_small(zones, 1) is zones
+def test_the_caller_decides_about_a_broadcast(spark, silver, zones):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(attach_zone(valid_rows(silver), zones, broadcast=True))
+    assert "SortMergeJoin" in plan(attach_zone(valid_rows(silver), zones, broadcast=False))
+    assert "Broadcast" not in plan(attach_zone(valid_rows(silver), zones, broadcast=False))
+    assert zones.agg(text_bytes(zones)).first()[0] > 7 * 16
+    assert zones.limit(0).agg(text_bytes(zones)).first()[0] == 0
+
+
+def _jobs(spark, build):
+    spark.sparkContext.setJobGroup("counted", "counted")
+    build()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+
+
+def test_building_frames_runs_no_job(spark, silver, zones):
+    trips = valid_rows(silver)
+    assert not _jobs(spark, lambda: (daily_zone_from_trips(trips, zones), enrich_trips(trips, zones), hourly_demand_metrics(trips)))
+
+
+def test_merges_copy_no_rows(spark, silver, zones):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    hourly, daily = plan(hourly_demand_metrics(valid_rows(silver))), plan(daily_zone_from_trips(valid_rows(silver), zones))
+    assert "Expand" not in hourly + daily
+    assert hourly.count("Exchange hashpartitioning") == 2
 
 
 def test_daily_golden(silver, zones, enriched):

@@ -18,8 +18,12 @@ from assayer.operators.publish import (
     replace_window,
     run_by_id,
     run_events,
+    overlaid,
+    run_path,
     stage_mart,
-    version_path,
+    staged_rows,
+    vacuum,
+    Segment,
 )
 
 AT = datetime(2024, 2, 1, tzinfo=UTC)
@@ -134,7 +138,7 @@ def test_failed_publish_changes_nothing(spark, tmp_path, what, message):
 def test_failure_between_the_two_tables_changes_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     publish_marts(spark, *_gold(spark, 1), root=root, run_id="r1")
-    real, broken = module.overwrite, version_path(root, HOURLY_MART, "r2")
+    real, broken = module.overwrite, run_path(root, HOURLY_MART, "r2")
 
     def write(df, path, **options):
         if path == broken:
@@ -148,15 +152,55 @@ def test_failure_between_the_two_tables_changes_nothing(spark, tmp_path, monkeyp
     assert len(_log(spark, root)["r2"]["error_message"]) == 2000
 
 
-def test_overtaken_publish_fails(spark, tmp_path, monkeypatch):
+def test_of_two_racing_publishers_one_wins(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     publish_marts(spark, *_gold(spark, 1), root=root, run_id="r1")
-    versions = iter([None, (1, "r1")])
-    monkeypatch.setattr(module, "current_version", lambda *_: next(versions))
-    with pytest.raises(RuntimeError, match="meanwhile"):
-        publish_marts(spark, *_gold(spark, 1, trips=9), root=root, run_id="r2")
-    monkeypatch.undo()
-    assert _mart(spark, root) == {(1, 1): (1, "r1")}
+    real = module.current_version
+    # The second starts from the version before the first has published.
+    monkeypatch.setattr(module, "current_version", lambda *a: (1, "r1"))
+    publish_marts(spark, *_gold(spark, 1, trips=5), root=root, run_id="r2")
+    with pytest.raises(RuntimeError, match="took version 2"):
+        publish_marts(spark, *_gold(spark, 1, trips=9), root=root, run_id="r3")
+    monkeypatch.setattr(module, "current_version", real)
+    assert _mart(spark, root) == {(1, 1): (5, "r2")}
+    assert _log(spark, root)["r3"]["status"] == "failed"
+    publish_marts(spark, *_gold(spark, 1, trips=7), root=root, run_id="r4")
+    assert current_version(spark, root) == (3, "r4")
+
+
+def test_a_version_taken_by_a_dead_run_can_be_freed(spark, tmp_path):
+    root = str(tmp_path)
+    publish_marts(spark, *_gold(spark, 1), root=root, run_id="r1")
+    module.claim(spark, f"{root}/versions/2")
+    with pytest.raises(RuntimeError, match="release_version"):
+        publish_marts(spark, *_gold(spark, 1), root=root, run_id="r2")
+    with pytest.raises(ValueError, match="is published"):
+        module.release_version(spark, root, 1)
+    assert module.release_version(spark, root, 2)
+    publish_marts(spark, *_gold(spark, 1), root=root, run_id="r3")
+
+
+def test_a_publish_writes_its_window_only_and_vacuum_the_rest(spark, tmp_path):
+    root = str(tmp_path)
+    publish_marts(spark, *_gold(spark, *range(1, 31)), root=root, run_id="r1")
+    publish_marts(spark, *_gold(spark, 7, trips=9), root=root, run_id="r2")
+    days = lambda run: sorted(p.name for p in (tmp_path / "mart" / DAILY_MART.name / f"publish_dir=run-{run}").glob("pickup_date=*"))
+    assert days("r2") == ["pickup_date=2024-01-07"] and len(days("r1")) == 30
+    assert len(_mart(spark, root)) == 30 and _mart(spark, root)[1, 7] == (9, "r2")
+    old = read_mart(spark, root, DAILY_MART, version=1)
+    assert {r["trip_count"] for r in old.collect()} == {1}
+    files = read_mart(spark, root, DAILY_MART).filter("pickup_date = DATE '2024-01-07'")
+    assert files.count() == 1
+    publish_marts(spark, *_gold(spark, *range(1, 31), trips=3), root=root, run_id="r3")
+    assert vacuum(spark, root, keep=3) == []
+    assert vacuum(spark, root) == ["r1", "r2"]
+    assert {v for v, _ in _mart(spark, root).values()} == {3}
+
+
+def test_overlaid_windows():
+    day = lambda n: date(2024, 1, n)
+    segments = overlaid([Segment("a", day(1), day(20)), Segment("b", day(5), day(8)), Segment("c", day(8), day(25)), Segment("d", day(2), day(2))])
+    assert [(s.run_id, s.date_from.day, s.date_to.day) for s in segments] == [("a", 1, 1), ("d", 2, 2), ("a", 3, 4), ("b", 5, 7), ("c", 8, 25)]
 
 
 def test_run_ids(spark, tmp_path):
@@ -179,7 +223,7 @@ def test_missing_columns_fail_before_anything_is_logged(spark, tmp_path):
 def test_staging_writes_the_projection(spark, tmp_path):
     daily, _ = _gold(spark, 1, 2)
     assert stage_mart(daily, DAILY_MART, root=str(tmp_path), run_id="r", published_at=AT) == 2
-    staged = spark.read.parquet(module.staging_path(str(tmp_path), DAILY_MART, "r"))
+    staged = staged_rows(spark, DAILY_MART, root=str(tmp_path), run_id="r")
     assert "pickup_year" not in staged.columns and staged.columns[-2:] == ["publish_run_id", "published_at"]
 
 

@@ -8,13 +8,14 @@ from assayer.contracts import SOURCE_PATH, TRIP_COLUMNS
 from assayer.sources import (
     SourceSpec,
     ensure_available,
+    has_data,
+    listed_bytes,
     rename_drifted,
     scan_dataset,
     scan_trips,
     scan_trips_csv,
     scan_trips_parquet,
     scan_zones_csv,
-    source_bytes,
     trip_source,
     zone_source,
 )
@@ -121,14 +122,14 @@ def test_empty_dataset_reads_with_schema(spark, tmp_path):
 
 def test_sample_and_zone_specs():
     sample = trip_source("/data")
-    assert (sample.source, sample.file_format, sample.year, sample.month, sample.url) == ("sample", "csv", None, None, None)
+    assert (sample.source, sample.file_format, sample.period, sample.unit, sample.url) == ("sample", "csv", None, "sample", None)
     zones = zone_source("/data")
     assert zones.path == "/data/taxi_zone_lookup.csv" and zones.url.endswith("/misc/taxi_zone_lookup.csv")
 
 
 def test_monthly_spec():
     spec = trip_source("/data", source="tlc", year=2024, month=1)
-    assert (spec.path, spec.file_format, spec.year, spec.month) == ("/data/yellow_tripdata_2024-01.parquet", "parquet", 2024, 1)
+    assert (spec.path, spec.file_format, spec.period, spec.unit) == ("/data/yellow_tripdata_2024-01.parquet", "parquet", (2024, 1), "tlc-2024-01")
     assert spec.url.endswith("/yellow_tripdata_2024-01.parquet")
 
 
@@ -147,7 +148,7 @@ def test_other_years_and_sources_are_rejected():
 
 def test_availability(spark, tmp_path):
     spec = SourceSpec(str(tmp_path / "f.parquet"), "parquet", "tlc", url="http://example.invalid/f")
-    assert source_bytes(spark, spec.path) == 0
+    assert not has_data(spark, spec.path)
     with pytest.raises(FileNotFoundError):
         ensure_available(spark, spec)
     calls = []
@@ -158,7 +159,7 @@ def test_availability(spark, tmp_path):
 
     assert ensure_available(spark, spec, fetch=fetch) == spec
     assert calls == [(spec.url, spec.path)]
-    assert source_bytes(spark, spec.path) == 7
+    assert has_data(spark, spec.path)
 
     def never(url, path):
         raise AssertionError("present input must not be fetched again")
@@ -173,3 +174,19 @@ def test_empty_file_is_not_available(spark, tmp_path):
         ensure_available(spark, spec)
     with pytest.raises(RuntimeError):
         ensure_available(spark, SourceSpec(spec.path, "csv", "x", url="u"), fetch=lambda url, path: None)
+
+
+def test_hidden_files_are_no_data(spark, tmp_path):
+    folder = tmp_path / "d"
+    (folder / "deep").mkdir(parents=True)
+    (folder / "_SUCCESS").write_bytes(b"x")
+    (folder / ".part.crc").write_bytes(b"x")
+    (folder / "empty").write_bytes(b"")
+    assert not has_data(spark, str(folder))
+    (folder / "deep" / "part").write_bytes(b"x")
+    assert has_data(spark, str(folder)) and has_data(spark, f"{tmp_path}/*")
+
+
+def test_listed_bytes_are_those_of_the_scan(spark, tmp_path):
+    (tmp_path / "z.csv").write_text("LocationID,Borough,Zone,service_zone\n1,a,b,c\n", encoding="utf-8")
+    assert listed_bytes(scan_zones_csv(spark, str(tmp_path / "z.csv"))) == (tmp_path / "z.csv").stat().st_size
