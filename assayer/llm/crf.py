@@ -22,9 +22,11 @@ BUCKETS = 1 << 16
 ENDS = 20
 AFFIXES, GRAMS = (1, 2, 3), (2, 3, 4)
 #: Label scores of distinct words that a worker remembers. Beyond it, it starts anew: a bound on memory.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Words whose features are held at once when they are scored.
+SCORED = 20_000
 #: Positions held at once by forward-backward.
-POSITIONS = 300_000
+POSITIONS = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -78,8 +80,10 @@ class Model:
     def scores(self, words: list[str]) -> np.ndarray:
         """Label scores of each word."""
         out = np.zeros((len(words), len(self.labels)), dtype=np.float32)
-        for at, buckets in features(words, self.lexicon):
-            out[at] = self.weights[buckets].sum(axis=1)
+        for start in range(0, len(words), SCORED):
+            part = out[start : start + SCORED]
+            for at, buckets in features(words[start : start + SCORED], self.lexicon):
+                part[at] = self.weights[buckets].sum(axis=1)
         return out
 
 

@@ -148,7 +148,8 @@ def mix(
 
     ``size`` is the number of words (0 for a null text), ``target`` the words its source is to give, ``copies`` (0 to
     ``most``) how often the document is taken and ``taken`` = size * copies. A source misses its target by no more
-    than about half its shortest document unless rates at the limits leave no room. Documents of the same source and
+    than about half its shortest document, unless rates at the limits leave no room or a few documents are most of the
+    source: documents are taken whole. Documents of the same source and
     size share a rate; which of them get one copy more is settled by a hash of ``key``, so reruns agree.
 
     Null sources are one source, the last. Repeated rows count as rows of their own. Documents without words are taken

@@ -49,8 +49,10 @@ def test_mix_meets_targets_and_limits(spark, odd_docs, odd_rows, no_docs):
         assert r.target == pytest.approx(targets[of[r.doc_id]]) and r.source_size == sizes[of[r.doc_id]]
         assert r.taken == r.size * r.copies and 0 <= r.copies <= 2
         taken[of[r.doc_id]] += r.taken
+    # One source is little more than a single long document, which is taken once or twice.
+    longest = {s: max(len(WORD.findall(r[1] or "")) for r in odd_rows if r[3] == s) for s in sizes}
     for source, target in targets.items():
-        assert abs(taken[source] - target) <= max(2, 0.02 * target)
+        assert abs(taken[source] - target) <= max(2, 0.02 * target, longest[source] / 2 if longest[source] > sizes[source] / 2 else 0)
     assert sorted(map(tuple, mix(odd_docs.repartition(5)).collect()), key=str) == sorted(map(tuple, rows), key=str)
     assert mix(no_docs).count() == 0
 
@@ -98,7 +100,8 @@ def _judge(rows):
 
 def test_quality_rules_against_plain_python(spark, odd_rows, no_docs):
     rng = random.Random(5)
-    lines = [(100 + i, "\n".join(["Menu  12 | Home", " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.choice((4, 60))))] * rng.randint(1, 3)), "en", "h", 1) for i in range(60)]
+    header = " ".join(f"item{i}" for i in range(40))
+    lines = [(100 + i, "\n".join(["Menu  12 | " + header] + [" ".join(f"w{rng.randint(0, 40 * (i % 4 + 1))}" for _ in range(rng.choice((4, 20, 60))))] * rng.randint(1, 3)), "en", "h", 1) for i in range(60)]
     rows = [*odd_rows, *lines, *lines[:2]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("line", F.lit(1))
     got = judge_quality(docs).collect()
