@@ -96,22 +96,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "sink_gold_pair",
-    "SELECT pickup_date, pickup_year, pickup_month, 'zone' AS grain, pickup_location_id AS grain_key, trip_count FROM daily"
-    " UNION ALL SELECT pickup_date, pickup_year, pickup_month, 'hour', pickup_hour, trip_count FROM hourly",
+    "SELECT 'zone' AS grain, * FROM daily UNION ALL BY NAME SELECT 'hour' AS grain, * FROM hourly",
 )
 def _(t: Tables) -> DataFrame:
     daily_path, hourly_path = scratch_dir(t.spark, "daily"), scratch_dir(t.spark, "hourly")
     overwrite_gold_pair(t.daily, t.hourly, daily_path, hourly_path)
-    parts = [
-        scan_dataset(t.spark, path).select(
-            "pickup_date", *MONTH_PARTITIONS, F.lit(grain).alias("grain"), F.col(key).alias("grain_key"), "trip_count"
-        )
-        for path, grain, key in (
-            (daily_path, "zone", "pickup_location_id"),
-            (hourly_path, "hour", "pickup_hour"),
-        )
-    ]
-    return parts[0].unionByName(parts[1])
+    parts = [scan_dataset(t.spark, path).withColumn("grain", F.lit(grain)) for path, grain in ((daily_path, "zone"), (hourly_path, "hour"))]
+    return comparable(parts[0].unionByName(parts[1], allowMissingColumns=True))
 
 
 # ---- stages ----
@@ -243,6 +234,12 @@ def _(t: Tables) -> DataFrame:
     return comparable(read_mart(t.spark, f"{root}/marts", DAILY_MART).drop("published_at"))
 
 
+@query("run_all_hourly", _ONE_BATCH.format("hourly"))
+def _(t: Tables) -> DataFrame:
+    root, _ = _run_all(t)
+    return comparable(read_mart(t.spark, f"{root}/marts", HOURLY_MART).drop("published_at"))
+
+
 _COUNTS = {
     ("zones", "row_count"): "count(*) FROM zone_dim",
     ("bronze", "row_count"): "count(*) FROM bronze",

@@ -68,11 +68,17 @@ for _name in HOURLY_SCHEMA.names[HOURLY_SCHEMA.names.index(_FIRST_MEASURE) :]:
 @query(
     "trip_rollup",
     "SELECT pickup_date, pickup_hour, pickup_location_id, _batch_id, count(*) AS trip_count,"
-    " CAST(sum(total_amount) AS DECIMAL(22,2)) AS gross_revenue_amount FROM valid GROUP BY ALL",
+    " CAST(sum(total_amount) AS DECIMAL(22,2)) AS gross_revenue_amount, CAST(sum(fare_amount) AS DECIMAL(22,2)) AS fare_revenue_amount,"
+    " CAST(sum(tip_amount) AS DECIMAL(22,2)) AS total_tip_amount, "
+    + ", ".join(f"round(sum({c}), 9) AS avg_{c}__sum, count({c}) AS avg_{c}__n" for c in ("trip_distance", "trip_duration_minutes", "fare_per_mile"))
+    + ", count(*) FILTER (payment_type = 1) AS card_payment_share__n, count(*) FILTER (payment_type = 2) AS cash_payment_share__n,"
+    " max(_ingested_at) AS latest_source_ingested_at FROM valid GROUP BY ALL",
 )
 def _(t: Tables) -> DataFrame:
-    keys = ("pickup_date", "pickup_hour", "pickup_location_id", "_batch_id")
-    return trip_rollup(t.valid, keys).select(*keys, "trip_count", "gross_revenue_amount")
+    """Every partial sum and count that the gold tables are merged from."""
+    rollup = trip_rollup(t.valid, ("pickup_date", "pickup_hour", "pickup_location_id", "_batch_id"))
+    # Nine digits: a single trip's ratio may lie half way between two values of fewer.
+    return rollup.withColumns({c: F.round(c, 9) for c in rollup.columns if c.endswith("__sum")})
 
 
 @query(

@@ -96,26 +96,33 @@ WITH raw_trips AS (
     event_id,
     CAST(1 + event_id % 2 AS VARCHAR) AS "VendorID",
     CASE WHEN event_id % 211 = 0 THEN 'bad-ts'
+         WHEN event_id % 257 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.5')
+         WHEN event_id % 263 = 0 THEN '2024-02-30 08:15:00'
+         WHEN event_id % 269 = 0 THEN strftime(ts, '%Y-%m-%d')
          ELSE strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') END AS tpep_pickup_datetime,
     CASE WHEN event_id % 223 = 0 THEN 'bad-ts'
          ELSE strftime(date_trunc('second', ts) + to_minutes(CAST((event_id * 7 % 61) - 2 AS INTEGER)),
                        '%Y-%m-%d %H:%M:%S') END AS tpep_dropoff_datetime,
     CAST(1 + event_id % 4 AS VARCHAR) AS passenger_count,
-    CASE WHEN event_id % 227 = 0 THEN NULL
+    CASE WHEN event_id % 227 = 0 THEN NULL WHEN event_id % 1009 = 0 THEN 'NaN'
          ELSE CAST(CAST(CAST(event_id * 13 % 240 AS DECIMAL(12,1)) / 10 AS DECIMAL(12,2)) AS VARCHAR) END AS trip_distance,
-    '1' AS "RatecodeID",
+    CASE WHEN event_id % 7 = 0 THEN '1.0' ELSE '1' END AS "RatecodeID",
     'N' AS store_and_fwd_flag,
     CASE WHEN event_id % 229 = 0 THEN NULL ELSE CAST(user_id % 30 AS VARCHAR) END AS "PULocationID",
     CASE WHEN event_id % 233 = 0 THEN 'x' ELSE CAST(user_id * 7 % 25 AS VARCHAR) END AS "DOLocationID",
-    CAST(1 + event_id % 4 AS VARCHAR) AS payment_type,
-    CASE WHEN event_id % 239 = 0 THEN '-1.00' ELSE CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) END AS fare_amount,
+    CASE WHEN event_id % 251 = 0 THEN NULL WHEN event_id % 13 = 0 THEN ' ' || (1 + event_id % 4) || ' '
+         ELSE CAST(1 + event_id % 4 AS VARCHAR) END AS payment_type,
+    CASE WHEN event_id % 239 = 0 THEN '-1.00' WHEN event_id % 277 = 0 THEN '99999999999.99'
+         WHEN event_id % 271 = 0 THEN CAST(value AS DECIMAL(12,2)) || '5'
+         ELSE CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) END AS fare_amount,
     '0.00' AS extra,
     '0.00' AS mta_tax,
     CAST(CAST(event_id % 500 AS DECIMAL(12,2)) / 100 AS DECIMAL(12,2)) AS tip,
-    CAST(tip AS VARCHAR) AS tip_amount,
+    CASE WHEN event_id % 281 = 0 THEN NULL ELSE CAST(tip AS VARCHAR) END AS tip_amount,
     '0.00' AS tolls_amount,
     '0.00' AS improvement_surcharge,
     CASE WHEN event_id % 241 = 0 THEN ''
+         WHEN event_id % 283 = 0 THEN CAST(CAST(value AS DECIMAL(12,2)) + tip AS DECIMAL(12,2)) || '5'
          ELSE CAST(CAST(CAST(value AS DECIMAL(12,2)) + tip AS DECIMAL(12,2)) AS VARCHAR) END AS total_amount,
     '0.00' AS congestion_surcharge,
     '0.00' AS airport_fee
@@ -180,9 +187,9 @@ WITH raw_trips AS (
 ), zone_dim AS (
   SELECT
     CAST(n_nationkey AS INTEGER) AS location_id,
-    r_name AS borough,
+    CASE WHEN n_nationkey = 7 THEN NULL ELSE r_name END AS borough,
     n_name AS zone,
-    'service-' || n_regionkey AS service_zone,
+    CASE WHEN n_nationkey = 9 THEN NULL ELSE 'service-' || n_regionkey END AS service_zone,
     'nation' AS _source_file_path
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 ), enriched AS (

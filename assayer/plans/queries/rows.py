@@ -66,16 +66,12 @@ def _(t: Tables) -> DataFrame:
 @query(
     "cast_all_to_string",
     "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,"
-    " CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS value, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
+    " CAST(value AS VARCHAR) AS value, CAST(ts AS VARCHAR) AS ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
     chain=False,
 )
 def _(t: Tables) -> DataFrame:
     events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
-    return all_to_text(
-        events.select(
-            "event_id", "user_id", "event_type", F.col("value").cast("decimal(12,2)"), F.to_date("ts").alias("day")
-        )
-    )
+    return all_to_text(events.select("event_id", "user_id", "event_type", "value", "ts", F.to_date("ts").alias("day")))
 
 
 @query("publish_projection", "SELECT * EXCLUDE (pickup_year, pickup_month) FROM daily")
@@ -212,20 +208,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "enrich_left_join",
-    "SELECT pickup_timestamp, pickup_location_id, total_amount, _batch_id, pickup_borough, pickup_zone,"
-    " pickup_service_zone, _zone_lookup_matched FROM enriched",
+    "SELECT * FROM enriched",
 )
 def _(t: Tables) -> DataFrame:
-    return enrich_trips(t.valid, t.zones).select(
-        "pickup_timestamp",
-        "pickup_location_id",
-        "total_amount",
-        "_batch_id",
-        "pickup_borough",
-        "pickup_zone",
-        "pickup_service_zone",
-        "_zone_lookup_matched",
-    )
+    return reasons_as_text(enrich_trips(t.valid, t.zones))
 
 
 @query(

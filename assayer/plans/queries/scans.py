@@ -39,7 +39,8 @@ def _with_path_flag(df: DataFrame) -> DataFrame:
 
 
 def _csv_at(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).mode("overwrite").csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, **blanks).mode("overwrite").csv(path)
     return path
 
 
@@ -52,16 +53,27 @@ def _trimmed_zones(t: Tables) -> DataFrame:
 
 
 def _trips_parquet(t: Tables, path: str | None = None) -> str:
-    """Trips with typed ids and a drifted column name, as monthly files come."""
+    """Trips with the types and the drifted column name that monthly files come with."""
     path = path or scratch_dir(t.spark, "trips-parquet")
+    times = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     drifted = t.raw.select(*TRIP_COLUMNS).withColumns(
-        {"VendorID": F.col("VendorID").cast("bigint"), "passenger_count": F.col("passenger_count").cast("double")}
+        {
+            "VendorID": F.col("VendorID").cast("bigint"),
+            **{c: F.col(c).cast("double") for c in ("passenger_count", "tip_amount")},
+            **{c: F.expr(f"cast(try_to_timestamp({c}, 'yyyy-MM-dd HH:mm:ss') as timestamp_ntz)") for c in times},
+        }
     )
     drifted.withColumnRenamed("airport_fee", "Airport_fee").write.mode("overwrite").parquet(path)
     return path
 
 
-_FROM_PARQUET = "SELECT * REPLACE (passenger_count || '.0' AS passenger_count), true AS has_source_path FROM raw"
+_PASSENGERS = "passenger_count || '.0' AS passenger_count"
+_SEVERAL = f"SELECT * REPLACE ({_PASSENGERS}), true AS has_source_path FROM raw"
+_TIME_SQL = "strftime(try_strptime({0}, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS {0}"
+_FROM_PARQUET = (
+    f"SELECT * REPLACE ({_PASSENGERS}, CAST(CAST(tip_amount AS DOUBLE) AS VARCHAR) AS tip_amount,"
+    f" {_TIME_SQL.format('tpep_pickup_datetime')}, {_TIME_SQL.format('tpep_dropoff_datetime')}), true AS has_source_path FROM raw"
+)
 
 
 @query("scan_trips_csv", _RAW_FROM_CSV)
@@ -87,7 +99,7 @@ def _(t: Tables) -> DataFrame:
     return read[0].unionByName(read[1])
 
 
-@query("scan_several_parquet", _FROM_PARQUET)
+@query("scan_several_parquet", _SEVERAL)
 def _(t: Tables) -> DataFrame:
     """Two files whose physical types differ, united by name."""
     paths = [scratch_dir(t.spark, "trips-parquet") for _ in range(2)]
@@ -138,7 +150,8 @@ def _(t: Tables) -> DataFrame:
     return filled.unionByName(told("absent", has_data(t.spark, f"{path}-absent"), t.raw.limit(0)))
 
 
-@query("column_drift_rename", "SELECT airport_fee, count(*) AS row_count FROM raw GROUP BY airport_fee")
+@query("column_drift_rename", "SELECT total_amount AS airport_fee, count(*) AS row_count FROM raw GROUP BY total_amount")
 def _(t: Tables) -> DataFrame:
-    drifted = t.raw.withColumnRenamed("airport_fee", "Airport_fee")
+    """The totals stand in for the drifted column, so that its values tell it from others."""
+    drifted = t.raw.withColumn("airport_fee", F.col("total_amount")).withColumnRenamed("airport_fee", "Airport_fee")
     return rename_drifted(drifted).groupBy("airport_fee").agg(F.count("*").alias("row_count"))

@@ -35,29 +35,29 @@ def enriched(silver, zones):
 
 def test_zone_dimension_is_typed_and_trimmed(spark):
     raw = spark.createDataFrame(
-        [("236.0", "  Queens ", "A", None, "f")], "LocationID string, Borough string, Zone string, service_zone string, _source_file_path string"
+        [("41.0", "  Eastbank ", "A", None, "f")], "LocationID string, Borough string, Zone string, service_zone string, _source_file_path string"
     )
     zones = zone_dimension(raw)
     assert zones.columns == ["location_id", "borough", "zone", "service_zone", "_source_file_path"]
-    assert tuple(zones.first()) == (236, "Queens", "A", None, "f")
+    assert tuple(zones.first()) == (41, "Eastbank", "A", None, "f")
     with pytest.raises(ValueError, match="Borough"):
         zone_dimension(raw.drop("Borough"))
 
 
 def test_enrichment_keeps_every_trip(enriched):
     assert enriched.count() == 3
-    row = enriched.filter("pickup_location_id = 236").first()
-    assert (row["pickup_borough"], row["pickup_zone"], row["_zone_lookup_matched"]) == ("Manhattan", "Upper East Side North", True)
+    row = enriched.filter("pickup_location_id = 41").first()
+    assert (row["pickup_borough"], row["pickup_zone"], row["_zone_lookup_matched"]) == ("Northside", "Old Harbour", True)
     assert enriched.columns[-4:] == ["pickup_borough", "pickup_zone", "pickup_service_zone", "_zone_lookup_matched"]
 
 
 def test_unknown_zone_and_null_attribute(spark, silver):
-    trips = valid_rows(silver).withColumn("pickup_location_id", F.when(F.col("pickup_location_id") == 237, 999).otherwise(F.col("pickup_location_id")))
-    zones = spark.createDataFrame([(236, None, "Z", "S"), (138, "B", "Y", None)], ZONE_DDL)
+    trips = valid_rows(silver).withColumn("pickup_location_id", F.when(F.col("pickup_location_id") == 58, 999).otherwise(F.col("pickup_location_id")))
+    zones = spark.createDataFrame([(41, None, "Z", "S"), (62, "B", "Y", None)], ZONE_DDL)
     rows = {r["pickup_location_id"]: r for r in enrich_trips(trips, zones).collect()}
     assert (rows[999]["pickup_zone"], rows[999]["_zone_lookup_matched"]) == ("Unknown", False)
-    assert (rows[236]["pickup_borough"], rows[236]["_zone_lookup_matched"]) == ("Unknown", True)
-    assert rows[138]["pickup_service_zone"] == "Unknown"
+    assert (rows[41]["pickup_borough"], rows[41]["_zone_lookup_matched"]) == ("Unknown", True)
+    assert rows[62]["pickup_service_zone"] == "Unknown"
     assert [r["pickup_location_id"] for r in unmatched_trips(enrich_trips(trips, zones)).collect()] == [999]
 
 
@@ -96,9 +96,9 @@ def test_merges_copy_no_rows(spark, silver, zones):
 
 def test_daily_golden(silver, zones, enriched):
     expected = {
-        236: (date(2024, 1, 1), "26.60", "18.40", "4.20", 3.2, 20.0, 5.749999999999999, 1.0),
-        237: (date(2024, 1, 1), "18.20", "14.20", "0.00", 2.1, 20.0, 6.761904761904761, 0.0),
-        138: (date(2024, 1, 2), "65.44", "42.00", "8.00", 7.8, 30.0, 5.384615384615385, 0.0),
+        41: (date(2024, 1, 1), "18.00", "12.60", "3.10", 2.4, 12.0, 5.25, 1.0),
+        58: (date(2024, 1, 1), "29.00", "24.70", "0.00", 6.5, 30.0, 3.8, 0.0),
+        62: (date(2024, 1, 2), "49.10", "33.60", "6.70", 9.6, 24.0, 3.5, 1.0),
     }
     for daily in (daily_zone_metrics(enriched), daily_zone_from_trips(valid_rows(silver), zones)):
         assert [(f.name, f.dataType) for f in daily.schema] == [(f.name, f.dataType) for f in DAILY_SCHEMA]
@@ -113,7 +113,7 @@ def test_daily_golden(silver, zones, enriched):
             assert (r["avg_trip_distance"], r["avg_trip_duration_minutes"]) == (distance, minutes)
             assert r["avg_fare_per_mile"] == pytest.approx(per_mile)
             assert r["latest_source_ingested_at"] == datetime(2024, 1, 3, 12)
-        assert (rows[236]["card_payment_share"], rows[237]["cash_payment_share"]) == (1.0, 1.0)
+        assert (rows[41]["card_payment_share"], rows[58]["cash_payment_share"]) == (1.0, 1.0)
 
 
 def test_hourly_golden(enriched):
@@ -121,9 +121,9 @@ def test_hourly_golden(enriched):
     assert [(f.name, f.dataType) for f in hourly.schema] == [(f.name, f.dataType) for f in HOURLY_SCHEMA]
     rows = order_hourly(hourly).collect()
     assert [(r["pickup_date"].day, r["pickup_hour"], r["trip_count"], r["distinct_pickup_zones"]) for r in rows] == [
-        (1, 8, 1, 1),
-        (1, 9, 1, 1),
-        (2, 18, 1, 1),
+        (1, 6, 1, 1),
+        (1, 21, 1, 1),
+        (2, 16, 1, 1),
     ]
 
 
@@ -158,7 +158,7 @@ def test_against_brute_force_with_a_hot_zone(bronze_rows, zones):
             {
                 "tpep_pickup_datetime": f"2024-01-{1 + (0 if hot else i % 5):02d} {hour:02d}:00:00",
                 "tpep_dropoff_datetime": f"2024-01-{7 + i % 3:02d} {hour:02d}:30:00",
-                "PULocationID": "236" if hot else str(130 + i % 12),
+                "PULocationID": "41" if hot else str(55 + i % 12),
                 "total_amount": f"{i}.{i % 100:02d}",
                 "trip_distance": f"{1 + i % 9}.5",
                 "payment_type": str(i % 4),

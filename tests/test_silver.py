@@ -101,12 +101,12 @@ def test_lineage(spark, trips_csv):
 
 
 def test_derived_columns(silver):
-    row = silver.filter("pickup_location_id = 236").first()
-    assert (row["pickup_date"], row["pickup_hour"], row["pickup_year"], row["pickup_month"]) == (date(2024, 1, 1), 8, 2024, 1)
-    assert row["trip_duration_minutes"] == 20.0
-    assert row["fare_per_mile"] == pytest.approx(5.75)
-    assert silver.filter("pickup_location_id = 161").first()["trip_duration_minutes"] == -5.0
-    assert silver.filter("pickup_location_id = 132").first()["fare_per_mile"] is None
+    row = silver.filter("pickup_location_id = 41").first()
+    assert (row["pickup_date"], row["pickup_hour"], row["pickup_year"], row["pickup_month"]) == (date(2024, 1, 1), 6, 2024, 1)
+    assert row["trip_duration_minutes"] == 12.0
+    assert row["fare_per_mile"] == pytest.approx(5.25)
+    assert silver.filter("pickup_location_id = 59").first()["trip_duration_minutes"] == -7.0
+    assert silver.filter("pickup_location_id = 60").first()["fare_per_mile"] is None
 
 
 def test_silver_schema(silver):
@@ -169,7 +169,7 @@ def test_extra_rules_are_opt_in(silver):
     late = Rule("pickup_too_late", "pickup_date > DATE '2024-01-01'")
     tagged = tag_rows(base, (*TRIP_RULES, late))
     assert tagged.filter("is_valid").count() == 2
-    assert tagged.filter("pickup_location_id = 132").first()["_invalid_reasons"] == [
+    assert tagged.filter("pickup_location_id = 60").first()["_invalid_reasons"] == [
         "non_positive_trip_distance",
         "pickup_too_late",
     ]

@@ -32,7 +32,7 @@ def test_csv_scan_has_contract_columns_as_strings(spark, trips_csv):
 def test_zone_scan(spark, zones_csv):
     df = scan_zones_csv(spark, zones_csv)
     assert df.count() == 7
-    assert df.filter("LocationID = '236'").first()["Zone"] == "Upper East Side North"
+    assert df.filter("LocationID = '41'").first()["Zone"] == "Old Harbour"
 
 
 def test_missing_inputs_are_file_not_found(spark, tmp_path):
@@ -44,15 +44,15 @@ def test_missing_inputs_are_file_not_found(spark, tmp_path):
 
 def test_short_row_fails_once_columns_are_read(spark, tmp_path):
     path = tmp_path / "short.csv"
-    path.write_text("LocationID,Borough,Zone,service_zone\n1,Queens\n", encoding="utf-8")
+    path.write_text("LocationID,Borough,Zone,service_zone\n1,Eastbank\n", encoding="utf-8")
     with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
         scan_zones_csv(spark, str(path)).collect()
 
 
 def test_header_names_are_compared_only_on_request(spark, tmp_path):
     path = tmp_path / "other.csv"
-    path.write_text("a,b,c,d\n1,Queens,JFK,Airports\n", encoding="utf-8")
-    assert scan_zones_csv(spark, str(path)).first()["Borough"] == "Queens"
+    path.write_text("a,b,c,d\n1,Eastbank,Pier,Airfield\n", encoding="utf-8")
+    assert scan_zones_csv(spark, str(path)).first()["Borough"] == "Eastbank"
     with pytest.raises(Exception, match="CSV header"):
         scan_zones_csv(spark, str(path), enforce_schema=False).collect()
 
@@ -77,9 +77,9 @@ def test_parquet_scan_normalizes_names_and_types(spark, trips_csv, tmp_path):
     df = scan_trips_parquet(spark, path)
     assert {type(f.dataType) for f in df.schema} == {StringType}
     assert "airport_fee" in df.columns and "Airport_fee" not in df.columns
-    row = df.filter("PULocationID = '236'").first()
-    assert (row["VendorID"], row["passenger_count"], row["bonus"]) == ("1", "1.0", "7")
-    assert row["tpep_pickup_datetime"] == "2024-01-01 08:15:00"
+    row = df.filter("PULocationID = '41'").first()
+    assert (row["VendorID"], row["passenger_count"], row["bonus"]) == ("2", "2.0", "7")
+    assert row["tpep_pickup_datetime"] == "2024-01-01 06:40:00"
     assert row[SOURCE_PATH] != "stale" and ".parquet" in row[SOURCE_PATH]
     assert df.columns[-1] == SOURCE_PATH
 
