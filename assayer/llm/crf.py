@@ -22,11 +22,11 @@ BUCKETS = 1 << 16
 ENDS = 20
 AFFIXES, GRAMS = (1, 2, 3), (2, 3, 4)
 #: Label scores of distinct words that a worker remembers. Beyond it, it starts anew: a bound on memory.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Words whose features are held at once when they are scored.
 SCORED = 20_000
-#: Positions held at once by forward-backward.
-POSITIONS = 200_000
+#: Positions held at once by forward-backward, and the steps between scalings of its factors.
+POSITIONS, SCALED = 250_000, 4
 
 
 def words_of(text: str) -> list[str]:
@@ -87,42 +87,44 @@ class Model:
         return out
 
 
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Label probabilities (step, sequence, label), expected transitions, and the log of all paths' sum.
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Label probabilities (step, sequence, label), and the forward, backward and emission factors they come from.
 
-    ``scores`` is (step, sequence, label); sequences end after their length, what follows there is ignored.
+    ``scores`` is (step, sequence, label); sequences are in ascending order of length, so that those still going are the
+    last ones at every step. What follows a sequence's end is 0. Factors are scaled to their sum every few steps.
     """
     steps, n, labels = scores.shape
-    top = scores.max(axis=2, keepdims=True)
-    emit = np.exp(scores - top)
-    base = transitions.max()
-    move = np.exp(transitions - base).astype(emit.dtype)
-    ahead, scale = np.empty_like(emit), np.ones((steps, n), dtype=emit.dtype)
-    inside = np.arange(steps)[:, None] < lengths[None, :]
-    now = emit[0] / labels
+    emit = np.exp(scores - scores.max(axis=2, keepdims=True))
+    move = np.exp(transitions - transitions.max()).astype(emit.dtype)
+    ended = np.searchsorted(lengths, np.arange(steps), side="right")
+    ahead, behind = np.zeros_like(emit), np.zeros_like(emit)
     for t in range(steps):
-        if t:
-            now = (now @ move) * emit[t]
-        scale[t] = now.sum(axis=1)
-        now = now / scale[t][:, None]
-        ahead[t] = now
-    behind = np.ones_like(emit)
-    for t in range(steps - 2, -1, -1):
-        back = (behind[t + 1] * emit[t + 1]) @ move.T
-        back /= back.sum(axis=1, keepdims=True)
-        behind[t] = np.where(inside[t + 1][:, None], back, 1.0)
+        k = ended[t]
+        now = emit[t, k:] if t == 0 else (ahead[t - 1, k:] @ move) * emit[t, k:]
+        if t % SCALED == 0:
+            now = now / (now @ np.ones((labels, 1), dtype=emit.dtype))
+        ahead[t, k:] = now
+    for t in range(steps - 1, -1, -1):
+        k = ended[t + 1] if t + 1 < steps else n
+        behind[t, ended[t] : k] = 1
+        if k < n:
+            back = (behind[t + 1, k:] * emit[t + 1, k:]) @ move.T
+            if t % SCALED == 0:
+                back /= back @ np.ones((labels, 1), dtype=emit.dtype)
+            behind[t, k:] = back
     chance = ahead * behind
-    chance /= chance.sum(axis=2, keepdims=True)
-    chance *= inside[:, :, None]
-    pairs = np.zeros((labels, labels))
-    if steps > 1:
-        after = behind[1:] * emit[1:]
-        # Each step's expected transitions, scaled to sum up to 1, over all steps inside a sequence.
-        total = np.einsum("tni,ij,tnj->tn", ahead[:-1], move, after)
-        weight = inside[1:] / np.maximum(total, 1e-30)
-        pairs = np.einsum("tni,tnj,tn->ij", ahead[:-1], after, weight) * move
-    log_sum = float(((np.log(scale) + top[:, :, 0]) * inside).sum() + base * np.maximum(lengths - 1, 0).sum())
-    return chance, pairs, log_sum
+    chance /= np.maximum(chance.sum(axis=2, keepdims=True), 1e-37)
+    return chance, ahead, behind, emit
+
+
+def expected_moves(ahead: np.ndarray, behind: np.ndarray, emit: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """How often each label is expected to follow each other one, from the factors of ``forward_backward``."""
+    move = np.exp(transitions - transitions.max())
+    after = behind[1:] * emit[1:]
+    # Each step's moves are scaled to sum up to 1; after a sequence's end they are 0.
+    total = np.einsum("tni,tni->tn", ahead[:-1] @ move, after)
+    weight = np.where(total > 0, 1 / np.where(total > 0, total, 1), 0)
+    return np.einsum("tni,tnj->ij", ahead[:-1] * weight[:, :, None], after) * move
 
 
 def spliced(texts: list[list[str]], labels: list[int], rng: np.random.Generator, steps: int = 64) -> list[tuple[list[str], list[int]]]:
@@ -148,7 +150,7 @@ def fit(texts: list[list[str]], labels: list[str], rounds: int = 60, rate: float
     names = sorted(set(labels))
     number = {name: i for i, name in enumerate(names)}
     rng = np.random.default_rng(seed)
-    sequences = spliced(texts, [number[label] for label in labels], rng)
+    sequences = sorted(spliced(texts, [number[label] for label in labels], rng), key=lambda s: len(s[0]))
     counts = Counter(w for words, _ in sequences for w in words)
     vocabulary = list(counts)
     at_word = {w: i for i, w in enumerate(vocabulary)}
@@ -178,7 +180,8 @@ def fit(texts: list[list[str]], labels: list[str], rounds: int = 60, rate: float
         table = np.zeros((len(vocabulary), width), dtype=np.float32)
         for at, buckets in found:
             table[at] = weights[buckets].sum(axis=1)
-        chance, pairs, _ = forward_backward(table[ids], lengths, transitions)
+        chance, *factors = forward_backward(table[ids], lengths, transitions)
+        moves = expected_moves(*factors, transitions)
         wrong = (real - chance).reshape(-1, width)
         by_word = np.stack([np.bincount(ids.ravel(), weights=wrong[:, k], minlength=len(vocabulary)) for k in range(width)], axis=1)
         slope = np.zeros_like(weights)
@@ -186,7 +189,7 @@ def fit(texts: list[list[str]], labels: list[str], rounds: int = 60, rate: float
             for k in range(width):
                 slope[:, k] += np.bincount(buckets.ravel(), weights=np.repeat(by_word[at, k], buckets.shape[1]), minlength=BUCKETS + 1)
         slope[0] = 0
-        for x, g, (mean, square) in ((weights, slope / total - decay * weights, state[0]), (transitions, (real_pairs - pairs) / total, state[1])):
+        for x, g, (mean, square) in ((weights, slope / total - decay * weights, state[0]), (transitions, (real_pairs - moves) / total, state[1])):
             mean += 0.1 * (g - mean)
             square += 0.01 * (g * g - square)
             x += rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
@@ -223,7 +226,7 @@ class Labeller:
             ids = np.zeros((steps, len(some)), dtype=np.int64)
             for k, i in enumerate(some):
                 ids[: lengths[k], k] = [self.known[w] for w in texts[i]]
-            chance, _, _ = forward_backward(self.table[ids], lengths, self.model.transitions)
+            chance = forward_backward(self.table[ids], lengths, self.model.transitions)[0]
             for k, i in enumerate(some):
                 out[i] = chance[: lengths[k], k]
         return out

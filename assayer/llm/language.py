@@ -17,7 +17,7 @@ UNKNOWN = "und"
 #: Documents of each language in the sample at most, and the longest text it takes, in bytes. These bound what the driver holds.
 PER_LANGUAGE, LONGEST = 250, 12_000
 #: Characters whose words a task holds at a time (one text more at most).
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 
 
 def fold(key: str = "doc_id") -> Column:
