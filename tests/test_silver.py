@@ -130,7 +130,7 @@ def test_missing_bronze_columns_are_named(bronze):
 RULE_CASES = {
     "invalid_pickup_timestamp": {"tpep_pickup_datetime": "2024-01-01 08:15:00.5"},
     "invalid_dropoff_timestamp": {"tpep_dropoff_datetime": "2024-01-01"},
-    "dropoff_not_after_pickup": {"tpep_dropoff_datetime": "2024-01-01 08:15:00"},
+    "dropoff_not_after_pickup": {"tpep_dropoff_datetime": "2024-01-01 06:40:00"},
     "non_positive_trip_distance": {"trip_distance": "-0.1"},
     "invalid_fare_amount": {"fare_amount": "99999999999.99"},
     "invalid_total_amount": {"total_amount": "-0.01"},

@@ -222,7 +222,7 @@ def test_other_time_zones_are_rejected(spark, tmp_path):
 
 
 def _session(master, **conf):
-    return SimpleNamespace(conf=conf_of(conf), sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=conf_of(conf), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: conf.get("set_on_context")))
 
 
 def conf_of(values):
@@ -234,6 +234,7 @@ def test_scratch_follows_the_session():
     assert scratch_dir(shared, "x").startswith("/shared/folder/x-")
     assert scratch_dir(shared, "x") != scratch_dir(shared, "x")
     assert "/x-" in scratch_dir(_session("local[2]"), "x")
+    assert scratch_dir(_session("spark://host:7077", set_on_context="/other"), "x").startswith("/other/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(_session("spark://host:7077"), "x")
 
