@@ -22,7 +22,11 @@ from assayer.llm.token_files import read_documents, write_token_shards
 from assayer.plans.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-TWINS: dict[str, str] = {"op3_quality_rules": twins.QUALITY_RULES, "op10_ngram_join": twins.NGRAM_JOIN}
+TWINS: dict[str, str] = {
+    "op3_quality_rules": twins.QUALITY_RULES,
+    "op5_embedding_dedup": twins.EMBEDDING_DEDUP,
+    "op10_ngram_join": twins.NGRAM_JOIN,
+}
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

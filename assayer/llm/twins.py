@@ -57,3 +57,15 @@ SELECT b.doc_id, CASE WHEN t.tid IS NULL THEN b.doc_id ELSE c.class_id END AS cl
 FROM base b LEFT JOIN texts t ON b.words = t.words AND len(b.words) > 0
 LEFT JOIN classes c USING (tid) LEFT JOIN degrees d USING (tid)
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS other FROM vectors UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+components AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN degrees USING (vec_id)
+"""
