@@ -1,17 +1,16 @@
-"""Near-duplicates among embeddings by sorted projection passes.
+"""Near-duplicates among embeddings: exact within groups and clusters, which in large groups sorted passes find.
 
-Each pass hashes every vector with random hyperplanes and orders the vectors of a label lexicographically by the
-concatenated bits. The order is cut into blocks; a vector is compared with all of its own and the neighbouring blocks.
-Pairs at or above the threshold, by cosine in double precision, are links; links of all passes are united.
+Equal vectors of a label are one vector with a multiplicity. A label up to a certain size is compared whole. In a
+larger one, passes of random hyperplanes first find clusters: each orders the vectors lexicographically by the
+concatenated bits and cuts the order into blocks; a vector is compared with all of its own and the neighbouring blocks,
+and links of all passes join clusters. A cluster is then compared whole, in double precision like everything else.
 
-A pair that meets in several passes is counted in the first one. Tasks see that by the block numbers of all passes,
-which each vector carries, so pairs are never written out: a task gives each vector's number of new links and the edges
-of a spanning forest.
+Labels and clusters of any size are cut into tiles of at most two parts of ``PART`` vectors. No pair is written out: a
+tile gives sums and the edges of a spanning forest.
 
 A pair at the threshold stays together over one bit with probability 1 - acos(threshold) / pi, and meets when the bits
 that tell blocks apart agree. The number of passes follows from that, the size of the largest label, and ``miss``, the
-chance aimed at for such a pair to meet in no pass. Within a cluster larger than a window, members meet by the chance
-order of each pass; its component is whole all the same.
+chance aimed at for such a pair to meet in no pass.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import arrow_map, reachable, written
 from assayer.llm.components import components, local_roots
+from assayer.llm.ngram_join import over_runs, tiles
 
 #: Bits of a pass's hash.
 BITS = 48
@@ -34,6 +34,8 @@ BITS = 48
 BLOCK = 512
 #: Passes at least.
 LEAST_PASSES = 10
+#: Vectors of one side of a tile, and those compared at a time.
+PART, ROWS_AT_ONCE = 4096, 512
 SEED = 20_240_501
 
 
@@ -48,9 +50,8 @@ def planes(dim: int, passes: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).standard_normal((dim, passes * BITS))
 
 
-def _hashed(rows: DataFrame, passes: int) -> DataFrame:
-    """``_row, vec_id, label, dim, vector`` (float64 bytes, unit length) and ``keys`` of vectors that can link."""
-    weights = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
+def _units(rows: DataFrame) -> DataFrame:
+    """``_row, vec_id, label, dim, vector`` (float64 bytes, unit length) of vectors that can link."""
     id_type, label_type = (rows.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -74,61 +75,115 @@ def _hashed(rows: DataFrame, passes: int) -> DataFrame:
             if not len(at):
                 continue
             x /= np.sqrt((x * x).sum(axis=1))[:, None]
-            bits = (x @ planes(dim, passes) > 0).reshape(len(x), passes, BITS)
-            keys = bits @ weights
             picked = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    picked.column(0),
-                    picked.column(1),
-                    picked.column(2),
-                    pa.array(np.full(len(at), dim, dtype=np.int32)),
-                    pa.array([v.tobytes() for v in x], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * passes, pa.int32()), pa.array(keys.ravel())),
-                ],
-                names=["_row", "vec_id", "label", "dim", "vector", "keys"],
-            )
-
-    return arrow_map(rows, each, f"_row bigint, vec_id {id_type}, label {label_type}, dim int, vector binary, keys array<bigint>")
-
-
-def _block_numbers(hashed: DataFrame, block: int) -> DataFrame:
-    """``_row, blocks``: the block of each vector in every pass, in one order of (pass, label, dim, key)."""
-    entries = hashed.select("_row", "vec_id", "label", "dim", F.posexplode("keys").alias("pass", "key"))
-    order = ["pass", "label", "dim", "key", "vec_id", "_row"]
+            dims, vectors = pa.array(np.full(len(at), dim, dtype=np.int32)), pa.array([v.tobytes() for v in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([*picked.columns[:3], dims, vectors], names=["_row", "vec_id", "label", "dim", "vector"])
+
+    return arrow_map(rows, each, f"_row bigint, vec_id {id_type}, label {label_type}, dim int, vector binary")
+
+
+def _hashed(distinct: DataFrame, passes: int) -> DataFrame:
+    """``tid, grp, dim, vector, keys``: the bits of each pass."""
+    weights = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
+
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        dims = batch.column(2).to_numpy()
+        for dim in np.unique(dims).tolist():
+            some = batch.filter(pa.array(dims == dim))
+            x = np.frombuffer(b"".join(some.column(3).to_pylist()), dtype=float).reshape(-1, dim)
+            keys = (x @ planes(dim, passes) > 0).reshape(len(x), passes, BITS) @ weights
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * passes, pa.int32()), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["tid", "grp", "dim", "vector", "keys"])
+
+    return arrow_map(distinct.select("tid", "grp", "dim", "vector"), each, "tid bigint, grp bigint, dim int, vector binary, keys array<bigint>")
+
+
+def _blocks(hashed: DataFrame, block: int) -> DataFrame:
+    """``tid, grp, pass, key, _block``: the block of each vector in every pass, in one order of (pass, group, key)."""
+    entries = hashed.select("tid", "grp", F.posexplode("keys").alias("pass", "key"))
+    order = ["pass", "grp", "key", "tid"]
     # Ordered by range over all columns, so that equal keys do not meet in one task; the id is the place in the task.
-    sorted_rows = entries.repartitionByRange(*order).sortWithinPartitions(*order).select("_row", "pass", F.monotonically_increasing_id().alias("_id"))
+    sorted_rows = entries.repartitionByRange(*order).sortWithinPartitions(*order).select(*order, F.monotonically_increasing_id().alias("_id"))
     placed = written(sorted_rows, "vectors-order").withColumn("_task", F.shiftright("_id", 33))
     sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     place = F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = placed.join(F.broadcast(starts), "_task").select("_row", "pass", F.floor(place / block).alias("_block"))
-    return numbered.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pass", "_block")))["_block"].alias("blocks"))
-
-
-def _compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """New links and forest edges among a block (``home``) and between it and the next."""
-    group = group.sort_values(["home", "_row"], ascending=[False, True])
-    n, homes, this = len(group), int(group["home"].sum()), int(group["pass"].iloc[0])
-    rows = group["_row"].to_numpy(np.int64)
-    kinds = group.groupby(["label", "dim"], sort=False).ngroup().to_numpy()
-    blocks = np.stack(group["blocks"].to_numpy())
-    counts, left, right = np.zeros(n, dtype=np.int64), [], []
-    for kind in np.unique(kinds[:homes]).tolist():
-        mine = np.flatnonzero(kinds == kind)
+    return placed.join(F.broadcast(starts), "_task").select(*order, F.floor(place / block).alias("_block"))
+
+
+def _forest(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """``u, v``: a spanning forest of the links among a block (``home``) and between it and the next."""
+    group = group.sort_values(["home", "tid"], ascending=[False, True])
+    n, homes = len(group), int(group["home"].sum())
+    tids, groups = group["tid"].to_numpy(np.int64), group["grp"].to_numpy(np.int64)
+    left, right = [], []
+    for one in np.unique(groups[:homes]).tolist():
+        mine = np.flatnonzero(groups == one)
         own = int((mine < homes).sum())
         x = np.frombuffer(b"".join(group["vector"].iloc[mine]), dtype=float).reshape(len(mine), -1)
-        near = x[:own] @ x.T >= threshold
-        a, b = np.nonzero(np.triu(near, 1))
-        a, b = mine[a], mine[b]
-        fresh = ~(np.abs(blocks[a, :this] - blocks[b, :this]) <= 1).any(axis=1)
-        counts += np.bincount(a[fresh], minlength=n) + np.bincount(b[fresh], minlength=n)
-        left.append(a)
-        right.append(b)
+        a, b = np.nonzero(np.triu(x[:own] @ x.T >= threshold, 1))
+        left.append(mine[a])
+        right.append(mine[b])
     roots = local_roots(n, np.concatenate(left), np.concatenate(right)) if left else np.arange(n)
-    told = (counts > 0) | (roots != np.arange(n))
-    return pd.DataFrame({"_row": rows[told], "_links": counts[told], "_to": rows[roots[told]]})
+    moved = roots != np.arange(n)
+    return pd.DataFrame({"u": tids[moved], "v": tids[roots[moved]]})
+
+
+def _candidates(large: DataFrame, sizes: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+    """``tid, cluster``: vectors of large groups (``tid, grp, dim, vector``) joined by the links of all passes."""
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    hashed = written(_hashed(large, passes_for(largest, threshold, miss, block)), "vectors-hashed")
+    entries = _blocks(hashed, block).select("tid", "pass", "_block").join(hashed.select("tid", "grp", "vector"), "tid")
+    # A vector is at home in its block's task and a guest in that of the block before.
+    tasks = F.array(F.struct(F.col("_block").alias("task"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("task"), F.lit(False).alias("home")))
+    dealt = entries.select("tid", "grp", "vector", "pass", F.inline(tasks))
+    reachable(large.sparkSession)
+    # Blocks number all passes in one row, so a task may hold the end of one pass and the start of the next.
+    found = written(dealt.groupBy("pass", "task").applyInPandas(lambda group: _forest(group, threshold), "u bigint, v bigint"), "vectors-forest")
+    return components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
+
+
+def _exact(members: DataFrame, threshold: float) -> DataFrame:
+    """``tid, links, to``: links of each vector within a tile, copies included, and forest edges."""
+
+    def work(table: pa.Table, runs: np.ndarray) -> pa.RecordBatch:
+        tids, part, low, high, copies = (table.column(c).to_numpy() for c in ("tid", "part", "low", "high", "copies"))
+        raw = table.column("vector").to_pylist()
+        out: list[list[np.ndarray]] = [[], [], []]
+        edges = np.flatnonzero(np.diff(runs)) + 1
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(runs)], strict=True):
+            if hi - lo < 2:
+                continue
+            x = np.frombuffer(b"".join(raw[lo:hi]), dtype=float).reshape(hi - lo, -1)
+            times, n = copies[lo:hi].astype(float), hi - lo
+            mixed = low[lo] != high[lo]
+            rows = np.flatnonzero(part[lo:hi] == low[lo])
+            across = np.flatnonzero(part[lo:hi] == high[lo])
+            other, links = x[across], np.zeros(n)
+            left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for at in range(0, len(rows), ROWS_AT_ONCE):
+                some = rows[at : at + ROWS_AT_ONCE]
+                near = x[some] @ other.T >= threshold
+                if not mixed:
+                    # Each pair once, below the diagonal.
+                    near &= across[None, :] < some[:, None]
+                a, b = np.nonzero(near)
+                a, b = some[a], across[b]
+                links += np.bincount(a, weights=times[b], minlength=n) + np.bincount(b, weights=times[a], minlength=n)
+                # Only a forest of them is held.
+                roots = local_roots(n, a, b)
+                moved = np.flatnonzero(roots != np.arange(n))
+                left.append(moved)
+                right.append(roots[moved])
+            roots = local_roots(n, np.concatenate(left), np.concatenate(right))
+            told = (links > 0) | (roots != np.arange(n))
+            for kept, values in zip(out, (tids[lo:hi][told], links[told].astype(np.int64), tids[lo:hi][roots[told]]), strict=True):
+                kept.append(values)
+        columns = [pa.array(np.concatenate(v) if v else np.zeros(0, dtype=np.int64), pa.int64()) for v in out]
+        return pa.RecordBatch.from_arrays(columns, names=["tid", "links", "to"])
+
+    return over_runs(members, "cluster", work, "tid bigint, links bigint, to bigint")
 
 
 def near_duplicate_vectors(
@@ -153,29 +208,35 @@ def near_duplicate_vectors(
         F.monotonically_increasing_id().alias("_row"), F.col(key).alias("vec_id"), F.col(label).alias("label"), F.col(vector).alias("_vector")
     )
     rows = written(rows, "vectors")
-    labelled = rows.filter(F.col("label").isNotNull() & F.col("_vector").isNotNull())
-    largest = labelled.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    hashed = written(_hashed(labelled, passes_for(largest, threshold, miss, block)), "vectors-hashed")
-    carried = written(hashed.drop("keys").join(_block_numbers(hashed, block), "_row"), "vectors-blocks")
-    entries = carried.select("_row", "label", "dim", "vector", "blocks", F.posexplode("blocks").alias("pass", "_block"))
-    # A vector is at home in its block's task and a guest in that of the block before.
-    tasks = F.array(F.struct(F.col("_block").alias("task"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("task"), F.lit(False).alias("home")))
-    dealt = entries.select("_row", "label", "dim", "vector", "blocks", "pass", F.inline(tasks))
-    reachable(vectors.sparkSession)
-    # Blocks number all passes in one row, so a task may hold the end of one pass and the start of the next.
-    found = written(
-        dealt.groupBy("pass", "task").applyInPandas(lambda group: _compare(group, threshold), "_row bigint, _links bigint, _to bigint"),
-        "vectors-links",
-    )
-    links = found.groupBy("_row").agg(F.sum("_links").alias("n_links"))
-    joined = components(found.select(F.col("_row").alias("u"), F.col("_to").alias("v")))
-    members = rows.select("_row", "vec_id").join(joined, F.col("_row") == F.col("node")).select("_row", "vec_id", "root")
-    least = members.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    named = members.join(least, "root").select("_row", "component_id")
+    units = written(_units(rows.filter(F.col("label").isNotNull() & F.col("_vector").isNotNull())), "vectors-units")
+    # Equal vectors are one from here on, with a multiplicity.
+    same = ["label", "dim", "vector"]
+    distinct = units.groupBy(*same).agg(F.min("_row").alias("tid"), F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
+    distinct = written(distinct, "vectors-distinct")
+    groups = written(distinct.groupBy("label", "dim").agg(F.min("tid").alias("grp"), F.count(F.lit(1)).alias("_n")), "vectors-groups")
+    named = distinct.join(groups, ["label", "dim"]).select("tid", "grp", "dim", "vector", "copies", "_n")
+    # Up to here, comparing all pairs costs less than the least number of passes.
+    few = 3 * block * LEAST_PASSES
+    clustered = named.filter(F.col("_n") <= few).select("tid", F.col("grp").alias("cluster"), "vector", "copies")
+    if not (large := groups.filter(F.col("_n") > few)).isEmpty():
+        joined = _candidates(named.filter(F.col("_n") > few), large, threshold, miss, block)
+        clustered = clustered.unionByName(distinct.select("tid", "vector", "copies").join(joined, "tid").select("tid", "cluster", "vector", "copies"))
+    clustered = written(clustered, "vectors-clusters")
+    sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    members = tiles(clustered.join(sizes, "cluster"), F.col("_n"), PART).drop("_n")
+    found = written(_exact(members, threshold), "vectors-links")
+    links = found.groupBy("tid").agg(F.sum("links").alias("_links"))
+    roots = components(found.select(F.col("tid").alias("u"), F.col("to").alias("v"))).withColumnRenamed("node", "tid")
+    rooted = distinct.select("tid", "vec_id", "copies").join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    least = rooted.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    about = rooted.join(least, "root").join(links, "tid", "left")
+    about = about.select("tid", "component_id", (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    repeated = units.join(distinct.filter(F.col("copies") > 1).select(*same, "tid"), same).select("_row", "tid")
     return (
         rows.select("_row", "vec_id")
-        .join(links, "_row", "left")
-        .join(named, "_row", "left")
+        .join(repeated, "_row", "left")
+        .withColumn("tid", F.coalesce("tid", "_row"))
+        .join(about, "tid", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -146,15 +146,15 @@ def _band_keys(texts: DataFrame) -> DataFrame:
     return arrow_map(texts.select("tid", "sig"), each, "bucket bigint, tid bigint")
 
 
-def _tiles(members: DataFrame, group: str, size: Column) -> DataFrame:
+def tiles(members: DataFrame, size: Column, part: int | None = None) -> DataFrame:
     """A row for each tile a member belongs to: ``low, high`` number the tile's two parts, ``part`` is its own."""
-    parts = F.ceil(size / F.lit(PART)).cast("int")
+    parts = F.ceil(size / F.lit(part or PART)).cast("int")
     own = members.withColumn("part", F.pmod(F.xxhash64("tid"), parts).cast("int")).withColumn("_all", F.sequence(F.lit(0), parts - 1))
     spread = own.select("*", F.explode("_all").alias("_other")).drop("_all")
     return spread.withColumn("low", F.least("part", "_other")).withColumn("high", F.greatest("part", "_other")).drop("_other")
 
 
-def _over_runs(df: DataFrame, group: str, work: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+def over_runs(df: DataFrame, group: str, work: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
     """``work`` over whole runs of equal (``group``, ``low``, ``high``), many at a time; a tile never is in two calls."""
 
     def number(table: pa.Table) -> np.ndarray:
@@ -214,7 +214,7 @@ def _surviving(members: DataFrame, threshold: float, tolerance: float) -> DataFr
         moved = roots != np.arange(len(names))
         return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[roots[moved]])], names=["u", "v"])
 
-    return _over_runs(members, "bucket", work, "u bigint, v bigint")
+    return over_runs(members, "bucket", work, "u bigint, v bigint")
 
 
 def shared_grams(sets: list[np.ndarray], at_once: int = 4096) -> np.ndarray:
@@ -264,7 +264,7 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
         columns = [pa.array(np.concatenate(x) if x else np.zeros(0, dtype=np.int64), pa.int64()) for x in out]
         return pa.RecordBatch.from_arrays(columns, names=["tid", "texts", "copies", "to"])
 
-    return _over_runs(members, "cluster", work, "tid bigint, texts bigint, copies bigint, to bigint")
+    return over_runs(members, "cluster", work, "tid bigint, texts bigint, copies bigint, to bigint")
 
 
 def _gram_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -345,7 +345,7 @@ def linked_rows(
     )
     entries = written(_band_keys(texts).distinct(), "join-bands")
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    members = _tiles(entries.join(sizes, "bucket"), "bucket", F.col("_n")).drop("_n")
+    members = tiles(entries.join(sizes, "bucket"), F.col("_n")).drop("_n")
     # Documents repeated with their id stand for a text several times.
     repeated = _repeats(texts)
     unique = texts.dropDuplicates(["tid"]) if repeated else texts
@@ -354,7 +354,7 @@ def linked_rows(
     clustered = written(clusters.join(counted, "tid"), "join-clusters")
     cluster_sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
     sets = _gram_sets(rows, clustered, width)
-    heavy = _tiles(clustered.select("tid", "cluster", "copies").join(cluster_sizes, "cluster"), "cluster", F.col("_n")).drop("_n")
+    heavy = tiles(clustered.select("tid", "cluster", "copies").join(cluster_sizes, "cluster"), F.col("_n")).drop("_n")
     single = sets.dropDuplicates(["tid"]) if repeated else sets
     checked = written(_verified(heavy.hint("merge").join(single, "tid"), threshold), "join-links")
     links = checked.groupBy("tid").agg(F.sum("texts").alias("_texts"), F.sum("copies").alias("_copies"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.llm import ngram_join
+from assayer.llm import embedding_dedup, ngram_join
 from assayer.llm.components import components, local_roots
 from assayer.llm.embedding_dedup import near_duplicate_vectors, passes_for
 from assayer.llm.ngram_join import first_of_each, least_matches, near_duplicates, shared_grams, words_of
@@ -86,6 +86,27 @@ def test_vectors_against_brute_force(spark, block):
     assert missing == 0 if block == 512 else missing < 0.5 * 2 * len(edges)
 
 
+def _links_of(x: np.ndarray) -> tuple[list[int], list[int]]:
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    return near.sum(axis=1).tolist(), local_roots(len(x), *np.nonzero(near)).tolist()
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_vectors_of_clusters_wider_than_a_window(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "PART", 64)
+    rng = np.random.default_rng(6)
+    x = np.vstack((rng.normal(size=(500, 16)), rng.normal(size=16) + rng.normal(scale=0.28, size=(300, 16)), np.repeat(rng.normal(size=(1, 16)), 200, axis=0)))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links, roots = _links_of(x)
+    # The cluster and the copies are many windows of 4 wide; some of its vectors have few links.
+    assert min(links[500:800]) < 150 < 250 < max(links[500:800]) and len(set(roots)) > 400
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: r for r in near_duplicate_vectors(table, block=block).collect()}
+    assert [got[i].component_id for i in range(1000)] == roots
+    assert [got[i].n_links for i in range(1000)] == links
+
+
 def test_vectors_of_nothing(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 
