@@ -8,9 +8,11 @@ and links of all passes join clusters. A cluster is then compared whole, in doub
 Labels and clusters of any size are cut into tiles of at most two parts of ``PART`` vectors. No pair is written out: a
 tile gives sums and the edges of a spanning forest.
 
-A pair at the threshold stays together over one bit with probability 1 - acos(threshold) / pi, and meets when the bits
-that tell blocks apart agree. The number of passes follows from that, the size of the largest label, and ``miss``, the
-chance aimed at for such a pair to meet in no pass.
+A pair at the threshold stays together over one bit with a probability that follows from the threshold and the vector's
+distance from the mean of its group, about which hyperplanes are drawn, and meets when the bits that tell blocks apart
+agree. Both are measured for all vectors over a first number of passes. They give the number of passes at which the
+mean chance that such a pair meets in none is at most ``miss``. Where that costs more than comparing all pairs of the
+label, these are compared instead.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.llm.common import arrow_map, reachable, written
@@ -82,20 +84,50 @@ def _units(rows: DataFrame) -> DataFrame:
     return arrow_map(rows, each, f"_row bigint, vec_id {id_type}, label {label_type}, dim int, vector binary")
 
 
-def _hashed(distinct: DataFrame, passes: int) -> DataFrame:
-    """``tid, grp, dim, vector, keys``: the bits of each pass."""
+def _means(large: DataFrame) -> DataFrame:
+    """``grp, mean``: the mean of each group's vectors, over all of them."""
+
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        groups = batch.column(0).to_numpy()
+        names, first, place = np.unique(groups, return_index=True, return_inverse=True)
+        raw, sums = batch.column(1).to_pylist(), []
+        for i in range(len(names)):
+            x = np.frombuffer(b"".join(raw[k] for k in np.flatnonzero(place == i)), dtype=float)
+            sums.append(x.reshape(-1, len(raw[first[i]]) // 8).sum(axis=0).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sums, pa.binary()), pa.array(np.bincount(place))], names=["grp", "total", "n"])
+
+    def mean(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(v, dtype=float) for v in group["total"]], axis=0) / group["n"].sum()
+        return pd.DataFrame({"grp": group["grp"].iloc[:1], "mean": [total.tobytes()]})
+
+    sums = arrow_map(large.select("grp", "vector"), each, "grp bigint, total binary, n bigint")
+    return written(sums.groupBy("grp").applyInPandas(mean, "grp bigint, mean binary"), "vectors-means")
+
+
+def _hashed(large: DataFrame, means: DataFrame, passes: int, threshold: float) -> DataFrame:
+    """``tid, grp, vector, stay, keys``: the bits of each pass, about the group's mean.
+
+    ``stay`` is the least probability that a bit does not part the vector from one at the threshold: about the mean,
+    at a distance r from it, they make an angle of asin(d / r) at most, and any angle if d >= r.
+    """
     weights = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
+    apart = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         dims = batch.column(2).to_numpy()
         for dim in np.unique(dims).tolist():
             some = batch.filter(pa.array(dims == dim))
-            x = np.frombuffer(b"".join(some.column(3).to_pylist()), dtype=float).reshape(-1, dim)
+            x, mean = (np.frombuffer(b"".join(some.column(k).to_pylist()), dtype=float).reshape(-1, dim) for k in (3, 4))
+            x = x - mean
+            r = np.sqrt((x * x).sum(axis=1))
+            stay = np.where(r > apart, 1 - np.arcsin(np.minimum(1, apart / np.maximum(r, 1e-300))) / math.pi, 0.0)
             keys = (x @ planes(dim, passes) > 0).reshape(len(x), passes, BITS) @ weights
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * passes, pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["tid", "grp", "dim", "vector", "keys"])
+            columns = [some.column(0), some.column(1), some.column(3), pa.array(stay), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["tid", "grp", "vector", "stay", "keys"])
 
-    return arrow_map(distinct.select("tid", "grp", "dim", "vector"), each, "tid bigint, grp bigint, dim int, vector binary, keys array<bigint>")
+    centred = large.join(means, "grp").select("tid", "grp", "dim", "vector", "mean")
+    return written(arrow_map(centred, each, "tid bigint, grp bigint, vector binary, stay double, keys array<bigint>"), "vectors-hashed")
 
 
 def _blocks(hashed: DataFrame, block: int) -> DataFrame:
@@ -109,7 +141,44 @@ def _blocks(hashed: DataFrame, block: int) -> DataFrame:
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     place = F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(starts), "_task").select(*order, F.floor(place / block).alias("_block"))
+    return written(placed.join(F.broadcast(starts), "_task").select(*order, F.floor(place / block).alias("_block")), "vectors-blocks")
+
+
+def _passes_needed(hashed: DataFrame, blocks: DataFrame, sizes: DataFrame, miss: float, block: int) -> DataFrame:
+    """``grp, passes``: the passes a group needs, from the bits that part its blocks; null where comparing it whole costs less.
+
+    Vectors that agree with one in more bits than the nearest keys two blocks away do are in its own or a neighbouring
+    block. These bits are taken from all vectors in all passes of ``blocks``.
+    """
+    ends = written(blocks.groupBy("pass", "grp", "_block").agg(F.min("key").alias("least"), F.max("key").alias("most")), "vectors-ends")
+    at = ["pass", "grp", "_block"]
+    seen = blocks.join(ends.select("pass", "grp", (F.col("_block") + 2).alias("_block"), F.col("most").alias("before")), at, "left")
+    seen = seen.join(ends.select("pass", "grp", (F.col("_block") - 2).alias("_block"), F.col("least").alias("after")), at, "left")
+
+    def beyond(other: str) -> Column:
+        differ = F.col("key").bitwiseXOR(F.col(other))
+        agree = F.when(differ == 0, F.lit(BITS)).otherwise(F.lit(BITS) - F.length(F.bin(differ)))
+        return F.coalesce(agree + 1, F.lit(0))
+
+    bits = seen.select("tid", F.greatest(beyond("before"), beyond("after")).alias("bits")).join(hashed.select("tid", "grp", "stay"), "tid")
+    chance = F.when(F.col("bits") > BITS, F.lit(0.0)).otherwise(F.pow("stay", F.col("bits")))
+    meet = bits.groupBy("tid", "grp").agg(F.avg(chance).alias("meet"))
+    # Chances are rounded down to a quarter of a power of two.
+    coarse = F.when(F.col("meet") > 1e-12, F.ceil(F.log2("meet") * -4)).otherwise(F.lit(200)).cast("int")
+    counts = meet.groupBy("grp", coarse.alias("coarse")).agg(F.count(F.lit(1)).alias("n")).join(sizes.select("grp", "_n"), "grp")
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        chances = np.where(group["coarse"] >= 200, 0.0, 2.0 ** (group["coarse"] / -4))
+        share = (group["n"] / group["n"].sum()).to_numpy()
+        lost = lambda passes: (share * (1 - chances) ** passes).sum() > miss
+        low, high = 0, int(group["_n"].iloc[0] // (3 * block))
+        if lost(high):
+            return pd.DataFrame({"grp": group["grp"].iloc[:1], "passes": pd.array([None], dtype="Int64")})
+        while high - low > 1:
+            low, high = ((low + high) // 2, high) if lost((low + high) // 2) else (low, (low + high) // 2)
+        return pd.DataFrame({"grp": group["grp"].iloc[:1], "passes": pd.array([max(LEAST_PASSES, high)], dtype="Int64")})
+
+    return written(counts.groupBy("grp").applyInPandas(solve, "grp bigint, passes bigint"), "vectors-passes")
 
 
 def _forest(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -131,17 +200,30 @@ def _forest(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 
 def _candidates(large: DataFrame, sizes: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
-    """``tid, cluster``: vectors of large groups (``tid, grp, dim, vector``) joined by the links of all passes."""
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    hashed = written(_hashed(large, passes_for(largest, threshold, miss, block)), "vectors-hashed")
-    entries = _blocks(hashed, block).select("tid", "pass", "_block").join(hashed.select("tid", "grp", "vector"), "tid")
+    """``tid, cluster``: vectors of large groups (``tid, grp, dim, vector``) joined by the links of all passes.
+
+    A group that needs more passes than comparing all its pairs would cost is one cluster.
+    """
+    first = passes_for(sizes.agg(F.max("_n")).first()[0], threshold, miss, block)
+    means = _means(large)
+    hashed = _hashed(large, means, first, threshold)
+    blocks = _blocks(hashed, block)
+    needed = _passes_needed(hashed, blocks, sizes, miss, block)
+    whole = large.join(needed.filter(F.col("passes").isNull()).select("grp"), "grp").select("tid", F.col("grp").alias("cluster"))
+    most = needed.agg(F.max("passes")).first()[0]
+    if most is None:
+        return whole
+    if most > first:
+        hashed = _hashed(large.join(needed.filter(F.col("passes").isNotNull()).select("grp"), "grp"), means, most, threshold)
+        blocks = _blocks(hashed, block)
+    entries = blocks.join(needed, "grp").filter(F.col("pass") < F.col("passes")).select("tid", "pass", "_block").join(hashed.select("tid", "grp", "vector"), "tid")
     # A vector is at home in its block's task and a guest in that of the block before.
     tasks = F.array(F.struct(F.col("_block").alias("task"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("task"), F.lit(False).alias("home")))
     dealt = entries.select("tid", "grp", "vector", "pass", F.inline(tasks))
     reachable(large.sparkSession)
     # Blocks number all passes in one row, so a task may hold the end of one pass and the start of the next.
     found = written(dealt.groupBy("pass", "task").applyInPandas(lambda group: _forest(group, threshold), "u bigint, v bigint"), "vectors-forest")
-    return components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
+    return whole.unionByName(components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster")))
 
 
 def _exact(members: DataFrame, threshold: float) -> DataFrame:

@@ -107,6 +107,25 @@ def test_vectors_of_clusters_wider_than_a_window(spark, monkeypatch, block):
     assert [got[i].n_links for i in range(1000)] == links
 
 
+def test_vectors_that_share_a_direction(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    # Unrelated vectors, which passes serve, and such with a common direction, which need many more bits.
+    for label, shift, noise in ((1, 0.0, 0.34), (2, 2.2, 0.82)):
+        x = rng.normal(size=(900, 32)) + shift
+        x = np.vstack((x, x + rng.normal(scale=noise, size=x.shape)))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        links, roots = _links_of(x)
+        assert sum(links) > 1000
+        for i, v in enumerate(x):
+            rows.append((2000 * label + i, v.tolist(), label))
+            want[2000 * label + i] = (links[i], 2000 * label + roots[i])
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(table, block=16).collect()}
+    lost = Counter(k // 2000 for k in want if got[k] != want[k])
+    assert lost[1] <= 2 and lost[2] == 0
+
+
 def test_vectors_of_nothing(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 
