@@ -2,7 +2,8 @@
 
 Lines are normalised (lower case, white space collapsed, digits set to 0) and hashed. For each host the distinct
 documents holding a line are counted; exact copies of a text count once there, as they are the business of
-deduplication. Lines above the host's limit are removed, and documents that lose too much with them are rejected.
+deduplication. Lines above the host's limit are removed: ``without_frequent_lines`` gives the texts that are left. Documents
+that lose too much with them are rejected.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import WORD, let, text_or_empty, words_of
+from assayer.llm.common import WORD, let, text_or_empty, words_of, written
 
 #: The symbols counted by ``n_symbols`` (fixed value).
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -76,14 +77,11 @@ def normalised(line: Column) -> Column:
     return F.regexp_replace(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")), "[0-9]", "0")
 
 
-def distinct_lines(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    """``_id, _host, _text, line, words``: each normalised line of a document once, with the words of all its places."""
-    content = text_or_empty(text)
-    lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(WORD))
-    entries = F.transform(lines, lambda line: F.struct(F.xxhash64(normalised(line)).alias("line"), F.size(words_of(line)).alias("words")))
-    return docs.select(
-        F.col(key).alias("_id"), F.col(host).cast("string").alias("_host"), F.xxhash64(content).alias("_text"), F.inline(entries)
-    )
+def numbered_lines(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
+    """``_id, _host, _text, line, at``: each line of a document that has a word, by hash, with its place in the text."""
+    entries = F.transform(F.split(text_or_empty(text), "\n", -1), lambda line, i: F.struct(F.when(line.rlike(WORD), F.xxhash64(normalised(line))).alias("line"), i.alias("at")))
+    with_word = F.filter(entries, lambda entry: entry["line"].isNotNull())
+    return docs.select(F.col(key).alias("_id"), F.col(host).cast("string").alias("_host"), F.xxhash64(text_or_empty(text)).alias("_text"), F.inline(with_word))
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, most_share: float, least_docs: int) -> DataFrame:
@@ -96,6 +94,48 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, most_share: float, least_
     return counts.join(hosts.withColumnRenamed("_host", "_of"), same).filter(F.col("_texts") > limit).select("_host", "line")
 
 
+def without_frequent_lines(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    most_share: float = 0.1,
+    least_docs: int = 10,
+    into: str = "text_left",
+) -> DataFrame:
+    """The rows of ``docs`` with ``into``, the text without its host's frequent lines.
+
+    The other lines stay as they are and in their order. A text without frequent lines is left alone, a null one too.
+    A column named like ``into`` is replaced.
+    """
+    content = text_or_empty(text)
+    lines = numbered_lines(docs, key, text, host)
+    hosts = (
+        docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(content).alias("_text"))
+        .distinct()
+        .groupBy("_host")
+        .agg(F.count(F.lit(1)).alias("_host_texts"))
+    )
+    frequent = frequent_lines(lines, hosts, most_share, least_docs).select(F.col("_host").alias("_of"), F.col("line").alias("_hash"))
+    hit = (F.col("line") == F.col("_hash")) & F.col("_host").eqNullSafe(F.col("_of"))
+    # Rows repeated with key, text and host have the same places.
+    gone = lines.join(frequent, hit).groupBy("_id", "_text", "_host").agg(F.collect_set("at").alias("_gone"))
+    # Its size is known when it is written: where it is small, no text has to be shuffled.
+    gone = written(gone, "quality-gone")
+    # Rows travel as one struct, so that their column names clash with nothing.
+    rows = docs.drop(into).select(
+        F.struct("*").alias("row"), F.col(key).alias("_rid"), F.col(text).cast("string").alias("_content"), F.xxhash64(content).alias("_rtext"), F.col(host).cast("string").alias("_rhost")
+    )
+    same = F.col("_rid").eqNullSafe(F.col("_id")) & (F.col("_rtext") == F.col("_text")) & F.col("_rhost").eqNullSafe(F.col("_host"))
+
+    def rest(array: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(array) - 1), F.col("_gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(array, i)), "\n")
+
+    left = F.when(F.col("_gone").isNull(), F.col("_content")).otherwise(let(F.split("_content", "\n", -1), rest))
+    return rows.join(gone, same, "left").select("row.*", left.alias(into))
+
+
 def judge_quality(
     docs: DataFrame,
     key: str = "doc_id",
@@ -117,31 +157,13 @@ def judge_quality(
     A null text has no words. Null hosts are one host. Repeated rows are judged alike and counted as one text. Columns
     other than the three named are ignored. An empty table gives an empty result.
     """
-    content = text_or_empty(text)
-    lines = distinct_lines(docs, key, text, host)
-    hosts = (
-        docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(content).alias("_text"))
-        .distinct()
-        .groupBy("_host")
-        .agg(F.count(F.lit(1)).alias("_host_texts"))
-    )
-    frequent = frequent_lines(lines, hosts, most_share, least_docs).select(F.col("_host").alias("_of"), F.col("line").alias("_hash"))
-    hit = (F.col("line") == F.col("_hash")) & F.col("_host").eqNullSafe(F.col("_of"))
-    removed = lines.join(frequent, hit).groupBy(F.col("_id").alias("_rid"), F.col("_text").alias("_rtext")).agg(F.sum("words").alias("_removed"))
-    counted = text_statistics(docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_content")), "_content")
-    counted = counted.withColumn("_text", F.xxhash64(F.coalesce(F.col("_content"), F.lit("")))).drop("_content")
-    # Rows repeated with key and text have removed that many times as much together.
-    same = F.col("_text").eqNullSafe(F.col("_rtext")) & F.col("doc_id").eqNullSafe(F.col("_rid"))
-    repeats = docs.groupBy(F.col(key).alias("_rid"), F.xxhash64(content).alias("_rtext")).agg(F.count(F.lit(1)).alias("_rows"))
-    per_row = removed.join(repeats.filter(F.col("_rows") > 1).withColumnsRenamed({"_rid": "_did", "_rtext": "_dtext"}),
-                           F.col("_rid").eqNullSafe(F.col("_did")) & (F.col("_rtext") == F.col("_dtext")), "left").select(
-        "_rid", "_rtext", (F.col("_removed") / F.coalesce(F.col("_rows"), F.lit(1))).cast("bigint").alias("_removed")
-    )
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_content"), F.col(host).cast("string").alias("_source"))
+    counted = without_frequent_lines(text_statistics(rows, "_content"), "doc_id", "_content", "_source", most_share, least_docs, into="_left")
+    removed = F.when(F.col("_left") == F.col("_content"), F.lit(0)).otherwise(F.col("n_words") - F.size(words_of(text_or_empty("_left"))))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > F.col("n_words") * F.lit(most_repeated))
     left = F.col("n_words") - F.col("n_removed_words")
     return (
-        counted.join(per_row, same, "left")
-        .withColumn("n_removed_words", F.coalesce(F.col("_removed"), F.lit(0)).cast("bigint"))
+        counted.withColumn("n_removed_words", removed.cast("bigint"))
         .withColumn("base_failed", failed)
         .select(
             "doc_id",

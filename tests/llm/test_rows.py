@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from assayer.llm.crf import Labeller, expected_moves, fit, forward_backward, words_of
 from assayer.llm.language import identify, languages
 from assayer.llm.mixing import mix, taken_copies
-from assayer.llm.quality_rules import judge_quality
+from assayer.llm.quality_rules import judge_quality, without_frequent_lines
 from assayer.llm.secrets import RULES, find_secrets, read_ledger, redacted, scan_unseen, secret_digest
 from assayer.llm.sharding import MULTIPLIER, assign_shards, jump_shard
 
@@ -113,6 +113,20 @@ def test_quality_rules_against_plain_python(spark, odd_rows, no_docs):
     assert judge_quality(no_docs).count() == 0
 
 
+def test_texts_without_frequent_lines(spark, odd_docs, odd_rows, no_docs):
+    rows = [(i, f"own {i}\n\n Page  {i % 10}\nend {i}\npage 7\n", "en", "a", 1) for i in range(12)]
+    rows += [(3, rows[3][1], "en", "a", 1), (3, rows[3][1], "en", "b", 1), (50, "page 1", "en", "a", 1), (None, "x\nPAGE 3\ny", "en", "a", 1), (51, None, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    got = without_frequent_lines(docs).collect()
+    want = [(i, f"own {i}\n\nend {i}\n", "a") for i in [*range(12), 3]] + [(3, rows[3][1], "b"), (50, "", "a"), (None, "x\ny", "a"), (51, None, "a")]
+    assert Counter((r.doc_id, r.text_left, r.source) for r in got) == Counter(want)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
+    left = without_frequent_lines(odd_docs)
+    assert left.columns == [*odd_docs.columns, "text_left"] and left.count() == len(odd_rows)
+    assert without_frequent_lines(no_docs).count() == 0
+
+
+
 # Secrets
 
 
