@@ -12,12 +12,15 @@ from assayer.llm.bpe import count_tokens
 from assayer.llm.common import table
 from assayer.llm.embedding_dedup import near_duplicate_vectors
 from assayer.llm.language import languages
+from assayer.llm.merkle import manifest
 from assayer.llm.mixing import mix
 from assayer.llm.ngram_join import near_duplicates
 from assayer.llm.packing import pack
+from assayer.llm.prefix_trie import prefix_trie
 from assayer.llm.quality_rules import judge_quality
 from assayer.llm.secrets import secret_digest
 from assayer.llm.sharding import assign_shards
+from assayer.llm.substring_dedup import passage_digest
 from assayer.llm.token_files import read_documents, write_token_shards
 from assayer.plans.scratch import scratch_dir
 
@@ -26,6 +29,9 @@ TWINS: dict[str, str] = {
     "op3_quality_rules": twins.QUALITY_RULES,
     "op5_embedding_dedup": twins.EMBEDDING_DEDUP,
     "op10_ngram_join": twins.NGRAM_JOIN,
+    "op11_prefix_trie": twins.PREFIX_TRIE,
+    "op12_substring_dedup": twins.SUBSTRING_DEDUP,
+    "op13_merkle_manifest": twins.MERKLE_MANIFEST,
 }
 
 
@@ -84,3 +90,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, width=5)
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digest(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
