@@ -6,9 +6,9 @@ Layout below the mart root::
     versions/<n>                                        an empty file: version n is taken
     run_log                                             append-only events
 
-The run log is the manifest. Every ``succeeded`` event holds its run's window and version; a date belongs to the newest
-version whose window covers it. A publish therefore writes the rows of its own window and nothing else. Its event is a
-single one-row file, so its appearance is the commit: until then readers see the former version of both tables, from
+The run log is the manifest. Every ``succeeded`` event holds its run's windows and version; a date belongs to the newest
+version one of whose windows covers it. A publish therefore writes the rows of its own windows and nothing else. Its event
+is a single one-row file, so its appearance is the commit: until then readers see the former version of both tables, from
 then on the new one of both. Of two publishers that started from the same version only one can take the next one.
 """
 
@@ -40,6 +40,7 @@ from assayer.operators.quality import (
     MartReport,
     assert_constraints,
     assert_non_empty,
+    assert_reconciled,
     assert_unique_mart_keys,
     assert_window_complete,
     mart_report,
@@ -54,6 +55,24 @@ _GOLD = {DAILY_MART.name: DAILY_SCHEMA, HOURLY_MART.name: HOURLY_SCHEMA}
 
 Window = tuple[date, date]
 
+#: The run log's columns and, where a run replaced several windows, all of them.
+EVENT_SCHEMA = T.StructType(
+    [*RUN_LOG_SCHEMA.fields, T.StructField("windows", T.ArrayType(T.StructType([T.StructField(c, T.DateType()) for c in ("date_from", "date_to")])))]
+)
+
+
+def merged_windows(windows: Sequence[Window]) -> tuple[Window, ...]:
+    """The same dates as few windows by date, none touching another."""
+    day, merged = timedelta(days=1), []
+    for first, last in sorted(windows):
+        if first > last:
+            raise ValueError(f"a window ends before it starts: {first}..{last}")
+        if merged and first <= merged[-1][1] + day:
+            merged[-1] = (merged[-1][0], max(last, merged[-1][1]))
+        else:
+            merged.append((first, last))
+    return tuple(merged)
+
 
 @dataclass(frozen=True)
 class PublishSummary:
@@ -63,10 +82,15 @@ class PublishSummary:
     daily_zone_row_count: int
     hourly_demand_row_count: int
     mart_version: int
+    #: What the run replaced; from ``date_from`` to ``date_to`` with gaps that it left alone.
+    windows: tuple[Window, ...] = ()
 
     def metrics(self) -> dict:
         tables = {"daily_table": DAILY_MART.name, "hourly_table": HOURLY_MART.name, "log_table": "run_log"}
-        return {**asdict(self), **tables}
+        told = {name: value for name, value in asdict(self).items() if name != "windows"}
+        if len(self.windows) > 1:
+            told["windows"] = ",".join(f"{first}..{last}" for first, last in self.windows)
+        return {**told, **tables}
 
 
 def _run_dir(run_id: str) -> str:
@@ -92,13 +116,16 @@ def run_events(spark: SparkSession, root: str) -> DataFrame:
     """All events of the run log; empty before the first run."""
     log = f"{root}/run_log"
     if not path_exists(spark, log):
-        return spark.createDataFrame([], RUN_LOG_SCHEMA)
-    return scan_dataset(spark, log, RUN_LOG_SCHEMA)
+        return spark.createDataFrame([], EVENT_SCHEMA)
+    return scan_dataset(spark, log, EVENT_SCHEMA)
 
 
 def log_event(spark: SparkSession, root: str, **values) -> None:
     """Append one event as one file."""
-    event = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA]
+    windows = values.pop("windows", ())
+    pairs = [F.struct(F.lit(first).alias("date_from"), F.lit(last).alias("date_to")) for first, last in windows]
+    values["windows"] = F.array(*pairs) if pairs else None
+    event = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA]
     spark.range(0, 1, 1, numPartitions=1).select(*event).write.mode("append").parquet(f"{root}/run_log")
 
 
@@ -131,6 +158,7 @@ def log_succeeded(spark: SparkSession, root: str, *, summary: PublishSummary, st
         daily_zone_row_count=summary.daily_zone_row_count,
         hourly_demand_row_count=summary.hourly_demand_row_count,
         mart_version=summary.mart_version,
+        windows=summary.windows,
     )
 
 
@@ -174,18 +202,26 @@ def overlaid(windows: Sequence[Segment]) -> list[Segment]:
     return sorted(left, key=lambda s: s.date_from)
 
 
-def published_windows(spark: SparkSession, root: str) -> list[Segment]:
-    """The windows of all successful publishes, oldest first: one small row for each."""
+def published_windows(spark: SparkSession, root: str) -> list[list[Segment]]:
+    """The windows of each successful publish, oldest first: one small row of the log for each."""
     done = run_events(spark, root).filter("status = 'succeeded'").orderBy("mart_version")
-    return [Segment(r["run_id"], r["date_from"], r["date_to"]) for r in done.select("run_id", "date_from", "date_to").collect()]
+    found = []
+    for r in done.select("run_id", "date_from", "date_to", "windows").collect():
+        windows = [(w["date_from"], w["date_to"]) for w in r["windows"] or ()] or [(r["date_from"], r["date_to"])]
+        found.append([Segment(r["run_id"], *window) for window in windows])
+    return found
+
+
+def _segments(published: Sequence[Sequence[Segment]]) -> list[Segment]:
+    return overlaid([segment for windows in published for segment in windows])
 
 
 def read_mart(spark: SparkSession, root: str, table: MartTable, *, version: int | None = None) -> DataFrame:
     """The current version of a mart, or an earlier one that is still there."""
-    windows = published_windows(spark, root)
-    if not windows or version is not None and not 1 <= version <= len(windows):
+    published = published_windows(spark, root)
+    if not published or version is not None and not 1 <= version <= len(published):
         raise FileNotFoundError(f"nothing has been published to {root}")
-    segments = overlaid(windows[:version])
+    segments = _segments(published[:version])
     paths = sorted({run_path(root, table, s.run_id) for s in segments})
     reader = spark.read.schema(mart_schema(table)).option("basePath", f"{root}/mart/{table.name}")
     # Conditions on the directory columns, so that Spark reads no other files.
@@ -200,8 +236,8 @@ def vacuum(spark: SparkSession, root: str, *, keep: int = 1) -> list[str]:
     """Delete the rows of closed runs that none of the newest ``keep`` versions reads; returns the run ids."""
     if keep < 1:
         raise ValueError("at least the current version has to be kept")
-    windows = published_windows(spark, root)
-    used = {s.run_id for n in range(max(1, len(windows) - keep + 1), len(windows) + 1) for s in overlaid(windows[:n])}
+    published = published_windows(spark, root)
+    used = {s.run_id for n in range(max(1, len(published) - keep + 1), len(published) + 1) for s in _segments(published[:n])}
     closed = [r["run_id"] for r in latest_runs(run_events(spark, root)).filter("status <> 'running'").select("run_id").collect()]
     return sorted(run for run in closed if run not in used and any([remove(spark, run_path(root, table, run)) for table in MARTS]))
 
@@ -221,21 +257,44 @@ def _claim_path(root: str, version: int) -> str:
 # ---- staging and replacement ------------------------------------------------------------------------------
 
 
-def stage_mart(gold: DataFrame, table: MartTable, *, root: str, run_id: str, published_at: datetime) -> int:
-    """Write the mart rows of one run, by date, from all executors; returns the row count. Readers do not see them yet.
+@dataclass(frozen=True)
+class Staged:
+    """What was observed while a mart's rows were staged."""
 
-    Amounts are held to the mart's money type. Those that do not fit are counted while writing and fail the run.
+    rows: int
+    trips: int
+    #: Rows whose date no window of the publish covers.
+    outside: int
+
+
+def stage_counted(
+    gold: DataFrame, table: MartTable, *, root: str, run_id: str, published_at: datetime, windows: Sequence[Window] = ()
+) -> Staged:
+    """Write the mart rows of one run, by date, from all executors. Readers do not see them yet.
+
+    Rows, trips and rows outside of ``windows`` are counted in the write itself. Amounts are held to the mart's money
+    type; those that do not fit are counted there too and fail the run.
     """
     rows = stamp_publish(project_for_mart(gold, table), run_id=run_id, published_at=published_at)
+    covered = [F.col("pickup_date").between(F.lit(first), F.lit(last)) for first, last in windows]
+    counted = {
+        "trips": F.coalesce(F.sum("trip_count"), F.lit(0)),
+        "outside": F.count_if(~reduce(or_, covered)) if covered else F.count_if(F.lit(False)),
+    }
     seen = overwrite(
         gathered(rows, ["pickup_date"]),
         run_path(root, table, run_id),
         partition_by=["pickup_date"],
-        measures=overflow_counts(table),
+        measures={**overflow_counts(table), **counted},
         convert={c: F.col(c).try_cast(table.money_type) for c in table.money},
     )
     assert_constraints(table.name, {name: seen[name] for name in overflow_counts(table)})
-    return seen["rows"]
+    return Staged(seen["rows"], seen["trips"], seen["outside"])
+
+
+def stage_mart(gold: DataFrame, table: MartTable, *, root: str, run_id: str, published_at: datetime) -> int:
+    """:func:`stage_counted` for the row count alone."""
+    return stage_counted(gold, table, root=root, run_id=run_id, published_at=published_at).rows
 
 
 def staged_rows(spark: SparkSession, table: MartTable, *, root: str, run_id: str) -> DataFrame:
@@ -270,24 +329,39 @@ def replace_window(current: DataFrame, staged: DataFrame, date_from: date, date_
     return kept.unionByName(staged)
 
 
-def _checked_window(reports: Sequence[MartReport], wanted: Window | None) -> Window:
-    if wanted is None:
-        return assert_window_complete(*reports)
-    dates = [d for report in reports for d in (report.date_from, report.date_to) if d is not None]
-    if dates and not wanted[0] <= min(dates) <= max(dates) <= wanted[1]:
-        raise ValueError(f"staged dates {min(dates)}..{max(dates)} leave the window {wanted[0]}..{wanted[1]}")
-    return wanted
+def _checked_windows(reports: Sequence[MartReport], staged: dict[str, Staged], wanted: Sequence[Window]) -> tuple[Window, ...]:
+    if not wanted:
+        return (assert_window_complete(*reports),)
+    outside = {name: seen.outside for name, seen in staged.items() if seen.outside}
+    if outside:
+        told = ", ".join(f"{first}..{last}" for first, last in wanted)
+        raise ValueError(f"staged rows leave the window {told}: {outside}")
+    return merged_windows(wanted)
 
 
 def publish_marts(
-    spark: SparkSession, daily: DataFrame, hourly: DataFrame, *, root: str, run_id: str, window: Window | None = None
+    spark: SparkSession,
+    daily: DataFrame,
+    hourly: DataFrame,
+    *,
+    root: str,
+    run_id: str,
+    window: Window | None = None,
+    windows: Sequence[Window] | None = None,
+    trips: int | None = None,
 ) -> PublishSummary:
     """Publish both marts, or neither.
 
-    Without ``window`` every date from the first to the last staged one is replaced, so a single stray date
-    widens the range. Pass ``window`` to fix the range; staged dates outside of it then fail the publish, and a window
-    both tables have no rows for is emptied. On an error the run is logged as failed and the error is raised again.
+    Without ``window`` and ``windows`` every date from the first to the last staged one is replaced, so a single stray
+    date widens the range. Pass one or several to fix what is replaced, all in one version: staged dates outside of them
+    then fail the publish, dates between them are left alone, and a window both tables have no rows for is emptied.
+
+    With ``trips`` the trips of each staged table, counted while it is written, have to add up to as many. On an error
+    the run is logged as failed and the error is raised again.
     """
+    if window is not None and windows is not None:
+        raise ValueError("give a window or windows")
+    wanted = merged_windows([window] if window is not None else windows or ())
     gold = {DAILY_MART: daily, HOURLY_MART: hourly}
     for table, df in gold.items():
         require_columns(df, table.columns, table.name)
@@ -298,24 +372,28 @@ def publish_marts(
     taken = None
     try:
         base = current_version(spark, root)
-        counts = {
-            table.name: stage_mart(df, table, root=root, run_id=run_id, published_at=started_at)
+        staged = {
+            table.name: stage_counted(df, table, root=root, run_id=run_id, published_at=started_at, windows=wanted)
             for table, df in gold.items()
         }
-        if window is None or any(counts.values()):
+        counts = {name: seen.rows for name, seen in staged.items()}
+        if not wanted or any(counts.values()):
             assert_non_empty(counts)
         reports = [mart_report(staged_rows(spark, table, root=root, run_id=run_id), table) for table in gold]
         assert_unique_mart_keys(*reports)
         for report in reports:
             assert_constraints(report.table, report.violations)
-        date_from, date_to = _checked_window(reports, window)
+        replaced = _checked_windows(reports, staged, wanted)
+        if trips is not None:
+            assert_reconciled(trips, {name: seen.trips for name, seen in staged.items()})
         summary = PublishSummary(
             run_id=run_id,
-            date_from=date_from,
-            date_to=date_to,
+            date_from=replaced[0][0],
+            date_to=replaced[-1][1],
             daily_zone_row_count=counts[DAILY_MART.name],
             hourly_demand_row_count=counts[HOURLY_MART.name],
             mart_version=1 + (base[0] if base else 0),
+            windows=replaced,
         )
         path = _claim_path(root, summary.mart_version)
         if not claim(spark, path):
@@ -324,7 +402,10 @@ def publish_marts(
         log_succeeded(spark, root, summary=summary, started_at=started_at)
         return summary
     except Exception as error:
-        if taken is not None and run_id not in {w.run_id for w in published_windows(spark, root)}:
+        if taken is not None and any(s.run_id == run_id for windows in published_windows(spark, root) for s in windows):
+            # Its event is there, so the run is published, whatever went wrong after that. A second closing event would contradict it.
+            raise
+        if taken is not None:
             remove(spark, taken)
         log_failed(spark, root, run_id=run_id, started_at=started_at, error=error)
         raise

@@ -153,9 +153,14 @@ def assert_constraints(table: str, violations: Mapping[str, int]) -> None:
         raise ValueError(f"{table} breaks {broken}")
 
 
-def reconcile(valid_trip_count: int, **marts: DataFrame) -> None:
-    """Raise unless each mart's trips add up to the number of valid trips."""
-    for name, mart in marts.items():
-        total = mart.agg(F.coalesce(F.sum("trip_count"), F.lit(0))).first()[0]
+def assert_reconciled(valid_trip_count: int, totals: Mapping[str, int]) -> None:
+    """Raise unless the trips of each table add up to the number of valid trips."""
+    for name, total in totals.items():
         if total != valid_trip_count:
             raise ValueError(f"{name} covers {total} trips, expected {valid_trip_count}")
+
+
+def reconcile(valid_trip_count: int, **marts: DataFrame) -> None:
+    """The same for frames, whose trips are summed up here."""
+    for name, mart in marts.items():
+        assert_reconciled(valid_trip_count, {name: mart.agg(F.coalesce(F.sum("trip_count"), F.lit(0))).first()[0]})

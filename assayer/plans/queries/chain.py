@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from assayer.contracts import DAILY_MART, DAILY_SCHEMA, HOURLY_MART, HOURLY_SCHEMA, MONTH_PARTITIONS, SOURCE_PATH, SOURCE_UNIT, TRIP_COLUMNS, ZONE_COLUMNS
 from assayer.operators.publish import read_mart
 from assayer.operators.sinks import overwrite, overwrite_gold_pair, overwrite_silver, overwrite_silver_pair
-from assayer.plans import stages
+from assayer.operators.snapshots import Change, Part, SnapshotStore
+from assayer.plans import lake, stages
 from assayer.plans.queries.registry import Tables, comparable, query, reasons_as_text
 from assayer.plans.scratch import scratch_dir
 from assayer.sources import SourceSpec, scan_dataset
@@ -105,6 +106,33 @@ def _(t: Tables) -> DataFrame:
     return comparable(parts[0].unionByName(parts[1], allowMissingColumns=True))
 
 
+@query("sink_snapshot_after_failure", "SELECT 'zone' AS grain, * FROM daily UNION ALL BY NAME SELECT 'hour' AS grain, * FROM hourly")
+def _(t: Tables) -> DataFrame:
+    """A write that dies half way and one whose commit never comes leave both tables as they were."""
+    store = SnapshotStore(t.spark, scratch_dir(t.spark, "store"))
+
+    def part(dataset: str, rows: DataFrame) -> Part:
+        path = store.fresh(dataset, "all")
+        return Part(path, overwrite(rows, store.full(path), partition_by=MONTH_PARTITIONS)["rows"])
+
+    tables = {"daily": (t.daily, DAILY_SCHEMA), "hourly": (t.hourly, HOURLY_SCHEMA)}
+    first = store.commit(store.current(), Change({(name, "all"): part(name, rows) for name, (rows, _) in tables.items()}))
+    part("daily", t.daily.withColumn("trip_count", -F.col("trip_count")))
+    dying = F.when(F.col("pickup_hour") == 23, F.raise_error(F.lit("died while writing"))).otherwise(F.col("trip_count"))
+    try:
+        part("hourly", t.hourly.withColumn("trip_count", dying.cast("bigint")))
+    except Exception as error:
+        if "died while writing" not in str(error):
+            raise
+    else:
+        raise AssertionError("the write went through")
+    now = store.current()
+    if now != first:
+        raise AssertionError("a failed write changed the snapshot")
+    read = [store.read(now, name, schema).withColumn("grain", F.lit(grain)) for (name, (_, schema)), grain in zip(tables.items(), ("zone", "hour"), strict=True)]
+    return comparable(read[0].unionByName(read[1], allowMissingColumns=True))
+
+
 # ---- stages ----
 
 
@@ -220,6 +248,32 @@ def _(t: Tables) -> DataFrame:
     return comparable(mart.drop("published_at", "source_batch_count", "latest_source_ingested_at"))
 
 
+@query("run_gold_incremental", _BATCHLESS.format("source_batch_count, latest_source_ingested_at", "daily"))
+def _(t: Tables) -> DataFrame:
+    """Gold merged from the stored rollups of both units; a reload computes that of its unit only."""
+    store, zones = lake.store_at(t.spark, scratch_dir(t.spark, "incremental")), _zone_spec(t)
+    for number, spec in enumerate(_unit_loads(t)):
+        lake.load(store, trips=spec, zones=zones, batch_id=f"run-{number}", ingested_at=_ARRIVAL)
+        lake.refresh_gold(store)
+    return comparable(lake.read_gold_tables(store)[0].drop("source_batch_count", "latest_source_ingested_at"))
+
+
+@query(
+    "run_all_after_failure",
+    "SELECT * EXCLUDE (pickup_year, pickup_month, source_batch_count, latest_source_ingested_at), 'run-3' AS publish_run_id FROM daily",
+)
+def _(t: Tables) -> DataFrame:
+    """The corrected load dies before gold, so that its unit holds nothing of February any more; the retry has to empty it."""
+    root, zones = scratch_dir(t.spark, "all"), _zone_spec(t)
+    even, spoilt, odd = _unit_loads(t)
+    for number, spec in enumerate((even, spoilt)):
+        stages.run_all(t.spark, trips=spec, zones=zones, root=root, run_id=f"run-{number}", ingested_at=_ARRIVAL, replace="unit")
+    lake.load(lake.store_at(t.spark, root), trips=odd, zones=zones, batch_id="run-2", ingested_at=_ARRIVAL)
+    stages.run_all(t.spark, trips=odd, zones=zones, root=root, run_id="run-3", ingested_at=_ARRIVAL, replace="unit")
+    mart = read_mart(t.spark, f"{root}/marts", DAILY_MART)
+    return comparable(mart.drop("published_at", "source_batch_count", "latest_source_ingested_at"))
+
+
 def _run_all(t: Tables) -> tuple[str, stages.RunSummary]:
     root = scratch_dir(t.spark, "all")
     run = stages.run_all(

@@ -216,3 +216,44 @@ def _(t: Tables) -> DataFrame:
     window = (date(2024, 1, 10), date(2024, 1, 12))
     publish_marts(t.spark, t.daily.limit(0), t.hourly.limit(0), root=root, run_id="run-2", window=window)
     return read_mart(t.spark, root, DAILY_MART).select("pickup_date", "trip_count")
+
+
+_TWO_WINDOWS = ((date(2024, 1, 5), date(2024, 1, 7)), (date(2024, 1, 20), date(2024, 1, 22)))
+_IN_WINDOWS = "(pickup_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-07' OR pickup_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-22')"
+
+
+@query(
+    "publish_two_windows",
+    f"SELECT pickup_date, pickup_hour, trip_count, 'run-1' AS publish_run_id FROM hourly WHERE NOT {_IN_WINDOWS}"
+    f" UNION ALL SELECT pickup_date, pickup_hour, 2 * trip_count, 'run-2' FROM hourly WHERE {_IN_WINDOWS} AND pickup_date <> DATE '2024-01-06'",
+)
+def _(t: Tables) -> DataFrame:
+    """One publish replaces two windows and leaves the days between them; a day of a window without rows is emptied."""
+    root = scratch_dir(t.spark, "marts")
+    publish_marts(t.spark, t.daily, t.hourly, root=root, run_id="run-1")
+    staged = [df.filter(f"{_IN_WINDOWS} AND pickup_date <> DATE '2024-01-06'").withColumn("trip_count", F.col("trip_count") * 2) for df in (t.daily, t.hourly)]
+    publish_marts(t.spark, *staged, root=root, run_id="run-2", windows=_TWO_WINDOWS)
+    return read_mart(t.spark, root, HOURLY_MART).select("pickup_date", "pickup_hour", "trip_count", "publish_run_id")
+
+
+@query(
+    "reconcile_in_publish",
+    "SELECT 'run-1' AS run_id, 'succeeded' AS status, NULL AS error_message, count(*) AS hourly_trips FROM valid"
+    " UNION ALL SELECT 'run-2', 'failed', concat('hourly_demand_metrics covers ', count(*) - 1, ' trips, expected ', count(*)), count(*) - 1 FROM valid",
+)
+def _(t: Tables) -> DataFrame:
+    """A publish whose trips are all there, and one whose hourly table has one trip too few."""
+    root = scratch_dir(t.spark, "marts")
+    trips = t.valid.count()
+    publish_marts(t.spark, t.daily, t.hourly, root=root, run_id="run-1", trips=trips)
+    busiest = t.hourly.orderBy(F.desc("trip_count"), "pickup_date", "pickup_hour").first()
+    one = (F.col("pickup_date") == F.lit(busiest["pickup_date"])) & (F.col("pickup_hour") == busiest["pickup_hour"])
+    fewer = t.hourly.withColumn("trip_count", F.col("trip_count") - F.when(one, 1).otherwise(0))
+    try:
+        publish_marts(t.spark, t.daily, fewer, root=root, run_id="run-2", trips=trips)
+    except ValueError:
+        runs = latest_runs(run_events(t.spark, root)).select("run_id", "status", "error_message")
+        staged = [staged_rows(t.spark, HOURLY_MART, root=root, run_id=run) for run in ("run-1", "run-2")]
+        totals = staged[0].unionByName(staged[1]).groupBy("publish_run_id").agg(F.sum("trip_count").alias("hourly_trips"))
+        return runs.join(totals, F.col("run_id") == F.col("publish_run_id")).drop("publish_run_id")
+    raise AssertionError("a publish with a trip too few went through")

@@ -1,140 +1,41 @@
-"""Stage jobs: read a dataset, apply operators, write the next dataset, return a summary."""
+"""Stage jobs: read a dataset, apply operators, write the next dataset, return a summary.
+
+Each works on directories of its own choosing; ``run_all`` chains them over a snapshot store instead, see ``lake``.
+"""
 
 from __future__ import annotations
 
-from calendar import monthrange
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
-from datetime import date, datetime
-from typing import Any
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.contracts import (
-    DAILY_SCHEMA,
-    HOURLY_SCHEMA,
-    MONTH_PARTITIONS,
-    SILVER_SCHEMA,
-    SOURCE_UNIT,
-    VALID_TRIP_COLUMNS,
-    require_columns,
-)
-from assayer.operators.metrics import merge_daily, merge_hourly, rate, trip_rollup
+from assayer.contracts import DAILY_SCHEMA, HOURLY_SCHEMA, SILVER_SCHEMA, SOURCE_UNIT, VALID_TRIP_COLUMNS, require_columns
+from assayer.operators.metrics import merge_daily, merge_hourly, trip_rollup
+from assayer.operators.pending import Month, clear, mark, marked, month_name, month_of
 from assayer.operators.projections import build_silver, with_lineage, zone_dimension
 from assayer.operators.publish import PublishSummary, Window, publish_marts
 from assayer.operators.quality import assert_non_empty, assert_unique_non_null_key, checked_key
 from assayer.operators.sinks import overwrite, overwrite_by_month, overwrite_silver, unit_path
 from assayer.operators.zones import BROADCAST_LIMIT_BYTES, attach_zone, text_bytes
+from assayer.plans.lake import load, publish_changes, refresh_gold, store_at
 from assayer.plans.scratch import scratch_dir
+from assayer.plans.summaries import (
+    BronzeSummary,
+    GoldSummary,
+    Loaded,
+    RunSummary,
+    SilverSummary,
+    Written,
+    month_windows,
+    require_utc,
+)
 from assayer.sources import SourceSpec, ensure_available, listed_bytes, path_exists, scan_dataset, scan_trips, scan_zones_csv
 from assayer.sources.specs import Fetch
 from assayer.sources.storage import remove
 
-Month = tuple[int, int]
-
-_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "Etc/Zulu", "Universal", "Etc/Universal", "UCT", "Etc/UCT", "+00:00"}
-
-
-@dataclass(frozen=True)
-class Written:
-    """A dataset a stage wrote."""
-
-    path: str
-    rows: int
-
-
-@dataclass(frozen=True)
-class Loaded:
-    """A raw input and the dataset it became."""
-
-    spec: SourceSpec
-    input_bytes: int
-    output: Written
-
-    def metrics(self) -> dict[str, Any]:
-        year, month = self.spec.period or (None, None)
-        return {
-            "source": self.spec.source,
-            "source_unit": self.spec.unit,
-            "source_year": year,
-            "source_month": month,
-            "source_url": self.spec.url,
-            "source_bytes": self.input_bytes,
-            "file_format": self.spec.file_format,
-            "input_path": self.spec.path,
-            "output_path": self.output.path,
-            "row_count": self.output.rows,
-        }
-
-
-@dataclass(frozen=True)
-class BronzeSummary(Loaded):
-    batch_id: str
-    ingested_at: datetime
-
-    def metrics(self) -> dict[str, Any]:
-        return {**super().metrics(), "batch_id": self.batch_id, "ingested_at": self.ingested_at}
-
-
-@dataclass(frozen=True)
-class SilverSummary:
-    bronze_path: str
-    silver_path: str
-    valid_row_count: int
-    invalid_row_count: int
-    #: Months whose valid rows this run wrote or took away.
-    months: tuple[Month, ...]
-
-    @property
-    def total_row_count(self) -> int:
-        return self.valid_row_count + self.invalid_row_count
-
-    @property
-    def invalid_row_rate(self) -> float:
-        return rate(self.invalid_row_count, self.total_row_count)
-
-    def metrics(self) -> dict[str, Any]:
-        counted = {"total_row_count": self.total_row_count, "invalid_row_rate": self.invalid_row_rate}
-        return {**asdict(self), "months": ",".join(f"{y}-{m:02d}" for y, m in self.months), **counted}
-
-
-@dataclass(frozen=True)
-class GoldSummary:
-    inputs: dict[str, str]
-    daily: Written
-    hourly: Written
-    trips: int
-    unmatched_trips: int
-    window: tuple[date | None, date | None]
-
-    @property
-    def zone_match_rate(self) -> float:
-        return rate(self.trips - self.unmatched_trips, self.trips)
-
-    def metrics(self) -> dict[str, Any]:
-        return {
-            **{f"{name}_path": path for name, path in self.inputs.items()},
-            "daily_path": self.daily.path,
-            "hourly_path": self.hourly.path,
-            "partition_columns": ",".join(MONTH_PARTITIONS),
-            "daily_zone_row_count": self.daily.rows,
-            "hourly_demand_row_count": self.hourly.rows,
-            "valid_trip_count": self.trips,
-            "unmatched_zone_count": self.unmatched_trips,
-            "zone_match_rate": self.zone_match_rate,
-            "date_from": self.window[0],
-            "date_to": self.window[1],
-        }
-
-
-def require_utc(spark: SparkSession) -> None:
-    """Timestamps are parsed and split in the session zone, which has to be UTC."""
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in _UTC_NAMES:
-        raise ValueError(f"spark.sql.session.timeZone has to be UTC, not {zone}")
-
 
 def run_bronze(
     spark: SparkSession,
@@ -184,10 +85,16 @@ def run_silver(spark: SparkSession, *, bronze_path: str, silver_path: str, unit:
     """Bronze to typed, rule-checked rows, valid and invalid ones side by side. One scan, no shuffle, no cache.
 
     With ``unit`` only that source unit's bronze is read and only its silver rows, of both sides, are replaced. The
-    summary names every month whose valid rows changed, those that lost their last row included.
+    summary names every month whose valid rows changed, those that lost their last row included, and every month that
+    an earlier load changed and ``run_gold`` has not taken over since. The months are noted before anything is replaced,
+    so a load that fails, here or later, leaves them to the next.
     """
     require_utc(spark)
     before = silver_months(spark, silver_path, unit)
+    if unit is not None:
+        waiting = set(marked(spark, silver_path))
+        mark(spark, silver_path, sorted(before - waiting))
+        before |= waiting
     if unit is None:
         bronze = scan_dataset(spark, bronze_path)
         units = F.col(SOURCE_UNIT).cast("string") if SOURCE_UNIT in bronze.columns else F.lit("all")
@@ -196,7 +103,10 @@ def run_silver(spark: SparkSession, *, bronze_path: str, silver_path: str, unit:
     else:
         tagged = build_silver(scan_dataset(spark, unit_path(bronze_path, unit)))
     written = overwrite_silver(tagged, silver_path, unit=unit)
-    months = sorted(before | silver_months(spark, silver_path, unit))
+    after = silver_months(spark, silver_path, unit)
+    if unit is not None:
+        mark(spark, silver_path, sorted(after - before))
+    months = sorted(before | after)
     return SilverSummary(bronze_path, silver_path, written["valid_rows"], written["invalid_rows"], tuple(months))
 
 
@@ -213,7 +123,7 @@ def silver_months(spark: SparkSession, silver_path: str, unit: str | None = None
     """The months with valid rows, of one source unit or of all; directory names are all that is read."""
     rows = _silver_rows(spark, silver_path, f"{SOURCE_UNIT}={unit or '*'}/row_set=valid/row_month=*")
     names = [] if rows is None else [r["row_month"] for r in rows.select("row_month").distinct().collect()]
-    return {(int(name[1:5]), int(name[6:])) for name in names}
+    return {month_of(name) for name in names}
 
 
 def read_silver(
@@ -221,7 +131,7 @@ def read_silver(
 ) -> DataFrame:
     """The valid or the invalid rows of a silver dataset; no other directories are listed. ``months`` are for valid rows."""
     side = f"{SOURCE_UNIT}=*/row_set={'valid' if valid else 'invalid'}/row_month="
-    wanted = "*" if months is None else "{" + ",".join(f"m{year:04d}-{month:02d}" for year, month in months) + "}"
+    wanted = "*" if months is None else "{" + ",".join(month_name(month) for month in months) + "}"
     rows = _silver_rows(spark, silver_path, side + wanted) if months is None or months else None
     return spark.createDataFrame([], SILVER_SCHEMA) if rows is None else rows.select(*SILVER_SCHEMA.names)
 
@@ -244,9 +154,13 @@ def run_gold(
 
     Without ``months`` both gold tables are replaced. With ``months``, given as (year, month) pairs, only the silver
     directories of those months are read, of all source units, and exactly their gold partitions are replaced: a month
-    without trips left has none afterwards. Give it the ``months`` of the silver run.
+    without trips left has none afterwards. Give it the ``months`` of the silver run. The months are noted at the gold
+    tables for ``run_publish`` before they change, and their notes at silver go when both tables are written.
     """
     require_utc(spark)
+    taken = marked(spark, silver_path)
+    if months is not None:
+        mark(spark, daily_path, months)
     trips = require_columns(read_silver(spark, silver_path, months=months), VALID_TRIP_COLUMNS, "valid trips")
     zones = scan_dataset(spark, zones_path)
     sizes = checked_key(zones, key="location_id", dataset="zone dimension", bytes=text_bytes(zones))
@@ -264,6 +178,7 @@ def run_gold(
     }
     seen = overwrite_by_month(daily, daily_path, months=months, measures=summed, drop=["_zone_lookup_matched"])
     hourly_rows = overwrite_by_month(merge_hourly(rollup), hourly_path, months=months)["rows"]
+    clear(spark, taken, taken if months is None else months)
     if own_rollup:
         remove(spark, rollup_path)
     return GoldSummary(
@@ -283,12 +198,6 @@ def read_gold(spark: SparkSession, daily_path: str, hourly_path: str) -> tuple[D
     return daily, hourly
 
 
-def months_window(months: Sequence[Month]) -> Window:
-    """First day of the first to last day of the last month."""
-    first, last = min(months), max(months)
-    return date(*first, 1), date(*last, monthrange(*last)[1])
-
-
 def run_publish(
     spark: SparkSession,
     *,
@@ -301,31 +210,28 @@ def run_publish(
 ) -> PublishSummary:
     """Both gold tables to the marts, together or not at all.
 
-    With ``months`` only the days from the first to the last of them are read, staged and replaced.
+    With ``months`` only their days are read, staged and replaced, and those of months that ``run_gold`` changed and no
+    publish has taken over since. Days between months that do not follow each other are left alone.
     """
     if not run_id.strip():
         raise ValueError("a run_id is required")
     if months is not None and (window is not None or not months):
         raise ValueError("give a window, or at least one month")
     daily, hourly = read_gold(spark, daily_path, hourly_path)
-    if months is not None:
-        window = months_window(months)
-        first, last = min(months), max(months)
-        number = F.col("pickup_year") * 12 + F.col("pickup_month")
-        # On the partition columns, so that other months are not read.
-        within = number.between(first[0] * 12 + first[1], last[0] * 12 + last[1])
-        daily, hourly = daily.filter(within), hourly.filter(within)
-    return publish_marts(spark, daily, hourly, root=mart_root, run_id=run_id, window=window)
-
-
-@dataclass(frozen=True)
-class RunSummary:
-    zones: Loaded
-    bronze: BronzeSummary
-    silver: SilverSummary
-    gold: GoldSummary
-    #: None where no month changed.
-    publish: PublishSummary | None
+    waiting = marked(spark, daily_path)
+    if months is None:
+        summary = publish_marts(spark, daily, hourly, root=mart_root, run_id=run_id, window=window)
+        # A window may leave out some of what has changed.
+        clear(spark, waiting, waiting if window is None else ())
+        return summary
+    wanted = sorted({*months, *waiting})
+    # On the partition columns, so that other months are not read.
+    within = (F.col("pickup_year") * 12 + F.col("pickup_month")).isin([year * 12 + month for year, month in wanted])
+    summary = publish_marts(
+        spark, daily.filter(within), hourly.filter(within), root=mart_root, run_id=run_id, windows=month_windows(wanted)
+    )
+    clear(spark, waiting, wanted)
+    return summary
 
 
 def run_all(
@@ -342,30 +248,17 @@ def run_all(
     """The whole chain below ``root``: zones and bronze, silver, gold, marts. ``run_id`` names batch and publish.
 
     With ``replace='unit'`` a run loads its source unit beside those of earlier runs: it replaces the unit's bronze and
-    silver rows, recomputes every month the unit had or has valid rows in, and publishes these months.
+    silver rows, recomputes every month the unit had or has valid rows in, and publishes these months. With 'all' the
+    unit becomes the only one.
+
+    All datasets lie in one snapshot store, so each step is there as a whole or not at all, and readers are never in
+    between. A run that fails leaves its unfinished months to the next one, whatever that loads; give it a new run id.
     """
-    zone_summary = run_zones(spark, spec=zones, output_path=f"{root}/reference/zones", fetch=fetch)
-    bronze = run_bronze(
-        spark, spec=trips, output_path=f"{root}/bronze/trips", batch_id=run_id, ingested_at=ingested_at, fetch=fetch, replace=replace
-    )
-    by_unit = replace == "unit"
-    silver = run_silver(spark, bronze_path=bronze.output.path, silver_path=f"{root}/silver/trips", unit=trips.unit if by_unit else None)
-    months = silver.months if by_unit else None
-    gold = run_gold(
-        spark,
-        silver_path=silver.silver_path,
-        zones_path=zone_summary.output.path,
-        daily_path=f"{root}/gold/daily_zone_metrics",
-        hourly_path=f"{root}/gold/hourly_demand_metrics",
-        rollup_path=f"{root}/gold/trip_rollup",
-        months=months,
-    )
-    publish = None
-    if months is None or months:
-        publish = run_publish(
-            spark, daily_path=gold.daily.path, hourly_path=gold.hourly.path, mart_root=f"{root}/marts", run_id=run_id, months=months
-        )
-    return RunSummary(zone_summary, bronze, silver, gold, publish)
+    store = store_at(spark, root)
+    loaded = load(store, trips=trips, zones=zones, batch_id=run_id, ingested_at=ingested_at, fetch=fetch, by_unit=_by_unit(replace))
+    gold = refresh_gold(store)
+    publish = publish_changes(store, f"{root}/marts", run_id=run_id, everything=replace == "all")
+    return RunSummary(*loaded, gold, publish)
 
 
 def run_metrics(spark: SparkSession, run: RunSummary) -> DataFrame:

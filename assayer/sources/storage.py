@@ -5,6 +5,9 @@ They go through the session's own Hadoop client, so they need a classic session,
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,3 +50,52 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or a directory with all it holds; whether it was there."""
     system, hadoop_path = _file_system(spark, path)
     return bool(system.delete(hadoop_path, True))
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a directory; none where there is no such directory."""
+    system, hadoop_path = _file_system(spark, path)
+    if not system.exists(hadoop_path):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(hadoop_path))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    system, hadoop_path = _file_system(spark, path)
+    stream = system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless one is there; whether it was written.
+
+    It is written beside and then renamed, without replacing, so it appears with all it holds or not at all. Of several
+    writers one gets True where the store renames atomically, as HDFS does.
+    """
+    system, hadoop_path = _file_system(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{hadoop_path.getName()}-{uuid4().hex}")
+    stream = system.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), system.getConf())
+    plain = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(beside, hadoop_path, plain)
+    except Py4JJavaError as error:
+        system.delete(beside, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """When a file or directory was last modified, in seconds of the store's clock."""
+    system, hadoop_path = _file_system(spark, path)
+    return system.getFileStatus(hadoop_path).getModificationTime() / 1000
