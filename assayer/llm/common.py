@@ -50,6 +50,17 @@ def reachable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
+#: Bytes of an Arrow batch where texts are long; the last row of a batch may go beyond.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, so that the length of texts does not decide what a task holds. A lower limit stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``each`` over the record batches of every partition."""
 

@@ -14,12 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import regex
 
-#: Words are runs of letters, lower-cased.
-WORD = regex.compile(r"\p{L}+")
+#: Words are runs of letters, lower-cased. Longer runs, as in scripts without blanks, are consecutive words of this length.
+LONGEST_WORD = 40
+WORD = regex.compile(rf"\p{{L}}{{1,{LONGEST_WORD}}}")
 #: Features are hashed to so many weights per label.
 BUCKETS = 1 << 16
-#: Longer words have their features taken from so many letters at each end.
-ENDS = 20
 AFFIXES, GRAMS = (1, 2, 3), (2, 3, 4)
 #: Label scores of distinct words that a worker remembers. Beyond it, it starts anew: a bound on memory.
 REMEMBERED = 300_000
@@ -48,12 +47,11 @@ def _hash(codes: np.ndarray, kind: int) -> np.ndarray:
 
 def features(words: list[str], lexicon: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each length of word: where such words stand in the list, and a row of feature buckets for each."""
-    short = [w if len(w) <= 2 * ENDS else w[:ENDS] + w[-ENDS:] for w in words]
-    lengths = np.array([len(w) for w in short])
+    lengths = np.array([len(w) for w in words])
     out = []
     for length in np.unique(lengths).tolist():
         at = np.flatnonzero(lengths == length)
-        codes = np.array([short[i] for i in at], dtype=f"<U{length}").view(np.uint32).reshape(len(at), length).astype(np.uint64)
+        codes = np.array([words[i] for i in at], dtype=f"<U{length}").view(np.uint32).reshape(len(at), length).astype(np.uint64)
         edge = np.ones((len(at), 1), dtype=np.uint64)
         padded = np.hstack((edge, codes, edge * np.uint64(2)))
         columns = []
@@ -154,7 +152,7 @@ def fit(texts: list[list[str]], labels: list[str], rounds: int = 60, rate: float
     counts = Counter(w for words, _ in sequences for w in words)
     vocabulary = list(counts)
     at_word = {w: i for i, w in enumerate(vocabulary)}
-    frequent = [w for w in vocabulary if counts[w] >= 5 and len(w) <= 2 * ENDS]
+    frequent = [w for w in vocabulary if counts[w] >= 5]
     lexicon = np.array(
         [_hash(np.array([w], dtype=f"<U{len(w)}").view(np.uint32).reshape(1, -1).astype(np.uint64), 1)[0] for w in frequent], dtype=np.uint64
     )
@@ -232,5 +230,10 @@ class Labeller:
         return out
 
     def shares(self, texts: list[list[str]]) -> np.ndarray:
-        """The share of each label in each text's words; zeros for a text without words."""
-        return np.array([c.mean(axis=0) if len(c) else np.zeros(c.shape[1]) for c in self.word_chances(texts)]).reshape(-1, len(self.model.labels))
+        """The share of each label in each text's letters; zeros for a text without words."""
+        out = np.zeros((len(texts), len(self.model.labels)))
+        for k, (words, chances) in enumerate(zip(texts, self.word_chances(texts), strict=True)):
+            if words:
+                letters = np.fromiter(map(len, words), dtype=np.float64, count=len(words))
+                out[k] = letters @ chances / letters.sum()
+        return out

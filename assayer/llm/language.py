@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from assayer.llm.common import arrow_map
+from assayer.llm.common import reachable, small_batches
 from assayer.llm.crf import Labeller, Model, fit, words_of
 
 UNKNOWN = "und"
-#: Documents of each language in the sample at most, and the longest text it takes, in bytes. These bound what the driver holds.
+#: Texts of each language in the sample at most, and the longest it takes, in bytes. These bound what the driver holds.
 PER_LANGUAGE, LONGEST = 250, 12_000
 #: Characters whose words a task holds at a time (one text more at most).
 CHUNK = 2_000_000
@@ -26,45 +23,50 @@ def fold(key: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """A model from whole texts outside fold 2 with a language; None if there are none.
+    """A model from texts outside fold 2 with a language; None if there are none.
 
-    A hash of the text picks about ``per_language`` documents of each language among texts of up to ``LONGEST`` bytes.
+    The sample has ``per_language`` different texts of each language, the first by a hash, of up to ``LONGEST`` bytes. A
+    language all of whose texts are longer is learned from as much of their beginnings. Copies count once, and no more
+    than the sample reaches the driver.
     """
     usable = docs.filter(F.coalesce(fold(key), F.lit(0)) != 2).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    usable = usable.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
-    counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
-    if not counts:
+    usable = usable.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
+    # Short texts before long ones; ranks are cut to the quota in each task before rows are shuffled.
+    first = Window.partitionBy("lang").orderBy("long", "hash")
+    ranked = usable.select("lang", "hash", (F.octet_length("text") > LONGEST).alias("long")).distinct().withColumn("rank", F.row_number().over(first))
+    chosen = ranked.filter(F.col("rank") <= per_language)
+    short = Window.partitionBy("_lang")
+    chosen = chosen.select(F.col("lang").alias("_lang"), F.col("hash").alias("_hash"), "long").withColumn("_any_short", F.bool_or(~F.col("long")).over(short))
+    chosen = chosen.filter(~F.col("long") | ~F.col("_any_short")).select("_lang", "_hash")
+    same = (F.col("lang") == F.col("_lang")) & (F.col("hash") == F.col("_hash"))
+    sample = usable.join(chosen, same).groupBy("lang", "hash").agg(F.first(F.substring("text", 1, LONGEST)).alias("text")).collect()
+    if not sample:
         return None
-    chance = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, 1.2 * per_language / n))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / F.lit(1e6)
-    sample = usable.filter(draw < F.element_at(chance, F.col("lang"))).collect()
-    kept, taken = [], dict.fromkeys(counts, 0)
-    for row in sorted(sample, key=lambda r: (r["lang"], r["text"])):
-        if taken[row["lang"]] < 1.5 * per_language:
-            taken[row["lang"]] += 1
-            kept.append(row)
-    return fit([words_of(row["text"]) for row in kept], [row["lang"] for row in kept])
+    rows = sorted(sample, key=lambda r: (r["lang"], r["text"]))
+    return fit([words_of(row["text"]) for row in rows], [row["lang"] for row in rows])
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``: the language with the largest share of the words, and that share.
+    """``docs`` with ``lang_pred`` and ``score``: the language with the largest share of the letters, and that share.
 
     Both come from the probabilities of each word's language, summed over the whole text. A null text or one without a
     letter is ``und`` with score 0, and so is everything without a model. Ties go to the first language by name.
-    Columns of these two names are replaced.
+    Columns of these two names are replaced. Only the text goes to Python.
     """
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
+    reachable(docs.sparkSession)
+    small_batches(docs.sparkSession)
     labeller: list[Labeller] = []
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predicted(texts: pa.Array) -> pa.Array:
         if not labeller:
             labeller.append(Labeller(shared.value))
-        shares, held, size = [], [], 0
-        for cell in batch.column(at):
+        shares, held, size = [np.zeros((0, len(shared.value.labels)))], [], 0
+        for cell in texts:
             held.append(words_of(cell.as_py() or ""))
             size += len(held[-1]) * 6
             if size >= CHUNK:
@@ -76,11 +78,10 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
         best = share.argmax(axis=1)
         score = np.clip(share[np.arange(len(share)), best].astype(float), 0.0, 1.0)
         names = [shared.value.labels[b] if s > 0 else UNKNOWN for b, s in zip(best.tolist(), score.tolist(), strict=True)]
-        columns = [*batch.columns, pa.array(names, pa.string()), pa.array(score)]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score)], names=["lang_pred", "score"])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return arrow_map(docs, each, schema)
+    told = docs.withColumn("_told", predicted(F.col(f"`{text}`").cast("string")))
+    return told.withColumns({"lang_pred": F.col("_told.lang_pred"), "score": F.col("_told.score")}).drop("_told")
 
 
 def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import arrow_map, reachable, written
+from assayer.llm.common import arrow_map, reachable, small_batches, written
 from assayer.llm.components import components, local_roots
 
 #: A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 30, about 7 in a million.
@@ -60,6 +60,22 @@ def _parameters(kind: str, n: int) -> np.ndarray:
     return draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _over_texts(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``each`` over small batches; what a worker remembers of words goes with the task, not into later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield from each(batch)
+        finally:
+            _word_hashes.cache_clear()
+
+    reachable(df.sparkSession)
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words are runs of anything but ASCII white space, as they stand."""
     return (text or "").encode("utf-8", "surrogatepass").split()
@@ -114,7 +130,7 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, text_hash, key, sig`` of each document; without words, key and signature are null."""
+    """``doc_id, text_hash, key, sig, place`` of each document; without words, key and signature are null."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -127,7 +143,8 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "key", "sig"])
 
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    return arrow_map(hashed, each, f"doc_id {kind}, text_hash bigint, key binary, sig binary")
+    signed = _over_texts(hashed, each, f"doc_id {kind}, text_hash bigint, key binary, sig binary")
+    return signed.withColumn("place", F.monotonically_increasing_id())
 
 
 def _band_keys(texts: DataFrame) -> DataFrame:
@@ -283,8 +300,7 @@ def _gram_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 sets.append(shingles(words, width).astype("<u8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(tids, pa.int64()), pa.array(sets, pa.binary())], names=["tid", "set"])
 
-    found = arrow_map(texts, each, "tid bigint, set binary")
-    return found
+    return _over_texts(texts, each, "tid bigint, set binary")
 
 
 def near_duplicates(
@@ -299,12 +315,12 @@ def near_duplicates(
 
     ``n_links`` counts the other documents whose sets of ``width``-word shingles have a Jaccard similarity of
     ``threshold`` or more, copies included; ``n_text_links`` the different texts among them. ``class_id`` is the least
-    id reachable by links, ``kept`` whether that is the document's own.
+    id reachable by links. One row of each class is ``kept``: the first read of those with that id.
 
     Texts of fewer words than ``width`` have one shingle, all their words. Documents without words (null or empty)
-    link with nothing and are their own class. Null ids come last in their class; a class of null ids alone has a null
-    class id, and all of it is ``kept``. Repeated rows are linked like other copies, and all rows with the least id
-    are ``kept``. Columns other than the two named are ignored. An empty table gives an empty result.
+    link with nothing, are their own class and ``kept``. Null ids come last in their class; a class of null ids alone
+    has a null class id. Repeated rows are linked like other copies. Columns other than the two named are ignored. An
+    empty table gives an empty result.
     """
     return linked_rows(docs, threshold, width, tolerance, key, text).drop("text_hash")
 
@@ -314,8 +330,9 @@ def first_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, key:
 
     Rows that repeat id and text stay once. All columns are kept.
     """
-    judged = linked_rows(docs, threshold, width, TOLERANCE, key, text).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
-    judged = written(judged, "join-kept")
+    rows = linked_rows(docs, threshold, width, TOLERANCE, key, text)
+    judged = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"), F.bool_or("kept").alias("kept")).filter("kept")
+    judged = written(judged.drop("kept"), "join-kept")
     # Rows travel as one struct, so that their column names clash with nothing.
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("of"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
     stay = rows.join(judged, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
@@ -366,22 +383,30 @@ def linked_rows(
         .join(links, "tid", "left")
         .select(
             F.col("key").alias("_key"),
+            "root",
             "class_id",
             (F.coalesce("_copies", F.lit(0)) + F.col("copies") - 1).alias("_links"),
             F.coalesce("_texts", F.lit(0)).alias("_text_links"),
         )
     )
-    return (
-        signed.select("doc_id", "text_hash", "key")
-        .join(about, F.col("key") == F.col("_key"), "left")
-        .select(
+    told = signed.select("doc_id", "text_hash", "key", "place").join(about, F.col("key") == F.col("_key"), "left")
+    told = written(
+        told.select(
             "doc_id",
             F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"),
             F.coalesce("_text_links", F.lit(0)).cast("bigint").alias("n_text_links"),
             "text_hash",
-        )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+            "place",
+            "root",
+        ),
+        "join-rows",
+    )
+    # Several rows may have a class's least id, as it may be repeated or null.
+    standing = told.filter(F.col("root").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    first = standing.groupBy("root").agg(F.min("place").alias("_first")).select("_first")
+    return told.join(first, F.col("place") == F.col("_first"), "left").select(
+        "doc_id", "class_id", "n_links", "n_text_links", "text_hash", (F.col("root").isNull() | F.col("_first").isNotNull()).alias("kept")
     )
 
 

@@ -8,10 +8,12 @@ that lose too much with them are rejected.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import WORD, let, text_or_empty, words_of, written
+from assayer.llm.common import WORD, let, text_or_empty, words_of
 
 #: The symbols counted by ``n_symbols`` (fixed value).
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -78,62 +80,84 @@ def normalised(line: Column) -> Column:
 
 
 def numbered_lines(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    """``_id, _host, _text, line, at``: each line of a document that has a word, by hash, with its place in the text."""
-    entries = F.transform(F.split(text_or_empty(text), "\n", -1), lambda line, i: F.struct(F.when(line.rlike(WORD), F.xxhash64(normalised(line))).alias("line"), i.alias("at")))
-    with_word = F.filter(entries, lambda entry: entry["line"].isNotNull())
-    return docs.select(F.col(key).alias("_id"), F.col(host).cast("string").alias("_host"), F.xxhash64(text_or_empty(text)).alias("_text"), F.inline(with_word))
+    """``_id, _host, _text, line, words, at``: each line of a document that has a word, by hash, with its words and its place."""
 
+    def entry(line: Column, i: Column) -> Column:
+        def hashed(norm: Column) -> Column:
+            blanks = F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit("")))
+            return F.struct(F.xxhash64(norm).alias("line"), (blanks + 1).alias("words"), i.alias("at"))
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, most_share: float, least_docs: int) -> DataFrame:
-    """``_host, line`` of lines in more than ``most_share`` of the host's distinct texts, and in ``least_docs`` at least."""
-    # One row per text and line first, then their number: both steps combine before the shuffle.
-    texts = lines.groupBy("_host", "line", "_text").agg(F.lit(1).alias("_one"))
-    counts = texts.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("_texts")).filter(F.col("_texts") >= least_docs)
-    limit = F.greatest(F.lit(float(least_docs)), F.col("_host_texts") * F.lit(most_share))
-    same = F.col("_host").eqNullSafe(F.col("_of"))
-    return counts.join(hosts.withColumnRenamed("_host", "_of"), same).filter(F.col("_texts") > limit).select("_host", "line")
+        return F.when(line.rlike(WORD), let(normalised(line), hashed))
 
+    entries = F.filter(F.transform(F.split(text_or_empty(text), "\n", -1), entry), lambda e: e.isNotNull())
+    return docs.select(F.col(key).alias("_id"), F.col(host).cast("string").alias("_host"), F.xxhash64(text_or_empty(text)).alias("_text"), F.inline(entries))
 
-def without_frequent_lines(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    host: str = "source",
-    most_share: float = 0.1,
-    least_docs: int = 10,
-    into: str = "text_left",
-) -> DataFrame:
-    """The rows of ``docs`` with ``into``, the text without its host's frequent lines.
 
-    The other lines stay as they are and in their order. A text without frequent lines is left alone, a null one too.
-    A column named like ``into`` is replaced.
+@dataclass(frozen=True)
+class LineLimit:
+    """How many distinct texts of a host may hold a line.
+
+    More than ``share`` of the host's texts and more than ``least`` are too many. For a line of at least
+    ``whole_words`` words, which does not come up by chance, so are more than ``most``, however large the host is.
     """
-    content = text_or_empty(text)
+
+    share: float = 0.1
+    least: int = 10
+    most: int = 1_000
+    whole_words: int = 8
+
+    def of(self, host_texts: Column, words: Column) -> Column:
+        share = host_texts * F.lit(self.share)
+        held = F.when(words >= self.whole_words, F.least(share, F.lit(float(self.most)))).otherwise(share)
+        return F.greatest(F.lit(float(self.least)), held)
+
+
+def frequent_lines(lines: DataFrame, hosts: DataFrame, limit: LineLimit) -> DataFrame:
+    """``_of, _hash``: host and hash of the lines above their host's limit."""
+    # One row per text and line first, then their number: both steps combine before the shuffle.
+    texts = lines.groupBy("_host", "line", "words", "_text").agg(F.lit(1).alias("_one"))
+    counts = texts.groupBy("_host", "line", "words").agg(F.count(F.lit(1)).alias("_texts")).filter(F.col("_texts") > limit.least)
+    same = F.col("_host").eqNullSafe(F.col("_of"))
+    above = counts.join(hosts.withColumnRenamed("_host", "_of"), same).filter(F.col("_texts") > limit.of(F.col("_host_texts"), F.col("words")))
+    return above.select("_of", F.col("line").alias("_hash"))
+
+
+def _hits(docs: DataFrame, key: str, text: str, host: str, limit: LineLimit) -> DataFrame:
+    """The numbered lines of ``docs`` that are above their host's limit. Lines are shuffled by hash, texts are not."""
     lines = numbered_lines(docs, key, text, host)
     hosts = (
-        docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(content).alias("_text"))
+        docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(text_or_empty(text)).alias("_text"))
         .distinct()
         .groupBy("_host")
         .agg(F.count(F.lit(1)).alias("_host_texts"))
     )
-    frequent = frequent_lines(lines, hosts, most_share, least_docs).select(F.col("_host").alias("_of"), F.col("line").alias("_hash"))
+    frequent = frequent_lines(lines, hosts, limit)
     hit = (F.col("line") == F.col("_hash")) & F.col("_host").eqNullSafe(F.col("_of"))
+    # Every line that is hit is a hot key; a merge join's skewed partitions are split, whatever their number.
+    return lines.join(frequent.hint("merge"), hit)
+
+
+def without_frequent_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", limit: LineLimit = LineLimit(), into: str = "text_left"
+) -> DataFrame:
+    """The rows of ``docs`` with ``into``, the text without its host's frequent lines.
+
+    The other lines stay as they are and in their order. A text without frequent lines is left alone, a null one too.
+    A column named like ``into`` is replaced.
+    """
     # Rows repeated with key, text and host have the same places.
-    gone = lines.join(frequent, hit).groupBy("_id", "_text", "_host").agg(F.collect_set("at").alias("_gone"))
-    # Its size is known when it is written: where it is small, no text has to be shuffled.
-    gone = written(gone, "quality-gone")
-    # Rows travel as one struct, so that their column names clash with nothing.
-    rows = docs.drop(into).select(
-        F.struct("*").alias("row"), F.col(key).alias("_rid"), F.col(text).cast("string").alias("_content"), F.xxhash64(content).alias("_rtext"), F.col(host).cast("string").alias("_rhost")
-    )
-    same = F.col("_rid").eqNullSafe(F.col("_id")) & (F.col("_rtext") == F.col("_text")) & F.col("_rhost").eqNullSafe(F.col("_host"))
+    gone = _hits(docs, key, text, host, limit).groupBy("_id", "_text", "_host").agg(F.collect_set("at").alias("_gone"))
+    # Rows travel once, as one struct, so that their column names clash with nothing.
+    rows = docs.drop(into).select(F.struct("*").alias("row"), F.xxhash64(text_or_empty(text)).alias("_rtext"))
+    own_key, own_host, content = F.col(f"row.`{key}`"), F.col(f"row.`{host}`").cast("string"), F.col(f"row.`{text}`").cast("string")
+    same = own_key.eqNullSafe(F.col("_id")) & (F.col("_rtext") == F.col("_text")) & own_host.eqNullSafe(F.col("_host"))
 
     def rest(array: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(array) - 1), F.col("_gone"))
         return F.array_join(F.transform(kept, lambda i: F.get(array, i)), "\n")
 
-    left = F.when(F.col("_gone").isNull(), F.col("_content")).otherwise(let(F.split("_content", "\n", -1), rest))
-    return rows.join(gone, same, "left").select("row.*", left.alias(into))
+    left = F.when(F.col("_gone").isNull(), content).otherwise(let(F.split(content, "\n", -1), rest))
+    return rows.join(gone.hint("merge"), same, "left").select("row.*", left.alias(into))
 
 
 def judge_quality(
@@ -141,8 +165,7 @@ def judge_quality(
     key: str = "doc_id",
     text: str = "text",
     host: str = "source",
-    most_share: float = 0.1,
-    least_docs: int = 10,
+    limit: LineLimit = LineLimit(),
     least_left: float = 0.5,
     least_words: int = 50,
     most_repeated: float = 0.5,
@@ -150,30 +173,30 @@ def judge_quality(
     """One row per document with its statistics, ``n_removed_words``, ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than ``least_words`` words, or more than ``most_repeated`` of them in repeated 3-word
-    windows. A line is removed when more than ``most_share`` of its host's distinct texts and more than ``least_docs``
-    of them hold it. ``kept`` is false when the base rules fail or when the removal leaves less than ``least_left`` of
-    the words.
+    windows. A line is removed when more distinct texts of its host hold it than ``limit`` allows. ``kept`` is false when
+    the base rules fail or when the removal leaves less than ``least_left`` of the words.
 
-    A null text has no words. Null hosts are one host. Repeated rows are judged alike and counted as one text. Columns
-    other than the three named are ignored. An empty table gives an empty result.
+    Only statistics and line hashes are shuffled. A null text has no words. Null hosts are one host. Repeated rows are
+    judged alike and counted as one text. Columns other than the three named are ignored. An empty table gives an empty
+    result.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_content"), F.col(host).cast("string").alias("_source"))
-    counted = without_frequent_lines(text_statistics(rows, "_content"), "doc_id", "_content", "_source", most_share, least_docs, into="_left")
-    removed = F.when(F.col("_left") == F.col("_content"), F.lit(0)).otherwise(F.col("n_words") - F.size(words_of(text_or_empty("_left"))))
+    # Rows repeated with key, text and host have one sum for all: its lines come up once for each of them.
+    hits = _hits(rows, "doc_id", "_content", "_source", limit).groupBy("_id", "_text", "_host", "at", "words").agg(F.lit(1).alias("_one"))
+    removed = hits.groupBy("_id", "_text", "_host").agg(F.sum("words").alias("_removed"))
+    stated = text_statistics(rows, "_content").withColumn("_rtext", F.xxhash64(text_or_empty("_content"))).drop("_content")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_rtext") == F.col("_text")) & F.col("_source").eqNullSafe(F.col("_host"))
+    counted = stated.join(removed.hint("merge"), same, "left").withColumn("n_removed_words", F.coalesce("_removed", F.lit(0)).cast("bigint"))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > F.col("n_words") * F.lit(most_repeated))
     left = F.col("n_words") - F.col("n_removed_words")
-    return (
-        counted.withColumn("n_removed_words", removed.cast("bigint"))
-        .withColumn("base_failed", failed)
-        .select(
-            "doc_id",
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            "n_removed_words",
-            "base_failed",
-            (~F.col("base_failed") & (left >= F.col("n_words") * F.lit(least_left))).alias("kept"),
-        )
+    return counted.withColumn("base_failed", failed).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_removed_words",
+        "base_failed",
+        (~F.col("base_failed") & (left >= F.col("n_words") * F.lit(least_left))).alias("kept"),
     )

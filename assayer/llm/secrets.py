@@ -9,6 +9,7 @@ its findings at once. Findings are then joined back to every path.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ class Rule:
     least: int = 0
     group: int = 0
     hints: tuple[str, ...] = ()
+    #: A match begins at the first ASCII letter of the run of these characters before it.
+    lead: frozenset[str] = frozenset()
 
     @property
     def id(self) -> str:
@@ -45,10 +48,24 @@ class Rule:
     def spans(self, text: str, lower: str) -> Iterator[tuple[int, int]]:
         if self.hints and not any(hint in lower for hint in self.hints):
             return
+        end = 0
         for match in self.pattern.finditer(text):
-            if match.end(self.group) - match.start(self.group) >= self.least:
-                yield match.span()
-
+            if match.end(self.group) - match.start(self.group) < self.least:
+                continue
+            start = match.start()
+            if self.lead:
+                while start > end and text[start - 1] in self.lead:
+                    start -= 1
+                while start < match.start() and text[start] not in _LETTERS:
+                    start += 1
+                if start == match.start():
+                    continue
+            end = match.end()
+            yield start, end
+
+
+_LETTERS = frozenset(string.ascii_letters)
+_SCHEME = _LETTERS | frozenset(string.digits + "+.-")
 
 #: In the order that settles ties. The first three are the base; runs below 24 hex digits never match, which gives the
 #: same matches as dropping them afterwards, since a run is always matched whole.
@@ -67,7 +84,8 @@ RULES = (
     Rule("github", 1, re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", 1, re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}"), hints=("xox",)),
     Rule("jwt", 1, re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), hints=("eyj",)),
-    Rule("url", 1, re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s/:@]{1,100}:[^\s/:@]{1,100}@"), hints=("://",)),
+    # A user and a password of any length in a URL. Its scheme is looked for backwards, so long runs are read once.
+    Rule("url", 2, re.compile(r"://[^\s/:@]+:[^\s/:@]+@"), hints=("://",), lead=_SCHEME),
 )
 BASE = ("assign", "access", "hex")
 

@@ -19,8 +19,9 @@ norm AS (
   FROM (SELECT doc_id, source, text, unnest(lines) AS l FROM base)),
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM base GROUP BY source),
 frequent AS (
-  SELECT l.source, l.line FROM (SELECT source, line, count(DISTINCT text) AS n FROM norm GROUP BY source, line) l
-  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source WHERE l.n > greatest(10, 0.1 * h.n)),
+  SELECT l.source, l.line FROM (SELECT source, line, words, count(DISTINCT text) AS n FROM norm GROUP BY source, line, words) l
+  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  WHERE l.n > greatest(10, CASE WHEN l.words >= 8 THEN least(0.1 * h.n, 1000) ELSE 0.1 * h.n END)),
 removed AS (
   SELECT n.doc_id, sum(n.words) AS words FROM norm n JOIN frequent f
   ON n.line = f.line AND n.source IS NOT DISTINCT FROM f.source GROUP BY n.doc_id),
