@@ -23,6 +23,7 @@ LEAST_SHARE = 0.4
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those that no language has a large enough share of."""
+    # The row stays in the JVM: only the text goes to Python, and only two values come back.
     judged = identify(docs.select(F.struct("*").alias("row"), "text"), train(docs))
     return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
@@ -36,7 +37,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps every document and replaces what the secret rules find in it by a mark."""
     clean = redacted(docs, scratch_dir(spark, "secret-ledger"))
     # The number of characters follows the text where it was right before.
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
