@@ -39,7 +39,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id"
     chosen = chosen.select(F.col("lang").alias("_lang"), F.col("hash").alias("_hash"), "long").withColumn("_any_short", F.bool_or(~F.col("long")).over(short))
     chosen = chosen.filter(~F.col("long") | ~F.col("_any_short")).select("_lang", "_hash")
     same = (F.col("lang") == F.col("_lang")) & (F.col("hash") == F.col("_hash"))
-    sample = usable.join(chosen, same).groupBy("lang", "hash").agg(F.first(F.substring("text", 1, LONGEST)).alias("text")).collect()
+    # Smaller than the sample, which the driver holds anyway; no text is shuffled but the chosen ones.
+    sample = usable.join(F.broadcast(chosen), same).groupBy("lang", "hash").agg(F.first(F.substring("text", 1, LONGEST)).alias("text")).collect()
     if not sample:
         return None
     rows = sorted(sample, key=lambda r: (r["lang"], r["text"]))

@@ -177,6 +177,18 @@ def test_large_group_of_near_copies_is_cut_into_tiles(spark, monkeypatch):
     _check(rows, near_duplicates(docs).collect())
 
 
+def test_one_row_of_each_class_is_kept(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join([*base[:-1], f"x{k}"])
+    rows = [(1, near(0)), (None, near(1)), (1, near(2)), (1, near(0)), (None, "a b c d e f"), (None, "a b c d e f"), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = near_duplicates(docs).collect()
+    _check(rows, got)
+    assert Counter((r.doc_id, r.class_id) for r in got if r.kept) == {(1, 1): 1, (None, None): 2, (7, 7): 2}
+    stay = Counter((r.doc_id, r.text is not None and len(r.text) > 0) for r in first_of_each(docs).collect())
+    assert stay == {(1, True): 1, (None, True): 1, (None, False): 1, (7, False): 1}
+
+
 def test_first_of_each_keeps_one_row_a_class(spark, odd_docs, odd_rows):
     kept = first_of_each(odd_docs)
     assert kept.columns == odd_docs.columns

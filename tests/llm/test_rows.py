@@ -130,6 +130,24 @@ def test_texts_without_frequent_lines(spark, odd_docs, odd_rows, no_docs):
 # Secrets
 
 
+def test_long_lines_have_a_limit_that_does_not_grow_with_the_host(spark):
+    from assayer.llm.quality_rules import LineLimit
+
+    long, short = "one two three four five six seven eight", "page next"
+    # Digits are all alike to the rule, so lines of one document only differ in letters.
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    own = lambda i: " ".join(f"{name(i)}x{name(k)}" for k in range(60))
+    rows = [(i, f"{own(i)}\n{long if i < 40 else ''}\n{short if i < 40 else ''}", "a") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    removed = {r.doc_id: r.n_removed_words for r in judge_quality(docs, limit=LineLimit(most=30)).collect()}
+    assert {removed[i] for i in range(40)} == {8} and {removed[i] for i in range(40, 600)} == {0}
+    assert {r.n_removed_words for r in judge_quality(docs).collect()} == {0}
+    shared = [" ".join(f"{name(k)}q{name(j)}" for j in range(8)) for k in range(20)]
+    depleted = [(i, "\n".join([own(i), *shared]), "a") for i in range(50)]
+    kept = judge_quality(spark.createDataFrame(depleted, "doc_id bigint, text string, source string")).select("kept", "base_failed").distinct().collect()
+    assert [tuple(r) for r in kept] == [(False, False)]
+
+
 def test_secret_digest_against_plain_python(spark, odd_docs, odd_rows, no_docs, tmp_path):
     base = [
         ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
@@ -178,11 +196,48 @@ def test_ledger_scans_only_what_it_lacks(spark, tmp_path):
     assert {f.rule for r in rows for f in r.found} == {"assign@1", "hex@1"}
 
 
+@pytest.mark.parametrize(
+    ("rule", "text", "spans"),
+    [
+        ("pem", "x -----BEGIN RSA PRIVATE KEY----- y -----BEGIN PUBLIC KEY-----", [(2, 33)]),
+        ("github", "ghp_" + "a" * 36 + " ghx_" + "a" * 36 + " gho_" + "a" * 35, [(0, 40)]),
+        ("slack", "xoxb-1234567890 xoxz-1234567890 xoxp-123", [(0, 15)]),
+        ("jwt", "eyJabcdefgh.eyJabcdefgh.abcdefgh eyJa.eyJb.c", [(0, 32)]),
+        ("url", "see https://me:pass@host and http://host:80/a@b", [(4, 20)]),
+        ("url", "9http://u:p@x", [(1, 12)]),
+        ("url", "://u:p@x 12://u:p@x", []),
+        ("url", "a" * 200 + "://" + "u" * 300 + ":" + "p" * 500 + "@h", [(0, 1005)]),
+        ("url", "ftp://a:b@c://d:e@", [(0, 10), (10, 18)]),
+    ],
+)
+def test_each_further_rule(rule, text, spans):
+    only = tuple(r for r in RULES if r.name == rule)
+    assert [(start, end) for _, start, end in find_secrets(text, only)] == spans
+
+
+def test_long_runs_without_a_match_are_read_once():
+    text = "a" * 200_000 + " ://" + "u:" * 50_000
+    assert find_secrets(text, tuple(r for r in RULES if r.name == "url")) == []
+
+
+def test_a_second_scan_of_a_table_adds_only_what_is_new(spark, odd_docs, odd_rows, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    base = tuple(r for r in RULES if r.name in ("assign", "access", "hex"))
+    blobs = len({text or "" for _, text, *_ in odd_rows})
+    scan_unseen(odd_docs, ledger, base)
+    spans = {r.doc_id: r.spans for r in secret_digest(odd_docs, ledger).collect()}
+    scanned = Counter(rules for _, rules in {(r.blob, tuple(r.rules)) for r in read_ledger(spark, ledger).collect()})
+    assert scanned == {tuple(r.id for r in base): blobs, tuple(r.id for r in RULES if r not in base): blobs}
+    for doc_id, text, *_ in odd_rows:
+        assert spans[doc_id] == ",".join(f"{rule.partition('@')[0]}:{start}:{end}" for rule, start, end in find_secrets(text or ""))
+
+
 def test_redacted_keeps_rows_and_columns(spark, odd_docs, odd_rows, tmp_path):
     rows = redacted(odd_docs, str(tmp_path / "ledger"))
     assert rows.columns == odd_docs.columns
     texts = {r.doc_id: r.text for r in rows.collect()}
-    assert texts[31] == "a [secret]\" and [secret] [secret] password:short"[:0] + texts[31] and "AKIA" not in texts[31] and "abcdef123" not in texts[31]
+    # The quote after the value belongs to no match; a password of five letters is none.
+    assert texts[31] == 'a [secret]" and [secret] [secret] password:short'
     assert all(texts[i] == t for i, t, *_ in odd_rows if i != 31)
     assert rows.count() == len(odd_rows)
 
@@ -282,3 +337,31 @@ def test_language_of_held_out_texts(spark, no_docs):
     assert got[902].lang_pred == "en" and all(0 <= r.score <= 1 for r in got.values()) and not got[None].held_out
     assert languages(no_docs).count() == 0
     assert identify(docs, None).select("lang_pred").distinct().first()[0] == "und"
+
+
+def test_every_letter_of_a_long_run_counts(spark):
+    rng = random.Random(4)
+    chinese = lambda n: "".join(chr(0x4E00 + rng.randrange(300)) for _ in range(n))
+    assert [len(w) for w in words_of("x" * 95 + " ab")] == [40, 40, 15, 2]
+    rows = [(i, chinese(300) if i % 2 else t, "zh" if i % 2 else "en") for i, (_, t) in enumerate(x for x in _texts(400, 5) if x[0] == "en")]
+    odd = [(1000, chinese(2000) + " the thing", None), (1001, chinese(40) + " " + "thing " * 400, None), (1002, "wh" * 40_000, None)]
+    docs = spark.createDataFrame(rows + odd + odd, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in languages(docs).collect()}
+    assert got[1000][0] == "zh" and got[1000][1] > 0.95
+    assert got[1001][0] == "en" and got[1002][0] == "en"
+
+
+def test_the_sample_is_of_different_texts_and_of_all_languages(spark, monkeypatch):
+    from assayer.llm import language
+
+    taken = []
+    monkeypatch.setattr(language, "fit", lambda texts, labels: taken.append(Counter(labels)) or "model")
+    texts = _texts(300, 6)
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(texts)]
+    rows += [(10_000 + i, "one hot text", "en") for i in range(500)]
+    rows += [(20_000 + i, f"very long {i} " * 2_000, "xx") for i in range(9)]
+    usable = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    assert language.train(docs, per_language=20) == "model" and language.train(docs.limit(0)) is None
+    different = {lang: len({t for _, t, other in usable if other == lang}) for lang in ("en", "de", "fr", "xx")}
+    assert taken == [Counter({lang: min(20, n) for lang, n in different.items()})]
