@@ -1,24 +1,27 @@
-"""Near-duplicates among embeddings: exact within groups and clusters, which in large groups sorted passes find.
-
-Equal vectors of a label are one vector with a multiplicity. A label up to a certain size is compared whole. In a
-larger one, passes of random hyperplanes first find clusters: each orders the vectors lexicographically by the
-concatenated bits and cuts the order into blocks; a vector is compared with all of its own and the neighbouring blocks,
-and links of all passes join clusters. A cluster is then compared whole, in double precision like everything else.
-
-Labels and clusters of any size are cut into tiles of at most two parts of ``PART`` vectors. No pair is written out: a
-tile gives sums and the edges of a spanning forest.
-
-A pair at the threshold stays together over one bit with a probability that follows from the threshold and the vector's
-distance from the mean of its group, about which hyperplanes are drawn, and meets when the bits that tell blocks apart
-agree. Both are measured for all vectors over a first number of passes. They give the number of passes at which the
-mean chance that such a pair meets in none is at most ``miss``. Where that costs more than comparing all pairs of the
-label, these are compared instead.
+"""Near-duplicates among embeddings: sorted passes find clusters in every label, which are then compared exactly.
+
+Equal vectors of a label are one vector with a multiplicity. Each pass hashes a vector to the signs of random projections,
+orders the vectors of a label lexicographically by the concatenated bits and cuts the order into blocks; a vector is
+compared with all of its own and the neighbouring blocks, in half precision and with a slack that covers its rounding.
+Links of all passes join clusters. Each cluster is then verified as a whole in double precision: its links, and the
+components they make, are what the result holds.
+
+Clusters of any size are cut into tiles of at most two parts of ``PART`` vectors, so a cluster of n vectors costs n^2
+comparisons over n / PART tasks. No pair is written out: a tile gives sums and the edges of a spanning forest.
+
+Passes of even number draw hyperplanes about the mean of the label, which tells vectors apart that share a direction; odd
+ones draw them through the origin, where a pair at the threshold stays together over one bit with a fixed probability
+however near the mean it lies. A pair meets when the bits that tell blocks apart agree. How many these are is measured for
+all vectors over a first number of passes; it gives the number of passes a label needs until the mean chance that a pair at
+the threshold meets in none is at most ``miss``. A label within two neighbouring blocks needs one. There is no other path:
+a label whose vectors the bits hardly tell apart takes more passes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.llm.common import arrow_map, reachable, written
+from assayer.llm.common import arrow_map, written
 from assayer.llm.components import components, local_roots
 from assayer.llm.ngram_join import over_runs, tiles
 
@@ -34,8 +37,10 @@ from assayer.llm.ngram_join import over_runs, tiles
 BITS = 48
 #: Vectors of a block.
 BLOCK = 512
-#: Passes at least.
+#: Passes over which the bits that part blocks are measured, at least.
 LEAST_PASSES = 10
+#: By how much the cosine of two unit vectors in half precision may be too low.
+SLACK = 2.0**-10 + 1e-4
 #: Vectors of one side of a tile, and those compared at a time.
 PART, ROWS_AT_ONCE = 4096, 512
 SEED = 20_240_501
@@ -47,9 +52,10 @@ def passes_for(largest: int, threshold: float, miss: float, block: int = BLOCK)
     return LEAST_PASSES if meet >= 1 else max(LEAST_PASSES, math.ceil(math.log(miss) / math.log(1 - meet)))
 
 
-def planes(dim: int, passes: int) -> np.ndarray:
-    """The hyperplanes of all passes for one dimension; the same in every task."""
-    return np.random.default_rng([SEED, dim]).standard_normal((dim, passes * BITS))
+@lru_cache(maxsize=64)
+def planes(dim: int, number: int) -> np.ndarray:
+    """The hyperplanes of one pass for one dimension; the same in every task."""
+    return np.random.default_rng([SEED, dim, number]).standard_normal((dim, BITS))
 
 
 def _units(rows: DataFrame) -> DataFrame:
@@ -104,11 +110,11 @@ def _means(large: DataFrame) -> DataFrame:
     return written(sums.groupBy("grp").applyInPandas(mean, "grp bigint, mean binary"), "vectors-means")
 
 
-def _hashed(large: DataFrame, means: DataFrame, passes: int, threshold: float) -> DataFrame:
-    """``tid, grp, vector, stay, keys``: the bits of each pass, about the group's mean.
+def _hashed(named: DataFrame, means: DataFrame, passes: int, threshold: float) -> DataFrame:
+    """``tid, grp, half, stay, keys``: the vector in half precision and its bits in each pass.
 
-    ``stay`` is the least probability that a bit does not part the vector from one at the threshold: about the mean,
-    at a distance r from it, they make an angle of asin(d / r) at most, and any angle if d >= r.
+    ``stay`` is the least probability that a bit about the group's mean does not part the vector from one at the
+    threshold: at a distance r from the mean, they make an angle of asin(d / r) at most, and any angle if d >= r.
     """
     weights = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
     apart = math.sqrt(max(0.0, 2 - 2 * threshold))
@@ -118,21 +124,22 @@ def _hashed(large: DataFrame, means: DataFrame, passes: int, threshold: float) -
         for dim in np.unique(dims).tolist():
             some = batch.filter(pa.array(dims == dim))
             x, mean = (np.frombuffer(b"".join(some.column(k).to_pylist()), dtype=float).reshape(-1, dim) for k in (3, 4))
-            x = x - mean
-            r = np.sqrt((x * x).sum(axis=1))
+            centred = x - mean
+            r = np.sqrt((centred * centred).sum(axis=1))
             stay = np.where(r > apart, 1 - np.arcsin(np.minimum(1, apart / np.maximum(r, 1e-300))) / math.pi, 0.0)
-            keys = (x @ planes(dim, passes) > 0).reshape(len(x), passes, BITS) @ weights
+            keys = np.empty((len(x), passes), dtype=np.int64)
+            for number in range(passes):
+                keys[:, number] = ((x if number % 2 else centred) @ planes(dim, number) > 0) @ weights
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * passes, pa.int32()), pa.array(keys.ravel()))
-            columns = [some.column(0), some.column(1), some.column(3), pa.array(stay), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["tid", "grp", "vector", "stay", "keys"])
+            halves = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), halves, pa.array(stay), lists], names=["tid", "grp", "half", "stay", "keys"])
 
-    centred = large.join(means, "grp").select("tid", "grp", "dim", "vector", "mean")
-    return written(arrow_map(centred, each, "tid bigint, grp bigint, vector binary, stay double, keys array<bigint>"), "vectors-hashed")
+    beside = named.join(means, "grp").select("tid", "grp", "dim", "vector", "mean")
+    return written(arrow_map(beside, each, "tid bigint, grp bigint, half binary, stay double, keys array<bigint>"), "vectors-hashed")
 
 
-def _blocks(hashed: DataFrame, block: int) -> DataFrame:
+def _blocks(entries: DataFrame, block: int) -> DataFrame:
     """``tid, grp, pass, key, _block``: the block of each vector in every pass, in one order of (pass, group, key)."""
-    entries = hashed.select("tid", "grp", F.posexplode("keys").alias("pass", "key"))
     order = ["pass", "grp", "key", "tid"]
     # Ordered by range over all columns, so that equal keys do not meet in one task; the id is the place in the task.
     sorted_rows = entries.repartitionByRange(*order).sortWithinPartitions(*order).select(*order, F.monotonically_increasing_id().alias("_id"))
@@ -144,11 +151,12 @@ def _blocks(hashed: DataFrame, block: int) -> DataFrame:
     return written(placed.join(F.broadcast(starts), "_task").select(*order, F.floor(place / block).alias("_block")), "vectors-blocks")
 
 
-def _passes_needed(hashed: DataFrame, blocks: DataFrame, sizes: DataFrame, miss: float, block: int) -> DataFrame:
-    """``grp, passes``: the passes a group needs, from the bits that part its blocks; null where comparing it whole costs less.
+def _passes_needed(hashed: DataFrame, blocks: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """``grp, passes``: the passes a group needs, from the bits that part its blocks.
 
     Vectors that agree with one in more bits than the nearest keys two blocks away do are in its own or a neighbouring
-    block. These bits are taken from all vectors in all passes of ``blocks``.
+    block. These bits are taken from all vectors in all passes of ``blocks``. Keys equal over more than a window are those
+    of a dense cluster, whose vectors link from window to window.
     """
     ends = written(blocks.groupBy("pass", "grp", "_block").agg(F.min("key").alias("least"), F.max("key").alias("most")), "vectors-ends")
     at = ["pass", "grp", "_block"]
@@ -158,72 +166,81 @@ def _passes_needed(hashed: DataFrame, blocks: DataFrame, sizes: DataFrame, miss:
     def beyond(other: str) -> Column:
         differ = F.col("key").bitwiseXOR(F.col(other))
         agree = F.when(differ == 0, F.lit(BITS)).otherwise(F.lit(BITS) - F.length(F.bin(differ)))
-        return F.coalesce(agree + 1, F.lit(0))
+        return F.coalesce(F.least(agree + 1, F.lit(BITS)), F.lit(0))
 
-    bits = seen.select("tid", F.greatest(beyond("before"), beyond("after")).alias("bits")).join(hashed.select("tid", "grp", "stay"), "tid")
-    chance = F.when(F.col("bits") > BITS, F.lit(0.0)).otherwise(F.pow("stay", F.col("bits")))
+    bits = seen.select("tid", "pass", F.greatest(beyond("before"), beyond("after")).alias("bits")).join(hashed.select("tid", "grp", "stay"), "tid")
+    through_origin = 1 - math.acos(min(1.0, threshold)) / math.pi
+    chance = F.pow(F.when(F.col("pass") % 2 == 0, F.col("stay")).otherwise(F.lit(through_origin)), F.col("bits"))
     meet = bits.groupBy("tid", "grp").agg(F.avg(chance).alias("meet"))
-    # Chances are rounded down to a quarter of a power of two.
-    coarse = F.when(F.col("meet") > 1e-12, F.ceil(F.log2("meet") * -4)).otherwise(F.lit(200)).cast("int")
-    counts = meet.groupBy("grp", coarse.alias("coarse")).agg(F.count(F.lit(1)).alias("n")).join(sizes.select("grp", "_n"), "grp")
+    # Chances are rounded down to a quarter of a power of two; with passes through the origin none is far below 1e-3.
+    coarse = F.ceil(F.log2("meet") * -4).cast("int")
+    counts = written(meet.groupBy("grp", coarse.alias("coarse")).agg(F.count(F.lit(1)).alias("n")), "vectors-chances")
+    worst = counts.groupBy("grp").agg(F.max("coarse").alias("_worst"))
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        chances = np.where(group["coarse"] >= 200, 0.0, 2.0 ** (group["coarse"] / -4))
+        chances = 2.0 ** (group["coarse"].to_numpy() / -4)
         share = (group["n"] / group["n"].sum()).to_numpy()
         lost = lambda passes: (share * (1 - chances) ** passes).sum() > miss
-        low, high = 0, int(group["_n"].iloc[0] // (3 * block))
-        if lost(high):
-            return pd.DataFrame({"grp": group["grp"].iloc[:1], "passes": pd.array([None], dtype="Int64")})
+        low, high = 0, 1
+        while lost(high):
+            low, high = high, 2 * high
         while high - low > 1:
             low, high = ((low + high) // 2, high) if lost((low + high) // 2) else (low, (low + high) // 2)
-        return pd.DataFrame({"grp": group["grp"].iloc[:1], "passes": pd.array([max(LEAST_PASSES, high)], dtype="Int64")})
+        return pd.DataFrame({"grp": group["grp"].iloc[:1], "passes": [high]})
 
-    return written(counts.groupBy("grp").applyInPandas(solve, "grp bigint, passes bigint"), "vectors-passes")
+    one = worst.filter("_worst = 0").select("grp", F.lit(1).cast("bigint").alias("passes"))
+    several = counts.join(worst.filter("_worst > 0").select("grp"), "grp").groupBy("grp").applyInPandas(solve, "grp bigint, passes bigint")
+    return written(one.unionByName(several), "vectors-passes")
 
 
-def _forest(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """``u, v``: a spanning forest of the links among a block (``home``) and between it and the next."""
-    group = group.sort_values(["home", "tid"], ascending=[False, True])
-    n, homes = len(group), int(group["home"].sum())
-    tids, groups = group["tid"].to_numpy(np.int64), group["grp"].to_numpy(np.int64)
-    left, right = [], []
-    for one in np.unique(groups[:homes]).tolist():
-        mine = np.flatnonzero(groups == one)
-        own = int((mine < homes).sum())
-        x = np.frombuffer(b"".join(group["vector"].iloc[mine]), dtype=float).reshape(len(mine), -1)
-        a, b = np.nonzero(np.triu(x[:own] @ x.T >= threshold, 1))
-        left.append(mine[a])
-        right.append(mine[b])
-    roots = local_roots(n, np.concatenate(left), np.concatenate(right)) if left else np.arange(n)
-    moved = roots != np.arange(n)
-    return pd.DataFrame({"u": tids[moved], "v": tids[roots[moved]]})
+def _windows(dealt: DataFrame, threshold: float) -> DataFrame:
+    """``u, v``: a spanning forest of the links among a block (``home``) and between it and the next, in half precision."""
 
+    def work(table: pa.Table, runs: np.ndarray) -> pa.RecordBatch:
+        tids, groups, home = (table.column(c).to_numpy(zero_copy_only=False) for c in ("tid", "grp", "home"))
+        raw = table.column("half").to_pylist()
+        out: list[list[np.ndarray]] = [[], []]
+        edges = np.flatnonzero(np.diff(runs)) + 1
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(runs)], strict=True):
+            # A block may hold the end of one group and the start of the next; only groups with a vector at home count.
+            for one in np.unique(groups[lo:hi][home[lo:hi]]).tolist():
+                mine = lo + np.flatnonzero(groups[lo:hi] == one)
+                mine = np.concatenate((mine[home[mine]], mine[~home[mine]]))
+                if len(mine) < 2:
+                    continue
+                x = np.frombuffer(b"".join(raw[i] for i in mine.tolist()), dtype=np.float16).reshape(len(mine), -1).astype(np.float32)
+                a, b = np.nonzero(np.triu(x[: int(home[mine].sum())] @ x.T >= threshold - SLACK, 1))
+                roots = local_roots(len(mine), a, b)
+                moved = np.flatnonzero(roots != np.arange(len(mine)))
+                for ends, local in zip(out, (moved, roots[moved]), strict=True):
+                    ends.append(tids[mine[local]])
+        columns = [pa.array(np.concatenate(v) if v else np.zeros(0, dtype=np.int64), pa.int64()) for v in out]
+        return pa.RecordBatch.from_arrays(columns, names=["u", "v"])
 
-def _candidates(large: DataFrame, sizes: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
-    """``tid, cluster``: vectors of large groups (``tid, grp, dim, vector``) joined by the links of all passes.
+    return over_runs(dealt, "pass", work, "u bigint, v bigint")
 
-    A group that needs more passes than comparing all its pairs would cost is one cluster.
-    """
-    first = passes_for(sizes.agg(F.max("_n")).first()[0], threshold, miss, block)
-    means = _means(large)
-    hashed = _hashed(large, means, first, threshold)
-    blocks = _blocks(hashed, block)
-    needed = _passes_needed(hashed, blocks, sizes, miss, block)
-    whole = large.join(needed.filter(F.col("passes").isNull()).select("grp"), "grp").select("tid", F.col("grp").alias("cluster"))
+
+def sorted_passes(named: DataFrame, largest: int, threshold: float, miss: float, block: int) -> DataFrame:
+    """``tid, cluster``: vectors (``tid, grp, dim, vector``) that links found in the passes join; others are left out."""
+    first = passes_for(largest, threshold, miss, block)
+    means = _means(named)
+    hashed = _hashed(named, means, first, threshold)
+    keyed = lambda: hashed.select("tid", "grp", F.posexplode("keys").alias("pass", "key"))
+    blocks = _blocks(keyed(), block)
+    needed = _passes_needed(hashed, blocks, threshold, miss)
+    wanted = F.col("pass") < F.col("passes")
     most = needed.agg(F.max("passes")).first()[0]
-    if most is None:
-        return whole
     if most > first:
-        hashed = _hashed(large.join(needed.filter(F.col("passes").isNotNull()).select("grp"), "grp"), means, most, threshold)
-        blocks = _blocks(hashed, block)
-    entries = blocks.join(needed, "grp").filter(F.col("pass") < F.col("passes")).select("tid", "pass", "_block").join(hashed.select("tid", "grp", "vector"), "tid")
-    # A vector is at home in its block's task and a guest in that of the block before.
-    tasks = F.array(F.struct(F.col("_block").alias("task"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("task"), F.lit(False).alias("home")))
-    dealt = entries.select("tid", "grp", "vector", "pass", F.inline(tasks))
-    reachable(large.sparkSession)
-    # Blocks number all passes in one row, so a task may hold the end of one pass and the start of the next.
-    found = written(dealt.groupBy("pass", "task").applyInPandas(lambda group: _forest(group, threshold), "u bigint, v bigint"), "vectors-forest")
-    return whole.unionByName(components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster")))
+        hashed = _hashed(named, means, most, threshold)
+        blocks = _blocks(keyed().join(needed, "grp").filter(wanted).select("tid", "grp", "pass", "key"), block)
+    # A vector is at home in its block's task and a guest in that of the block before. Its places are gathered first, so
+    # that the vector itself is joined once.
+    places = blocks.join(needed, "grp").filter(wanted).groupBy("tid").agg(F.collect_list(F.struct("pass", "_block")).alias("_places"))
+    spread = hashed.select("tid", "grp", "half").join(places, "tid").select("tid", "grp", "half", F.inline("_places"))
+    tasks = F.array(F.struct(F.col("_block").alias("low"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("low"), F.lit(False).alias("home")))
+    dealt = spread.select("tid", "grp", "half", "pass", F.inline(tasks)).withColumn("high", F.col("low"))
+    found = written(_windows(dealt, threshold).distinct(), "vectors-forest")
+    return components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
 
 
 def _exact(members: DataFrame, threshold: float) -> DataFrame:
@@ -297,12 +314,12 @@ def near_duplicate_vectors(
     distinct = written(distinct, "vectors-distinct")
     groups = written(distinct.groupBy("label", "dim").agg(F.min("tid").alias("grp"), F.count(F.lit(1)).alias("_n")), "vectors-groups")
     named = distinct.join(groups, ["label", "dim"]).select("tid", "grp", "dim", "vector", "copies", "_n")
-    # Up to here, comparing all pairs costs less than the least number of passes.
-    few = 3 * block * LEAST_PASSES
-    clustered = named.filter(F.col("_n") <= few).select("tid", F.col("grp").alias("cluster"), "vector", "copies")
-    if not (large := groups.filter(F.col("_n") > few)).isEmpty():
-        joined = _candidates(named.filter(F.col("_n") > few), large, threshold, miss, block)
-        clustered = clustered.unionByName(distinct.select("tid", "vector", "copies").join(joined, "tid").select("tid", "cluster", "vector", "copies"))
+    several = named.filter(F.col("_n") > 1)
+    if (largest := groups.agg(F.max("_n")).first()[0] or 0) > 1:
+        clusters = sorted_passes(several, largest, threshold, miss, block)
+        clustered = distinct.select("tid", "vector", "copies").join(clusters, "tid").select("tid", "cluster", "vector", "copies")
+    else:
+        clustered = distinct.select("tid", F.col("tid").alias("cluster"), "vector", "copies").limit(0)
     clustered = written(clustered, "vectors-clusters")
     sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     members = tiles(clustered.join(sizes, "cluster"), F.col("_n"), PART).drop("_n")

