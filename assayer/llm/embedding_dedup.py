@@ -11,10 +11,11 @@ comparisons over n / PART tasks. No pair is written out: a tile gives sums and t
 
 Passes of even number draw hyperplanes about the mean of the label, which tells vectors apart that share a direction; odd
 ones draw them through the origin, where a pair at the threshold stays together over one bit with a fixed probability
-however near the mean it lies. A pair meets when the bits that tell blocks apart agree. How many these are is measured for
-all vectors over a first number of passes; it gives the number of passes a label needs until the mean chance that a pair at
-the threshold meets in none is at most ``miss``. A label within two neighbouring blocks needs one. There is no other path:
-a label whose vectors the bits hardly tell apart takes more passes.
+however near the mean it lies. A pair meets when the bits that tell blocks apart agree. How many these are is measured over
+the first passes, for all vectors but those in clusters already wider than a block; it gives the number of passes a label
+needs until the mean chance that a pair at the threshold meets in none is at most ``miss``. A vector of a wide cluster
+meets others of it in every pass, and one outside as often as that one's own, less crowded, windows allow. There is no other
+path: a label whose vectors the bits hardly tell apart takes more passes.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from assayer.llm.ngram_join import over_runs, tiles
 BITS = 48
 #: Vectors of a block.
 BLOCK = 512
-#: Passes over which the bits that part blocks are measured, at least.
-LEAST_PASSES = 10
+#: Passes that every label takes, and over which the bits that part blocks are measured.
+FIRST_PASSES = 4
 #: By how much the cosine of two unit vectors in half precision may be too low.
 SLACK = 2.0**-10 + 1e-4
 #: Vectors of one side of a tile, and those compared at a time.
@@ -46,12 +47,6 @@ PART, ROWS_AT_ONCE = 4096, 512
 SEED = 20_240_501
 
 
-def passes_for(largest: int, threshold: float, miss: float, block: int = BLOCK) -> int:
-    bits = min(BITS, max(0.0, math.log2(max(1, largest) / block)) + 1)
-    meet = (1 - math.acos(min(1.0, threshold)) / math.pi) ** bits
-    return LEAST_PASSES if meet >= 1 else max(LEAST_PASSES, math.ceil(math.log(miss) / math.log(1 - meet)))
-
-
 @lru_cache(maxsize=64)
 def planes(dim: int, number: int) -> np.ndarray:
     """The hyperplanes of one pass for one dimension; the same in every task."""
@@ -110,8 +105,8 @@ def _means(large: DataFrame) -> DataFrame:
     return written(sums.groupBy("grp").applyInPandas(mean, "grp bigint, mean binary"), "vectors-means")
 
 
-def _hashed(named: DataFrame, means: DataFrame, passes: int, threshold: float) -> DataFrame:
-    """``tid, grp, half, stay, keys``: the vector in half precision and its bits in each pass.
+def _hashed(named: DataFrame, means: DataFrame, passes: range, threshold: float) -> DataFrame:
+    """``tid, grp, half, stay, keys``: the vector in half precision and its bits in each of the passes.
 
     ``stay`` is the least probability that a bit about the group's mean does not part the vector from one at the
     threshold: at a distance r from the mean, they make an angle of asin(d / r) at most, and any angle if d >= r.
@@ -127,10 +122,10 @@ def _hashed(named: DataFrame, means: DataFrame, passes: int, threshold: float) -
             centred = x - mean
             r = np.sqrt((centred * centred).sum(axis=1))
             stay = np.where(r > apart, 1 - np.arcsin(np.minimum(1, apart / np.maximum(r, 1e-300))) / math.pi, 0.0)
-            keys = np.empty((len(x), passes), dtype=np.int64)
-            for number in range(passes):
-                keys[:, number] = ((x if number % 2 else centred) @ planes(dim, number) > 0) @ weights
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * passes, pa.int32()), pa.array(keys.ravel()))
+            keys = np.empty((len(x), len(passes)), dtype=np.int64)
+            for at, number in enumerate(passes):
+                keys[:, at] = ((x if number % 2 else centred) @ planes(dim, number) > 0) @ weights
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(passes), pa.int32()), pa.array(keys.ravel()))
             halves = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), halves, pa.array(stay), lists], names=["tid", "grp", "half", "stay", "keys"])
 
@@ -151,12 +146,11 @@ def _blocks(entries: DataFrame, block: int) -> DataFrame:
     return written(placed.join(F.broadcast(starts), "_task").select(*order, F.floor(place / block).alias("_block")), "vectors-blocks")
 
 
-def _passes_needed(hashed: DataFrame, blocks: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """``grp, passes``: the passes a group needs, from the bits that part its blocks.
+def _passes_needed(hashed: DataFrame, blocks: DataFrame, wide: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """``grp, passes``: the passes a group needs, from the bits that part its blocks; vectors in ``wide`` (``tid``) do not count.
 
     Vectors that agree with one in more bits than the nearest keys two blocks away do are in its own or a neighbouring
-    block. These bits are taken from all vectors in all passes of ``blocks``. Keys equal over more than a window are those
-    of a dense cluster, whose vectors link from window to window.
+    block. These bits are taken from all these vectors in all passes of ``blocks``.
     """
     ends = written(blocks.groupBy("pass", "grp", "_block").agg(F.min("key").alias("least"), F.max("key").alias("most")), "vectors-ends")
     at = ["pass", "grp", "_block"]
@@ -166,9 +160,11 @@ def _passes_needed(hashed: DataFrame, blocks: DataFrame, threshold: float, miss:
     def beyond(other: str) -> Column:
         differ = F.col("key").bitwiseXOR(F.col(other))
         agree = F.when(differ == 0, F.lit(BITS)).otherwise(F.lit(BITS) - F.length(F.bin(differ)))
-        return F.coalesce(F.least(agree + 1, F.lit(BITS)), F.lit(0))
+        # ``least`` alone would take the missing key of a group's end for full agreement.
+        return F.when(F.col(other).isNull(), F.lit(0)).otherwise(F.least(agree + 1, F.lit(BITS)))
 
     bits = seen.select("tid", "pass", F.greatest(beyond("before"), beyond("after")).alias("bits")).join(hashed.select("tid", "grp", "stay"), "tid")
+    bits = bits.join(wide, "tid", "left_anti")
     through_origin = 1 - math.acos(min(1.0, threshold)) / math.pi
     chance = F.pow(F.when(F.col("pass") % 2 == 0, F.col("stay")).otherwise(F.lit(through_origin)), F.col("bits"))
     meet = bits.groupBy("tid", "grp").agg(F.avg(chance).alias("meet"))
@@ -220,27 +216,39 @@ def _windows(dealt: DataFrame, threshold: float) -> DataFrame:
     return over_runs(dealt, "pass", work, "u bigint, v bigint")
 
 
-def sorted_passes(named: DataFrame, largest: int, threshold: float, miss: float, block: int) -> DataFrame:
-    """``tid, cluster``: vectors (``tid, grp, dim, vector``) that links found in the passes join; others are left out."""
-    first = passes_for(largest, threshold, miss, block)
-    means = _means(named)
-    hashed = _hashed(named, means, first, threshold)
-    keyed = lambda: hashed.select("tid", "grp", F.posexplode("keys").alias("pass", "key"))
-    blocks = _blocks(keyed(), block)
-    needed = _passes_needed(hashed, blocks, threshold, miss)
-    wanted = F.col("pass") < F.col("passes")
-    most = needed.agg(F.max("passes")).first()[0]
-    if most > first:
-        hashed = _hashed(named, means, most, threshold)
-        blocks = _blocks(keyed().join(needed, "grp").filter(wanted).select("tid", "grp", "pass", "key"), block)
+def _forest_of(hashed: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
+    """``u, v``: a spanning forest of the links that the windows of these passes find."""
     # A vector is at home in its block's task and a guest in that of the block before. Its places are gathered first, so
     # that the vector itself is joined once.
-    places = blocks.join(needed, "grp").filter(wanted).groupBy("tid").agg(F.collect_list(F.struct("pass", "_block")).alias("_places"))
+    places = blocks.groupBy("tid").agg(F.collect_list(F.struct("pass", "_block")).alias("_places"))
     spread = hashed.select("tid", "grp", "half").join(places, "tid").select("tid", "grp", "half", F.inline("_places"))
     tasks = F.array(F.struct(F.col("_block").alias("low"), F.lit(True).alias("home")), F.struct((F.col("_block") - 1).alias("low"), F.lit(False).alias("home")))
     dealt = spread.select("tid", "grp", "half", "pass", F.inline(tasks)).withColumn("high", F.col("low"))
-    found = written(_windows(dealt, threshold).distinct(), "vectors-forest")
-    return components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
+    return written(_windows(dealt, threshold), "vectors-forest")
+
+
+def _keyed(hashed: DataFrame, passes: range) -> DataFrame:
+    return hashed.select("tid", "grp", F.posexplode("keys").alias("pass", "key")).withColumn("pass", F.col("pass") + passes.start)
+
+
+def sorted_passes(named: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+    """``tid, cluster``: vectors (``tid, grp, dim, vector``) that links found in the passes join; others are left out."""
+    passes = range(FIRST_PASSES)
+    means = _means(named)
+    hashed = _hashed(named, means, passes, threshold)
+    blocks = _blocks(_keyed(hashed, passes), block)
+    found = _forest_of(hashed, blocks, threshold)
+    clusters = written(components(found), "vectors-first")
+    wide = clusters.join(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block), "root").select(F.col("node").alias("tid"))
+    needed = _passes_needed(hashed, blocks, wide, threshold, miss).filter(F.col("passes") > FIRST_PASSES)
+    if most := needed.agg(F.max("passes")).first()[0]:
+        passes = range(FIRST_PASSES, most)
+        hashed = _hashed(named.join(needed.select("grp"), "grp"), means, passes, threshold)
+        keyed = _keyed(hashed, passes).join(needed, "grp").filter(F.col("pass") < F.col("passes")).select("tid", "grp", "pass", "key")
+        # Later passes join the clusters of the first.
+        later = _forest_of(hashed, _blocks(keyed, block), threshold)
+        clusters = components(later.unionByName(clusters.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    return clusters.select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
 
 
 def _exact(members: DataFrame, threshold: float) -> DataFrame:
@@ -315,12 +323,8 @@ def near_duplicate_vectors(
     groups = written(distinct.groupBy("label", "dim").agg(F.min("tid").alias("grp"), F.count(F.lit(1)).alias("_n")), "vectors-groups")
     named = distinct.join(groups, ["label", "dim"]).select("tid", "grp", "dim", "vector", "copies", "_n")
     several = named.filter(F.col("_n") > 1)
-    if (largest := groups.agg(F.max("_n")).first()[0] or 0) > 1:
-        clusters = sorted_passes(several, largest, threshold, miss, block)
-        clustered = distinct.select("tid", "vector", "copies").join(clusters, "tid").select("tid", "cluster", "vector", "copies")
-    else:
-        clustered = distinct.select("tid", F.col("tid").alias("cluster"), "vector", "copies").limit(0)
-    clustered = written(clustered, "vectors-clusters")
+    clusters = sorted_passes(several, threshold, miss, block)
+    clustered = written(distinct.select("tid", "vector", "copies").join(clusters, "tid").select("tid", "cluster", "vector", "copies"), "vectors-clusters")
     sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     members = tiles(clustered.join(sizes, "cluster"), F.col("_n"), PART).drop("_n")
     found = written(_exact(members, threshold), "vectors-links")

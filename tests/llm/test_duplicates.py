@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm import embedding_dedup, ngram_join
 from assayer.llm.components import components, local_roots
-from assayer.llm.embedding_dedup import near_duplicate_vectors, passes_for, sorted_passes
+from assayer.llm.embedding_dedup import near_duplicate_vectors, sorted_passes
 from assayer.llm.ngram_join import first_of_each, least_matches, near_duplicates, shared_grams, words_of
 
 
@@ -131,7 +131,7 @@ def test_passes_alone_find_the_links_of_a_label_ruled_by_one_topic(spark):
     near = np.triu(x @ x.T >= 0.93, 1)
     rows = [(i, 7, 24, v.tobytes()) for i, v in enumerate(x)]
     named = spark.createDataFrame(rows, "tid bigint, grp bigint, dim int, vector binary").repartition(3)
-    clusters = {r.tid: r.cluster for r in sorted_passes(named, len(rows), 0.93, 1e-4, 16).collect()}
+    clusters = {r.tid: r.cluster for r in sorted_passes(named, 0.93, 1e-4, 16).collect()}
     assert near.sum() > 90
     found = [a in clusters and clusters[a] == clusters.get(b) for a, b in zip(*(v.tolist() for v in np.nonzero(near)), strict=True)]
     assert np.mean(found) > 0.99
@@ -141,10 +141,6 @@ def test_vectors_of_nothing(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 
 
-def test_more_vectors_get_more_passes():
-    assert passes_for(10, 0.93, 1e-4) <= passes_for(10**5, 0.93, 1e-4) < passes_for(10**9, 0.93, 1e-4)
-
-
 # N-grams
 
 
