@@ -110,6 +110,26 @@ def _(t: Tables) -> DataFrame:
     return _with_path_flag(scan_trips_parquet(t.spark, *paths))
 
 
+_TYPED = "VendorID = '1'"
+_MIXED = f"""SELECT * REPLACE (
+  CASE WHEN {_TYPED} THEN passenger_count || '.0' ELSE passenger_count END AS passenger_count,
+  CASE WHEN {_TYPED} THEN {_TIME_SQL.format('tpep_pickup_datetime').removesuffix(' AS tpep_pickup_datetime')} ELSE tpep_pickup_datetime END AS tpep_pickup_datetime),
+  true AS has_source_path FROM raw"""
+
+
+@query("scan_mixed_folder", _MIXED)
+def _(t: Tables) -> DataFrame:
+    """One folder whose files differ in physical types and in the spelling of a column."""
+    path = scratch_dir(t.spark, "mixed-folder")
+    trips = t.raw.select(*TRIP_COLUMNS)
+    typed = F.coalesce(F.expr(_TYPED), F.lit(False))
+    pickup = F.expr("cast(try_to_timestamp(tpep_pickup_datetime, 'yyyy-MM-dd HH:mm:ss') as timestamp_ntz)")
+    doubles = trips.filter(typed).withColumns({"passenger_count": F.col("passenger_count").cast("double"), "tpep_pickup_datetime": pickup})
+    doubles.withColumnRenamed("airport_fee", "Airport_fee").write.parquet(path)
+    trips.filter(~typed).withColumn("passenger_count", F.col("passenger_count").cast("int")).write.mode("append").parquet(path)
+    return _with_path_flag(scan_trips_parquet(t.spark, path))
+
+
 @query("scan_dataset", "SELECT event_id, value, CAST(year(ts) AS INTEGER) AS pickup_year, CAST(month(ts) AS INTEGER) AS pickup_month FROM events", chain=False)
 def _(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "dataset")

@@ -9,6 +9,7 @@ from assayer.sources.readers import (
     scan_trips_csv,
     scan_trips_parquet,
     scan_zones_csv,
+    schema_groups,
 )
 from assayer.sources.specs import SourceSpec, ensure_available, trip_source, zone_source
 from assayer.sources.storage import has_data, listed_bytes, path_exists
@@ -27,6 +28,7 @@ __all__ = [
     "scan_trips_csv",
     "scan_trips_parquet",
     "scan_zones_csv",
+    "schema_groups",
     "trip_source",
     "zone_source",
 ]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +20,7 @@ from assayer.contracts import (
 )
 from assayer.functions import to_text
 from assayer.sources.specs import SourceSpec
-from assayer.sources.storage import path_exists
+from assayer.sources.storage import path_exists, visible_files
 
 
 def _require_path(spark: SparkSession, path: str) -> str:
@@ -58,22 +60,49 @@ def all_to_text(df: DataFrame) -> DataFrame:
     return df.select([to_text(name).alias(name) for name in df.columns])
 
 
+#: Footers asked for at a time; each is read by a task of its own.
+FOOTERS_AT_ONCE = 16
+
+
+def schema_groups(spark: SparkSession, *paths: str) -> list[tuple[T.StructType, str | None, list[str]]]:
+    """The parquet files at the paths, grouped by physical schema and base directory: (schema, base, files).
+
+    Each footer is read once, in a task. Files of a group can be read in one scan; those of different groups may not agree
+    in the type or the spelling of a column, also within one folder.
+    """
+    files = [file for path in paths for file in visible_files(spark, _require_path(spark, path))]
+    if not files:
+        raise FileNotFoundError(f"no parquet file at {', '.join(paths)}")
+
+    def footer(file: tuple[str, str | None]) -> T.StructType:
+        return _based(spark, file[1]).parquet(file[0]).schema
+
+    groups: dict[tuple[str, str | None], tuple[T.StructType, str | None, list[str]]] = {}
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        for (file, base), schema in zip(files, pool.map(inheritable_thread_target(spark)(footer), files), strict=True):
+            # Only a directory that names partition columns matters to the reader.
+            base = base if base and "=" in file[len(base) :] else None
+            groups.setdefault((schema.simpleString(), base), (schema, base, []))[2].append(file)
+    return list(groups.values())
+
+
+def _based(spark: SparkSession, base: str | None) -> DataFrameReader:
+    return spark.read.option("basePath", base) if base else spark.read
+
+
 def scan_trips_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet trips as strings plus a fresh source path. Several paths are united by column name.
+    """Parquet trips as strings plus a fresh source path. Files of all paths are united by column name.
 
-    Each path keeps its own file schema, since monthly files differ in physical types.
+    Monthly files differ in physical types, so each file keeps its own schema; files that share one are one scan.
     """
-    return reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        [_scan_trips_path(spark, path) for path in paths],
-    )
+    scans = [_scan_group(_based(spark, base).schema(schema).parquet(*files), files[0]) for schema, base, files in schema_groups(spark, *paths)]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
 
 
-def _scan_trips_path(spark: SparkSession, path: str) -> DataFrame:
-    scan = spark.read.parquet(_require_path(spark, path))
+def _scan_group(scan: DataFrame, first: str) -> DataFrame:
     # The hidden metadata column must be taken before the first projection hides it.
     located = scan.withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
-    trips = require_columns(rename_drifted(located), TRIP_COLUMNS, f"trip parquet {path}")
+    trips = require_columns(rename_drifted(located), TRIP_COLUMNS, f"trip parquet {first}")
     ordered = [c for c in trips.columns if c != SOURCE_PATH] + [SOURCE_PATH]
     return all_to_text(trips.select(*[f"`{c}`" for c in ordered]))
 

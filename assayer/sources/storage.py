@@ -34,6 +34,21 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def visible_files(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+    """The visible files at or below ``path``, a glob allowed, each with the directory it was found from, if any."""
+    system, hadoop_path = _file_system(spark, path)
+    found = []
+    for top in system.globStatus(hadoop_path) or []:
+        base = top.getPath().toString()
+        files = system.listFiles(top.getPath(), True)
+        while files.hasNext():
+            file = files.next().getPath().toString()
+            below = file[len(base) :].strip("/").split("/") if top.isDirectory() else [file.rsplit("/", 1)[-1]]
+            if not any(name.startswith(".") or name.startswith("_") and "=" not in name for name in below):
+                found.append((file, base if top.isDirectory() else None))
+    return sorted(found)
+
+
 def listed_bytes(df: DataFrame) -> int:
     """Total size of the files a scan has listed; nothing is listed again."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -16,6 +16,7 @@ from assayer.sources import (
     scan_trips_csv,
     scan_trips_parquet,
     scan_zones_csv,
+    schema_groups,
     trip_source,
     zone_source,
 )
@@ -93,6 +94,43 @@ def test_parquet_files_of_different_types_unite(spark, trips_csv, tmp_path):
     assert df.filter("x IS NULL").count() == 5
 
 
+def test_files_of_one_folder_keep_their_types_and_share_scans_by_schema(spark, trips_csv, tmp_path):
+    folder = tmp_path / "mixed"
+    raw = scan_trips_csv(spark, trips_csv).drop(SOURCE_PATH)
+    variants = (
+        {"passenger_count": F.col("passenger_count").cast("int")},
+        {"passenger_count": F.col("passenger_count").cast("double")},
+        {"tpep_pickup_datetime": F.to_timestamp_ntz("tpep_pickup_datetime")},
+    )
+    for round_ in range(3):
+        for replaced in variants:
+            raw.withColumns(replaced).coalesce(1).write.mode("append").parquet(str(folder))
+    (folder / "_notes").mkdir()
+    (folder / "_notes" / "x.parquet").write_text("not parquet", encoding="utf-8")
+    assert sorted(len(files) for _, _, files in schema_groups(spark, str(folder))) == [3, 3, 3]
+    df = scan_trips_parquet(spark, str(folder))
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 3
+    assert df.count() == 45
+    counts = {r["passenger_count"]: r["count"] for r in df.groupBy("passenger_count").count().collect()}
+    # Text in the first and third variant: three files of ints, three of text, three of doubles.
+    assert counts == {"1": 12, "2": 6, "3": 6, "4": 6, "1.0": 6, "2.0": 3, "3.0": 3, "4.0": 3}
+    assert {r[0] for r in df.select("tpep_pickup_datetime").distinct().collect()} == {r[0] for r in raw.select("tpep_pickup_datetime").collect()}
+
+
+def test_many_paths_are_one_scan_where_their_schema_is_one(spark, trips_csv, tmp_path):
+    paths = [_typed_parquet(spark, trips_csv, str(tmp_path / f"m{i}"), VendorID=F.col("VendorID").cast("int" if i % 2 else "bigint")) for i in range(8)]
+    df = scan_trips_parquet(spark, *paths)
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2 and df.count() == 40
+    glob = scan_trips_parquet(spark, str(tmp_path / "m[0-3]"))
+    assert glob.count() == 20 and glob.select(SOURCE_PATH).distinct().count() == 4
+
+
+def test_directory_columns_are_read(spark, trips_csv, tmp_path):
+    path = str(tmp_path / "parted")
+    scan_trips_csv(spark, trips_csv).drop(SOURCE_PATH).withColumn("hvfhs", F.col("VendorID")).write.partitionBy("hvfhs").parquet(path)
+    assert {(r["hvfhs"], r["VendorID"]) for r in scan_trips_parquet(spark, path).collect()} == {("1", "1"), ("2", "2")}
+
+
 def test_parquet_without_a_contract_column_is_rejected(spark, trips_csv, tmp_path):
     path = str(tmp_path / "short")
     scan_trips_csv(spark, trips_csv).drop("fare_amount", "extra").write.parquet(path)
