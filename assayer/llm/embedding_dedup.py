@@ -238,17 +238,17 @@ def sorted_passes(named: DataFrame, threshold: float, miss: float, block: int) -
     hashed = _hashed(named, means, passes, threshold)
     blocks = _blocks(_keyed(hashed, passes), block)
     found = _forest_of(hashed, blocks, threshold)
-    clusters = written(components(found), "vectors-first")
-    wide = clusters.join(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block), "root").select(F.col("node").alias("tid"))
+    # A cluster that fills windows shows as one root of more vectors than a block has.
+    links = found.distinct()
+    roots = links.groupBy("v").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block).select("v")
+    wide = links.join(roots, "v").select(F.explode(F.array("u", "v")).alias("tid")).distinct()
     needed = _passes_needed(hashed, blocks, wide, threshold, miss).filter(F.col("passes") > FIRST_PASSES)
     if most := needed.agg(F.max("passes")).first()[0]:
         passes = range(FIRST_PASSES, most)
         hashed = _hashed(named.join(needed.select("grp"), "grp"), means, passes, threshold)
         keyed = _keyed(hashed, passes).join(needed, "grp").filter(F.col("pass") < F.col("passes")).select("tid", "grp", "pass", "key")
-        # Later passes join the clusters of the first.
-        later = _forest_of(hashed, _blocks(keyed, block), threshold)
-        clusters = components(later.unionByName(clusters.select(F.col("node").alias("u"), F.col("root").alias("v"))))
-    return clusters.select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
+        found = found.unionByName(_forest_of(hashed, _blocks(keyed, block), threshold))
+    return components(found).select(F.col("node").alias("tid"), F.col("root").alias("cluster"))
 
 
 def _exact(members: DataFrame, threshold: float) -> DataFrame:
