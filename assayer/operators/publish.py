@@ -4,7 +4,7 @@ Layout below the mart root::
 
     mart/<table>/publish_dir=<run>/pickup_date=<day>    rows one run published, never changed once written
     versions/<n>                                        an empty file: version n is taken
-    run_log                                             append-only events
+    run_log, run_log_states                             events and their checkpoints, see :mod:`.run_log`
 
 The run log is the manifest. Every ``succeeded`` event holds its run's windows and version; a date belongs to the newest
 version one of whose windows covers it. A publish therefore writes the rows of its own windows and nothing else. Its event
@@ -31,7 +31,6 @@ from assayer.contracts import (
     ERROR_TEXT_LIMIT,
     HOURLY_MART,
     HOURLY_SCHEMA,
-    RUN_LOG_SCHEMA,
     MartTable,
     require_columns,
 )
@@ -46,8 +45,8 @@ from assayer.operators.quality import (
     mart_report,
     overflow_counts,
 )
+from assayer.operators.run_log import COMPACT_AFTER, compact_run_log, current_version, latest_runs, log_event, run_events
 from assayer.operators.sinks import gathered, overwrite
-from assayer.sources import path_exists, scan_dataset
 from assayer.sources.storage import claim, remove
 
 MARTS = (DAILY_MART, HOURLY_MART)
@@ -55,12 +54,6 @@ _GOLD = {DAILY_MART.name: DAILY_SCHEMA, HOURLY_MART.name: HOURLY_SCHEMA}
 
 Window = tuple[date, date]
 
-#: The run log's columns and, where a run replaced several windows, all of them.
-EVENT_SCHEMA = T.StructType(
-    [*RUN_LOG_SCHEMA.fields, T.StructField("windows", T.ArrayType(T.StructType([T.StructField(c, T.DateType()) for c in ("date_from", "date_to")])))]
-)
-
-
 def merged_windows(windows: Sequence[Window]) -> tuple[Window, ...]:
     """The same dates as few windows by date, none touching another."""
     day, merged = timedelta(days=1), []
@@ -112,23 +105,6 @@ def mart_schema(table: MartTable) -> T.StructType:
 # ---- run log ----------------------------------------------------------------------------------------------
 
 
-def run_events(spark: SparkSession, root: str) -> DataFrame:
-    """All events of the run log; empty before the first run."""
-    log = f"{root}/run_log"
-    if not path_exists(spark, log):
-        return spark.createDataFrame([], EVENT_SCHEMA)
-    return scan_dataset(spark, log, EVENT_SCHEMA)
-
-
-def log_event(spark: SparkSession, root: str, **values) -> None:
-    """Append one event as one file."""
-    windows = values.pop("windows", ())
-    pairs = [F.struct(F.lit(first).alias("date_from"), F.lit(last).alias("date_to")) for first, last in windows]
-    values["windows"] = F.array(*pairs) if pairs else None
-    event = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA]
-    spark.range(0, 1, 1, numPartitions=1).select(*event).write.mode("append").parquet(f"{root}/run_log")
-
-
 def log_started(spark: SparkSession, root: str, *, run_id: str, started_at: datetime) -> None:
     log_event(spark, root, run_id=run_id, status="running", started_at=started_at)
 
@@ -162,23 +138,6 @@ def log_succeeded(spark: SparkSession, root: str, *, summary: PublishSummary, st
     )
 
 
-def latest_runs(events: DataFrame) -> DataFrame:
-    """One row per run in its latest state: the closing event where there is one, else ``running``."""
-    is_closing = (F.col("status") != "running").cast("int")
-    latest = F.max_by(F.struct(*RUN_LOG_SCHEMA.names), is_closing).alias("state")
-    return events.groupBy(F.col("run_id").alias("log_key")).agg(latest).select("state.*")
-
-
-def run_by_id(events: DataFrame, run_id: str) -> DataFrame:
-    return latest_runs(events.filter(F.col("run_id") == run_id))
-
-
-def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """(version, run id) of the last successful publish, or None."""
-    newest = run_events(spark, root).filter("status = 'succeeded'").orderBy(F.desc("mart_version")).first()
-    return (newest["mart_version"], newest["run_id"]) if newest else None
-
-
 @dataclass(frozen=True)
 class Segment:
     """Dates, both ends included, whose rows come from one run."""
@@ -367,6 +326,8 @@ def publish_marts(
         require_columns(df, table.columns, table.name)
     if not run_events(spark, root).filter(F.col("run_id") == run_id).isEmpty():
         raise ValueError(f"run {run_id} is already in the run log")
+    # Before anything is published, as an error here has to fail the publish.
+    compact_run_log(spark, root, least=COMPACT_AFTER)
     started_at = datetime.now(UTC)
     log_started(spark, root, run_id=run_id, started_at=started_at)
     taken = None

@@ -10,17 +10,15 @@ from pyspark.sql import functions as F
 from assayer.contracts import DAILY_MART, HOURLY_MART
 from assayer.operators.publish import (
     PublishSummary,
-    latest_runs,
     publish_marts,
     read_mart,
     replace_window,
-    run_by_id,
-    run_events,
     stage_mart,
     staged_rows,
     publish_date_window,
 )
 from assayer.operators.quality import status_violations
+from assayer.operators.run_log import compact_run_log, latest_runs, log_event, run_by_id, run_events
 from assayer.operators.sinks import overwrite_gold_pair
 from assayer.plans.queries.registry import Tables, comparable, query
 from assayer.plans.scratch import scratch_dir
@@ -165,6 +163,28 @@ def _(t: Tables) -> DataFrame:
     return run_by_id(run_events(t.spark, root), "run-2").select(*_CLOCKLESS)
 
 
+@query(
+    "audit_compacted",
+    f"SELECT *, false AS has_message FROM ({_RUN_1} UNION ALL {_RUN_2})"
+    " UNION ALL SELECT 'run-3', 'failed', NULL, NULL, NULL, NULL, NULL, true UNION ALL SELECT 'run-4', 'running', NULL, NULL, NULL, NULL, NULL, false",
+)
+def _(t: Tables) -> DataFrame:
+    """A checkpoint of three closed runs, a run that began after it, and a checkpoint of them all."""
+    root, _ = _three_runs(t)
+    compact_run_log(t.spark, root)
+    log_event(t.spark, root, run_id="run-4", status="running", started_at=_PUBLISHED)
+    compact_run_log(t.spark, root)
+    return run_events(t.spark, root).select(*_CLOCKLESS, F.col("error_message").isNotNull().alias("has_message"))
+
+
+@query("publish_after_compaction", _replaced_sql("daily", "* EXCLUDE (pickup_year, pickup_month)"))
+def _(t: Tables) -> DataFrame:
+    """The mart, its windows told by a checkpoint alone."""
+    root, _ = _three_runs(t)
+    compact_run_log(t.spark, root)
+    return comparable(read_mart(t.spark, root, DAILY_MART).drop("published_at"))
+
+
 @query(
     "constraint_status_domain",
     "SELECT 'run_log' AS table_name, 'status_domain' AS constraint_name, count(*) AS violations FROM events"

@@ -6,18 +6,15 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.contracts import DAILY_MART, DAILY_SCHEMA, HOURLY_MART, HOURLY_SCHEMA
+from assayer.contracts import DAILY_MART, DAILY_SCHEMA, HOURLY_MART, HOURLY_SCHEMA, RUN_LOG_SCHEMA
 from assayer.operators import publish as module
+from assayer.operators import run_log
 from assayer.operators.publish import (
-    current_version,
-    latest_runs,
     publish_date_window,
     publish_dates,
     publish_marts,
     read_mart,
     replace_window,
-    run_by_id,
-    run_events,
     overlaid,
     run_path,
     stage_mart,
@@ -25,6 +22,8 @@ from assayer.operators.publish import (
     vacuum,
     Segment,
 )
+from assayer.operators.run_log import compact_run_log, current_version, latest_runs, log_event, run_by_id, run_events
+from assayer.sources.storage import create_text, names_below
 
 AT = datetime(2024, 2, 1, tzinfo=UTC)
 
@@ -234,3 +233,88 @@ def test_date_frames_and_replacement(spark):
     assert tuple(publish_date_window(daily, hourly).first()) == (date(2024, 1, 1), date(2024, 1, 3))
     replaced = replace_window(_gold(spark, 1, 2, 3, 4)[0], daily.filter("pickup_date = DATE '2024-01-03'"), date(2024, 1, 2), date(2024, 1, 3))
     assert sorted(r["pickup_date"].day for r in replaced.collect()) == [1, 3, 4]
+
+
+def _run(number, status="succeeded"):
+    at = AT + timedelta(minutes=number)
+    return {"run_id": f"run-{number:03}", "status": status, "started_at": at} | (
+        {"mart_version": number, "date_from": date(2024, 1, 1), "date_to": date(2024, 1, 2)} if status == "succeeded" else {}
+    )
+
+
+def test_an_event_comes_back_as_it_was_logged(spark, tmp_path):
+    root, windows = str(tmp_path), ((date(2002, 12, 1), date(2002, 12, 31)), (date(2024, 1, 1), date(2024, 1, 31)))
+    at = datetime(2024, 2, 1, 6, 30, 1, 234567, tzinfo=UTC)
+    text = 'line one\nline "two" \u00e9 \U0001f4be'
+    log_event(spark, root, run_id="a/b c", status="failed", started_at=at, error_message=text, windows=windows)
+    row = run_events(spark, root).withColumn("micros", F.unix_micros("started_at")).first()
+    assert (row["run_id"], row["status"], row["error_message"], row["completed_at"], row["mart_version"]) == ("a/b c", "failed", text, None, None)
+    assert row["micros"] == int(at.timestamp()) * 1_000_000 + 234567
+    assert tuple(tuple(w) for w in row["windows"]) == windows
+    with pytest.raises(ValueError, match="no columns"):
+        log_event(spark, root, run_id="x", stauts="running")
+
+
+def test_a_long_log_is_read_as_one_checkpoint_and_a_short_tail(spark, tmp_path):
+    """A thousand events: the states before and after are the same, and so is what a publish makes of them."""
+    root = str(tmp_path)
+    for number in range(1, 501):
+        log_event(spark, root, run_id=f"run-{number:03}", status="running", started_at=AT)
+        log_event(spark, root, **_run(number, "failed" if number % 10 == 0 else "succeeded"))
+    before = {tuple(r) for r in latest_runs(run_events(spark, root)).collect()}
+    assert len(before) == 500 and current_version(spark, root) == (499, "run-499")
+    assert compact_run_log(spark, root) and not compact_run_log(spark, root)
+    log_event(spark, root, run_id="open", status="running", started_at=AT)
+    assert len(run_events(spark, root).inputFiles()) <= 3 and run_events(spark, root).count() == 501
+    assert {tuple(r) for r in latest_runs(run_events(spark, root)).filter("run_id <> 'open'").collect()} == before
+    assert current_version(spark, root) == (499, "run-499")
+    # The next checkpoint closes the open run, and deletes what the first one stood for.
+    log_event(spark, root, run_id="open", status="failed", started_at=AT, error_message="late")
+    assert compact_run_log(spark, root)
+    assert _log(spark, root)["open"]["error_message"] == "late"
+    assert len([n for n in names_below(spark, f"{root}/run_log") if not n.startswith(".")]) == 2
+    assert run_events(spark, root).count() == 501
+
+
+def test_windows_and_versions_survive_checkpoints(spark, tmp_path, monkeypatch):
+    """With a checkpoint before each publish every version reads as without one, windows with gaps too."""
+    monkeypatch.setattr(module, "COMPACT_AFTER", 1)
+    root, day = str(tmp_path), lambda d: date(2024, 1, d)
+    publish_marts(spark, *_gold(spark, 1, 2, 3, 4, 5), root=root, run_id="r1")
+    publish_marts(spark, *_gold(spark, 1, 5, trips=7), root=root, run_id="r2", windows=((day(1), day(1)), (day(4), day(5))))
+    with pytest.raises(ValueError):
+        publish_marts(spark, *_spoilt(spark, "repeated keys"), root=root, run_id="r3")
+    publish_marts(spark, *_gold(spark, 3, trips=9), root=root, run_id="r4")
+    assert _mart(spark, root) == {(1, 1): (7, "r2"), (1, 2): (1, "r1"), (1, 3): (9, "r4"), (1, 5): (7, "r2")}
+    assert {r["trip_count"] for r in read_mart(spark, root, DAILY_MART, version=1).collect()} == {1}
+    assert {run: row["status"] for run, row in _log(spark, root).items()} == {"r1": "succeeded", "r2": "succeeded", "r3": "failed", "r4": "succeeded"}
+    with pytest.raises(ValueError, match="already"):
+        publish_marts(spark, *_gold(spark, 1), root=root, run_id="r1")
+
+
+def test_of_two_compactions_one_is_written_and_a_dead_one_changes_nothing(spark, tmp_path, monkeypatch):
+    root, other = str(tmp_path / "one"), str(tmp_path / "other")
+    for log in (root, other):
+        log_event(spark, log, **_run(1))
+    real = run_log.create_text
+
+    def slower(spark, path, text):
+        assert create_text(spark, path, text)
+        return real(spark, path, text)
+
+    monkeypatch.setattr(run_log, "create_text", slower)
+    assert not compact_run_log(spark, root)
+    monkeypatch.setattr(run_log, "create_text", lambda *_: (_ for _ in ()).throw(OSError("died here")))
+    with pytest.raises(OSError, match="died here"):
+        compact_run_log(spark, other)
+    monkeypatch.undo()
+    assert [r["run_id"] for r in run_events(spark, other).collect()] == ["run-001"] and compact_run_log(spark, other)
+
+
+def test_logs_of_parquet_events_are_read_and_compacted(spark, tmp_path):
+    root = str(tmp_path)
+    old = {"run_id": "old", "status": "succeeded", "started_at": AT, "mart_version": 1, "date_from": date(2024, 1, 1), "date_to": date(2024, 1, 1)}
+    spark.createDataFrame([tuple(old.get(n) for n in RUN_LOG_SCHEMA.names)], RUN_LOG_SCHEMA).write.parquet(f"{root}/run_log")
+    log_event(spark, root, run_id="new", status="running", started_at=AT)
+    assert current_version(spark, root) == (1, "old") and compact_run_log(spark, root)
+    assert current_version(spark, root) == (1, "old") and set(_log(spark, root)) == {"old", "new"}
