@@ -17,6 +17,7 @@ to the publish. Trips are thus scanned once, when their unit is loaded, however
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +30,20 @@ from assayer.operators.projections import build_silver, with_lineage, zone_dimen
 from assayer.operators.publish import PublishSummary, publish_marts
 from assayer.operators.quality import assert_non_empty, assert_reconciled, checked_key
 from assayer.operators.sinks import gathered, overwrite, silver_layout
-from assayer.operators.snapshots import PART_KEY, Change, Part, Snapshot, SnapshotStore
+from assayer.operators.snapshots import PART_KEY, Change, Part, Snapshot, SnapshotConflict, SnapshotStore
 from assayer.operators.zones import BROADCAST_LIMIT_BYTES, attach_zone, text_bytes
 from assayer.plans.summaries import BronzeSummary, GoldSummary, Loaded, SilverSummary, Written, month_windows, require_utc
 from assayer.sources import SourceSpec, ensure_available, listed_bytes, scan_trips, scan_zones_csv
 from assayer.sources.specs import Fetch
-from assayer.sources.storage import names_below
+from assayer.sources.storage import names_below, sizes_below
 
 GOLD, MARTS = "gold", "marts"
 BRONZE_SCHEMA = T.StructType(
     [T.StructField(c, T.TimestampType() if c == "_ingested_at" else T.StringType()) for c in (*TRIP_COLUMNS, *LINEAGE_COLUMNS)]
 )
+#: The directory columns of silver, and the size its files are compacted to.
+SILVER_FOLDERS = ("row_set", "row_month")
+SILVER_FILE_BYTES = 128 * 1024 * 1024
 _ZONES: tuple[str, str] = ("zones", "all")
 _VALID = "/row_set=valid"
 
@@ -74,7 +78,7 @@ def _silver_part(store: SnapshotStore, bronze: DataFrame, unit: str) -> Part:
     seen = overwrite(
         silver_layout(build_silver(bronze)),
         store.full(path),
-        partition_by=("row_set", "row_month"),
+        partition_by=SILVER_FOLDERS,
         measures={"valid": F.count_if(F.col("is_valid"))},
     )
     names = names_below(store.spark, store.full(path) + _VALID)
@@ -174,6 +178,59 @@ def read_gold_tables(store: SnapshotStore, snapshot: Snapshot | None = None, *,
     return daily, hourly
 
 
+# ---- compaction ----
+
+
+def compact_silver(store: SnapshotStore, *, file_bytes: int = SILVER_FILE_BYTES) -> tuple[str, ...]:
+    """Fewer, larger files for units with directories of many small ones; returns the units rewritten.
+
+    A load writes a file for each task and month, so stray months and small inputs leave many. A directory is crowded
+    where it has over twice the files that its bytes need at ``file_bytes``; afterwards it has no more than they need.
+    Rows of crowded directories are dealt by directory and file number, so a month with most of a unit's rows is written by
+    as many tasks as it has files; others are copied without a shuffle. Each unit is a commit that changes no row and so
+    notes no month. One that is loaded anew meanwhile keeps its new files and is left to the next call.
+    """
+    if file_bytes < 1:
+        raise ValueError("a file has at least a byte")
+    base, done = store.current(), []
+    for unit, part in sorted(base.of("silver").items()):
+        sizes = sizes_below(store.spark, store.full(part.path))
+        needed = {folder: -(-sum(found) // file_bytes) for folder, found in sizes.items()}
+        crowded = {folder: n for folder, n in needed.items() if len(sizes[folder]) > 2 * n}
+        if not crowded:
+            continue
+        path = store.fresh("silver", unit)
+        seen = overwrite(
+            _regrouped(store, part, crowded, others=len(crowded) < len(sizes)),
+            store.full(path),
+            partition_by=SILVER_FOLDERS,
+            measures={"valid": F.count_if(F.col("is_valid"))},
+        )
+        assert_reconciled(part.rows, {f"compacted rows of {unit}": seen["rows"]})
+        assert_reconciled(part.notes["valid"], {f"compacted valid rows of {unit}": seen["valid"]})
+        try:
+            store.commit(base, Change(puts={("silver", unit): Part(path, part.rows, part.notes)}))
+        except SnapshotConflict:
+            continue
+        done.append(unit)
+    return tuple(done)
+
+
+def _regrouped(store: SnapshotStore, part: Part, crowded: dict[str, int], *, others: bool) -> DataFrame:
+    """A unit's silver rows, those of crowded directories dealt to one task for each file they shall have."""
+    schema = T.StructType([*SILVER_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in SILVER_FOLDERS]])
+    rows = store.spark.read.schema(schema).parquet(store.full(part.path))
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in SILVER_FOLDERS])
+    is_crowded = folder.isin(*crowded)
+    firsts = accumulate(crowded.values(), initial=0)
+    dealing = {name: F.struct(F.lit(first).alias("first"), F.lit(files).alias("files")) for (name, files), first in zip(crowded.items(), firsts)}
+    of = F.element_at(F.create_map(*[x for name, files in dealing.items() for x in (F.lit(name), files)]), folder)
+    # Row numbers deal any rows evenly, copies too; a task that runs again reads the same splits and gives the same ones.
+    task = (of["first"] + F.pmod(F.monotonically_increasing_id(), of["files"])).cast("int")
+    dealt = rows.filter(is_crowded).withColumn("_task", task).repartitionById(sum(crowded.values()), "_task").drop("_task")
+    return dealt.unionByName(rows.filter(~is_crowded)) if others else dealt
+
+
 # ---- gold ----
 
 

@@ -258,6 +258,19 @@ def _(t: Tables) -> DataFrame:
     return comparable(lake.read_gold_tables(store)[0].drop("source_batch_count", "latest_source_ingested_at"))
 
 
+@query("silver_compacted", _BATCHLESS.format("_batch_id, _ingested_at, _source_file_path", "silver"))
+def _(t: Tables) -> DataFrame:
+    """Both units' silver after compaction, and after a reload of one of them, compacted again."""
+    store, zones = lake.store_at(t.spark, scratch_dir(t.spark, "compacted")), _zone_spec(t)
+    even, spoilt, odd = _unit_loads(t)
+    for number, specs in enumerate(((even, spoilt), (odd,))):
+        for spec in specs:
+            lake.load(store, trips=spec, zones=zones, batch_id=f"run-{number}", ingested_at=_ARRIVAL)
+        lake.compact_silver(store)
+    both = lake.read_units(store).unionByName(lake.read_units(store, valid=False))
+    return reasons_as_text(both).drop("_batch_id", "_ingested_at", SOURCE_PATH)
+
+
 @query(
     "run_all_after_failure",
     "SELECT * EXCLUDE (pickup_year, pickup_month, source_batch_count, latest_source_ingested_at), 'run-3' AS publish_run_id FROM daily",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -16,6 +17,7 @@ from assayer.operators.snapshots import Change, Part, SnapshotConflict, Snapshot
 from assayer.plans import lake, stages
 from assayer.plans.summaries import month_windows
 from assayer.sources import SourceSpec
+from assayer.sources.storage import sizes_below
 
 JANUARY, FEBRUARY = {}, {"tpep_pickup_datetime": "2024-02-03 08:00:00", "tpep_dropoff_datetime": "2024-02-03 09:00:00"}
 STRAY = {"tpep_pickup_datetime": "2002-12-31 08:00:00", "tpep_dropoff_datetime": "2002-12-31 09:00:00"}
@@ -263,3 +265,87 @@ def test_windows_are_merged():
 def test_gold_columns_come_back_in_order(chain):
     chain.run(1, JANUARY)
     assert lake.read_gold_tables(chain.store)[0].columns == DAILY_SCHEMA.names
+
+
+def _spread(chain, month, *changes, files=6):
+    """A unit whose raw rows lie in several files, so that its load writes as many for each month."""
+    spec = chain.spec(month, *changes)
+    path = f"{spec.path}-spread"
+    chain.spark.read.parquet(spec.path).repartition(files).write.parquet(path)
+    return SourceSpec(path, "parquet", "tlc", (2024, month))
+
+
+def _silver(chain, snapshot=None):
+    rows = [lake.read_units(chain.store, snapshot, valid=valid) for valid in (True, False)]
+    return Counter(str(r) for r in rows[0].unionByName(rows[1]).select("vendor_id", "pickup_timestamp", "is_valid", "fare_amount").collect())
+
+
+def test_compaction_bounds_the_files_of_stray_months_and_changes_no_row(chain):
+    store = chain.store
+    many = [JANUARY] * 30 + [FEBRUARY] * 12 + [STRAY] * 12 + [BAD] * 12
+    lake.load(store, trips=_spread(chain, 1, *many), zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+    lake.load(store, trips=chain.spec(2, FEBRUARY), zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+    lake.refresh_gold(store)
+    before, rows = store.current(), _silver(chain)
+    crowded = sizes_below(chain.spark, store.full(before.of("silver")["tlc-2024-01"].path))
+    assert sorted(crowded) == ["row_set=invalid/row_month=all", *[f"row_set=valid/row_month=m{m}" for m in ("2002-12", "2024-01", "2024-02")]]
+    assert all(len(files) > 2 for files in crowded.values())
+    assert lake.compact_silver(store) == ("tlc-2024-01",)
+    after = store.current()
+    parts = after.of("silver")
+    assert {d: len(f) for d, f in sizes_below(chain.spark, store.full(parts["tlc-2024-01"].path)).items()} == dict.fromkeys(crowded, 1)
+    assert parts["tlc-2024-02"] == before.of("silver")["tlc-2024-02"] and parts["tlc-2024-01"].notes == before.of("silver")["tlc-2024-01"].notes
+    # The rows are those of before, in either snapshot, and nothing is left to do.
+    assert _silver(chain) == _silver(chain, before) == rows
+    assert after.pending == before.pending and lake.compact_silver(store) == ()
+
+
+@pytest.fixture
+def one_task_a_file(spark):
+    """No two files share a read task, so a load writes as many files as it reads."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_compaction_splits_a_hot_month_and_copies_what_is_well_filled(chain, one_task_a_file):
+    """With a tiny target January, all equal rows, is several files of about equal size; February is not crowded."""
+    store = chain.store
+    spec = _spread(chain, 1, *[JANUARY] * 120, files=12)
+    extra = chain.spec(1, FEBRUARY)
+    chain.spark.read.parquet(extra.path).write.mode("append").parquet(spec.path)
+    lake.load(store, trips=spec, zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+    part, rows = store.current().of("silver")["tlc-2024-01"], _silver(chain)
+    january, february = "row_set=valid/row_month=m2024-01", "row_set=valid/row_month=m2024-02"
+    sizes = sizes_below(chain.spark, store.full(part.path))
+    target = -(-sum(sizes[january]) // 3)
+    assert len(sizes[january]) > 6 and len(sizes[february]) == 1
+    assert lake.compact_silver(store, file_bytes=target) == ("tlc-2024-01",)
+    new = store.current().of("silver")["tlc-2024-01"]
+    assert {d: len(f) for d, f in sizes_below(chain.spark, store.full(new.path)).items()} == {january: 3, february: 1}
+    counts = [r["n"] for r in chain.spark.read.parquet(f"{store.full(new.path)}/{january}").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(counts) == 120 and max(counts) - min(counts) <= 12
+    assert _silver(chain) == rows
+
+
+def test_a_load_during_compaction_wins(chain, monkeypatch):
+    store, real = chain.store, lake._regrouped
+    lake.load(store, trips=_spread(chain, 1, *[JANUARY] * 12), zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+
+    def slow(*args, **options):
+        monkeypatch.setattr(lake, "_regrouped", real)
+        lake.load(store, trips=chain.spec(1, JANUARY, BAD), zones=chain.zones, batch_id="b2", ingested_at=ARRIVAL)
+        return real(*args, **options)
+
+    monkeypatch.setattr(lake, "_regrouped", slow)
+    assert lake.compact_silver(store) == ()
+    assert sum(_silver(chain).values()) == 2
+
+
+def test_compaction_of_an_empty_store_and_of_an_empty_unit(chain):
+    assert lake.compact_silver(chain.store) == ()
+    lake.load(chain.store, trips=chain.spec(1, BAD), zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+    assert lake.compact_silver(chain.store) == ()
+    with pytest.raises(ValueError, match="at least a byte"):
+        lake.compact_silver(chain.store, file_bytes=0)
