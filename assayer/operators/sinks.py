@@ -30,12 +30,13 @@ def overwrite(
 
     Measures look at ``df``; after that columns in ``convert`` are replaced and those in ``drop`` left out.
 
-    ``replace='all'`` replaces the dataset; ``replace='partitions'`` only those partitions ``df`` has rows for.
+    ``replace='all'`` replaces the dataset; ``replace='partitions'`` only those partitions ``df`` has rows for, and
+    ``replace='nothing'`` adds to what is there.
     The measures are observed in the writing stage itself: each of its tasks counts once, also when lost
     executors make Spark run tasks again.
     """
-    if replace not in ("all", "partitions"):
-        raise ValueError(f"replace has to be 'all' or 'partitions', not {replace!r}")
+    if replace not in ("all", "partitions", "nothing"):
+        raise ValueError(f"replace has to be 'all', 'partitions' or 'nothing', not {replace!r}")
     if partition_by is not None and not partition_by:
         raise ValueError("partition_by needs at least one column")
     if replace == "partitions" and partition_by is None:
@@ -46,7 +47,7 @@ def overwrite(
     seen = Observation()
     columns = {"rows": F.count(F.lit(1)), **(measures or {})}
     observed = df.observe(seen, *[c.alias(name) for name, c in columns.items()])
-    writer = observed.withColumns(dict(convert or {})).drop(*drop).write.mode("overwrite")
+    writer = observed.withColumns(dict(convert or {})).drop(*drop).write.mode("append" if replace == "nothing" else "overwrite")
     if partition_by:
         mode = "dynamic" if replace == "partitions" else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)

@@ -16,8 +16,10 @@ to the publish. Trips are thus scanned once, when their unit is loaded, however
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
-from itertools import accumulate
+from functools import reduce
+from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from assayer.operators.zones import BROADCAST_LIMIT_BYTES, attach_zone, text_byt
 from assayer.plans.summaries import BronzeSummary, GoldSummary, Loaded, SilverSummary, Written, month_windows, require_utc
 from assayer.sources import SourceSpec, ensure_available, listed_bytes, scan_trips, scan_zones_csv
 from assayer.sources.specs import Fetch
-from assayer.sources.storage import names_below, sizes_below
+from assayer.sources.storage import files_below, names_below
 
 GOLD, MARTS = "gold", "marts"
 BRONZE_SCHEMA = T.StructType(
@@ -44,6 +46,8 @@ BRONZE_SCHEMA = T.StructType(
 #: The directory columns of silver, and the size its files are compacted to.
 SILVER_FOLDERS = ("row_set", "row_month")
 SILVER_FILE_BYTES = 128 * 1024 * 1024
+#: Files that one write of a compaction makes: each is a scan of its own, and a plan is to stay small.
+FILES_AT_ONCE = 64
 _ZONES: tuple[str, str] = ("zones", "all")
 _VALID = "/row_set=valid"
 
@@ -186,26 +190,26 @@ def compact_silver(store: SnapshotStore, *, file_bytes: int = SILVER_FILE_BYTES)
 
     A load writes a file for each task and month, so stray months and small inputs leave many. A directory is crowded
     where it has over twice the files that its bytes need at ``file_bytes``; afterwards it has no more than they need.
-    Rows of crowded directories are dealt by directory and file number, so a month with most of a unit's rows is written by
-    as many tasks as it has files; others are copied without a shuffle. Each unit is a commit that changes no row and so
-    notes no month. One that is loaded anew meanwhile keeps its new files and is left to the next call.
+    Nothing is shuffled: files of a crowded directory are dealt by size, and a task reads those that become one file. Other
+    directories are copied. Each unit is a commit that changes no row and so notes no month. One that is loaded anew
+    meanwhile keeps its new files and is left to the next call.
     """
     if file_bytes < 1:
         raise ValueError("a file has at least a byte")
     base, done = store.current(), []
     for unit, part in sorted(base.of("silver").items()):
-        sizes = sizes_below(store.spark, store.full(part.path))
-        needed = {folder: -(-sum(found) // file_bytes) for folder, found in sizes.items()}
-        crowded = {folder: n for folder, n in needed.items() if len(sizes[folder]) > 2 * n}
+        files = files_below(store.spark, store.full(part.path))
+        needed = {folder: -(-sum(found.values()) // file_bytes) for folder, found in files.items()}
+        crowded = {folder: n for folder, n in needed.items() if len(files[folder]) > 2 * n}
         if not crowded:
             continue
         path = store.fresh("silver", unit)
-        seen = overwrite(
-            _regrouped(store, part, crowded, others=len(crowded) < len(sizes)),
-            store.full(path),
-            partition_by=SILVER_FOLDERS,
-            measures={"valid": F.count_if(F.col("is_valid"))},
-        )
+        seen = {"rows": 0, "valid": 0}
+        for rows in _regrouped(store, part, files, crowded):
+            measures = {"valid": F.count_if(F.col("is_valid"))}
+            # Nobody reads the directory before the commit, so several writes are as good as one.
+            written = overwrite(rows, store.full(path), partition_by=SILVER_FOLDERS, replace="nothing", measures=measures)
+            seen = {name: count + written[name] for name, count in seen.items()}
         assert_reconciled(part.rows, {f"compacted rows of {unit}": seen["rows"]})
         assert_reconciled(part.notes["valid"], {f"compacted valid rows of {unit}": seen["valid"]})
         try:
@@ -216,19 +220,27 @@ def compact_silver(store: SnapshotStore, *, file_bytes: int = SILVER_FILE_BYTES)
     return tuple(done)
 
 
-def _regrouped(store: SnapshotStore, part: Part, crowded: dict[str, int], *, others: bool) -> DataFrame:
-    """A unit's silver rows, those of crowded directories dealt to one task for each file they shall have."""
+def _dealt(sizes: dict[str, int], piles: int) -> list[list[str]]:
+    """Files dealt to piles of about equal size: the largest first, each to the pile that is smallest by then."""
+    smallest, dealt = [(0, 0, pile) for pile in range(piles)], [[] for _ in range(piles)]
+    for name, size in sorted(sizes.items(), key=lambda found: (-found[1], found[0])):
+        held, n, pile = heappop(smallest)
+        dealt[pile].append(name)
+        heappush(smallest, (held + size, n + 1, pile))
+    return [names for names in dealt if names]
+
+
+def _regrouped(store: SnapshotStore, part: Part, files: dict[str, dict[str, int]], crowded: dict[str, int]) -> Iterator[DataFrame]:
+    """A unit's silver rows in frames to be written one after another, with one task for each file of crowded directories."""
     schema = T.StructType([*SILVER_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in SILVER_FOLDERS]])
-    rows = store.spark.read.schema(schema).parquet(store.full(part.path))
-    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in SILVER_FOLDERS])
-    is_crowded = folder.isin(*crowded)
-    firsts = accumulate(crowded.values(), initial=0)
-    dealing = {name: F.struct(F.lit(first).alias("first"), F.lit(files).alias("files")) for (name, files), first in zip(crowded.items(), firsts)}
-    of = F.element_at(F.create_map(*[x for name, files in dealing.items() for x in (F.lit(name), files)]), folder)
-    # Row numbers deal any rows evenly, copies too; a task that runs again reads the same splits and gives the same ones.
-    task = (of["first"] + F.pmod(F.monotonically_increasing_id(), of["files"])).cast("int")
-    dealt = rows.filter(is_crowded).withColumn("_task", task).repartitionById(sum(crowded.values()), "_task").drop("_task")
-    return dealt.unionByName(rows.filter(~is_crowded)) if others else dealt
+    top = store.full(part.path)
+    reader = store.spark.read.schema(schema).option("basePath", top)
+    copied = [f"{top}/{folder}" for folder in files if folder not in crowded]
+    if copied:
+        yield reader.parquet(*copied)
+    piles = [[f"{top}/{folder}/{name}" for name in names] for folder, n in crowded.items() for names in _dealt(files[folder], n)]
+    for first in range(0, len(piles), FILES_AT_ONCE):
+        yield reduce(DataFrame.unionAll, [reader.parquet(*pile).coalesce(1) for pile in piles[first : first + FILES_AT_ONCE]])
 
 
 # ---- gold ----

@@ -11,6 +11,8 @@ SESSION_SETTINGS: dict[str, str] = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keep a few partition files open per task instead of sorting every row by partition before a write.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # A union of scans with one task each is to have as many tasks, not one that reads them all: compaction has such unions.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 

@@ -49,8 +49,8 @@ def visible_files(spark: SparkSession, path: str) -> list[tuple[str, str | None]
     return sorted(found)
 
 
-def sizes_below(spark: SparkSession, path: str) -> dict[str, list[int]]:
-    """The sizes of the visible files below a directory, by their directory relative to it."""
+def files_below(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
+    """The visible files below a directory, by their directory relative to it: each with its size."""
     system, hadoop_path = _file_system(spark, path)
     top, found = system.getFileStatus(hadoop_path).getPath().toString(), {}
     files = system.listFiles(hadoop_path, True)
@@ -58,10 +58,15 @@ def sizes_below(spark: SparkSession, path: str) -> dict[str, list[int]]:
         file = files.next()
         folder, _, name = file.getPath().toString()[len(top) :].strip("/").rpartition("/")
         if not name.startswith(("_", ".")):
-            found.setdefault(folder, []).append(file.getLen())
+            found.setdefault(folder, {})[name] = file.getLen()
     return found
 
 
+def sizes_below(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """The sizes of the visible files below a directory, by their directory relative to it."""
+    return {folder: list(sizes.values()) for folder, sizes in files_below(spark, path).items()}
+
+
 def listed_bytes(df: DataFrame) -> int:
     """Total size of the files a scan has listed; nothing is listed again."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

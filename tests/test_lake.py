@@ -349,3 +349,29 @@ def test_compaction_of_an_empty_store_and_of_an_empty_unit(chain):
     assert lake.compact_silver(chain.store) == ()
     with pytest.raises(ValueError, match="at least a byte"):
         lake.compact_silver(chain.store, file_bytes=0)
+
+
+def test_compaction_shuffles_nothing_and_reads_a_file_s_share_in_a_task(chain, one_task_a_file, monkeypatch):
+    """A task reads the parquet files that become one, not their rows out of a shuffle; also where that takes several writes."""
+    store, plans, real = chain.store, [], lake._regrouped
+    lake.load(store, trips=_spread(chain, 1, *[JANUARY] * 120, *[FEBRUARY] * 30, files=15), zones=chain.zones, batch_id="b", ingested_at=ARRIVAL)
+    part, rows = store.current().of("silver")["tlc-2024-01"], _silver(chain)
+    sizes = sizes_below(chain.spark, store.full(part.path))
+    target = -(-sum(sizes["row_set=valid/row_month=m2024-01"]) // 3)
+
+    def watched(*args):
+        for frame in real(*args):
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+            yield frame
+
+    monkeypatch.setattr(lake, "_regrouped", watched)
+    monkeypatch.setattr(lake, "FILES_AT_ONCE", 2)
+    assert lake.compact_silver(store, file_bytes=target) == ("tlc-2024-01",)
+    assert len(plans) > 1 and not any("Exchange" in plan for plan in plans)
+    assert _silver(chain) == rows
+
+
+def test_files_are_dealt_by_size():
+    dealt = lake._dealt({"a": 10, "b": 1, "c": 1, "d": 7}, 2)
+    assert sorted(map(sorted, dealt)) == [["a"], ["b", "c", "d"]]
+    assert lake._dealt({"a": 1}, 3) == [["a"]]
