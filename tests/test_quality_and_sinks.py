@@ -184,3 +184,17 @@ def test_silver_reads_only_its_directories(spark, silver, tmp_path):
     assert read_silver(spark, all_valid, valid=False).count() == 0
     overwrite_silver(silver.limit(0), all_valid)
     assert read_silver(spark, all_valid).count() == 0
+
+
+def test_the_snapshot_query_computes_each_table_from_the_trips_once(spark, monkeypatch):
+    from assayer.plans.queries import QUERIES, chain
+
+    real, scans = chain.overwrite, []
+
+    def watched(df, *args, **options):
+        scans.append("event_id" in df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(chain, "overwrite", watched)
+    assert QUERIES["sink_snapshot_after_failure"](spark, "/root/testdata/sf0.001").count() > 0
+    assert sum(scans) == 2 and len(scans) == 6
