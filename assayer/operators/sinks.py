@@ -94,7 +94,10 @@ def silver_layout(tagged: DataFrame) -> DataFrame:
     Invalid rows are few and any of their columns may be missing, so they have one directory.
     """
     valid = F.col("is_valid")
-    month = F.format_string("%04d-%02d", "pickup_year", "pickup_month")
+    # A formatter is asked only for years that are not four digits: it costs as much as several casts.
+    year, month = F.col("pickup_year"), F.col("pickup_month")
+    padded = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"))
+    month = F.when(year.between(0, 9999), padded).otherwise(F.format_string("%04d-%02d", year, month))
     return tagged.withColumns(
         {"row_set": F.when(valid, "valid").otherwise("invalid"), "row_month": F.when(valid, F.concat(F.lit("m"), month)).otherwise("all")}
     )

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from assayer.contracts import SILVER_SCHEMA, require_columns
 from assayer.functions import to_instant, to_int, to_money
+from assayer.functions.casts import CAST_SQL, cast_text
 from assayer.operators.projections import build_silver, with_lineage
 from assayer.operators.rules import TRIP_RULES, Rule, reason_counts, split_rows, tag_rows
+from assayer.operators.sinks import silver_layout
 from assayer.sources import scan_trips_csv
 
 both_ansi = pytest.mark.parametrize("ansi", ["true", "false"], indirect=True)
@@ -195,3 +197,33 @@ def test_require_columns_allows_extras(spark):
     assert require_columns(df, ["id"], "numbers") is df
     with pytest.raises(ValueError, match=r"numbers lacks required columns: \['a', 'b'\]"):
         require_columns(df, ["b", "id", "a"], "numbers")
+
+
+def test_words_are_no_numbers_or_times_without_an_exception(spark):
+    """The cheap comparison decides only about text that no cast takes; all other text gets what the cast gives."""
+    texts = ["", " ", "none", "None", "NaN", "e5", "x1", "_", "1e3", "+1", "-1.005", ".5", " 7 ", "1z", "{1}", "٣", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "a string")
+    assert "'A'" in CAST_SQL["money"] and "'A'" in CAST_SQL["timestamp"]
+    cast = rows.select("a", cast_text("a", "money").alias("got"), F.expr("try_cast(a AS decimal(12,2))").alias("plain"))
+    assert cast.filter("NOT got <=> plain").isEmpty()
+    times = ["", "bad-ts", "T", "2024-01-02 03:04:05", "2024-01-02", "2024-01-02 03:04:05.5", "+12024-01-02 03:04:05", "2024-02-30 08:15:00", None]
+    plain = "try_to_timestamp(a, 'yyyy-MM-dd HH:mm:ss')"
+    cast = spark.createDataFrame([(t,) for t in times], "a string").select(cast_text("a", "timestamp").alias("got"), F.expr(plain).alias("plain"))
+    assert cast.filter("NOT got <=> plain").isEmpty()
+
+
+def test_month_directories_are_named_as_by_a_formatter_for_any_year(spark):
+    rows = spark.createDataFrame([(y, m, True) for y in (0, 7, 1999, 9999, 12345) for m in (1, 12)], "pickup_year int, pickup_month int, is_valid boolean")
+    named = silver_layout(rows).select("row_month", F.format_string("m%04d-%02d", "pickup_year", "pickup_month").alias("told")).collect()
+    assert all(r["row_month"] == r["told"] for r in named)
+
+
+def test_few_bytes_of_trips_are_shared_by_all_cores(spark, tmp_path):
+    """Four files of half a megabyte are read by four tasks, and timestamps are written as longs."""
+    path = str(tmp_path / "small")
+    spark.range(0, 4 * 65536, 1, 4).selectExpr("id", "timestamp_micros(id) AS t").write.parquet(path)
+    assert spark.read.parquet(path).rdd.getNumPartitions() == 4
+    import pyarrow.parquet as pq
+
+    file = next(p for p in (tmp_path / "small").iterdir() if p.suffix == ".parquet")
+    assert pq.ParquetFile(file).schema.column(1).physical_type == "INT64"
